@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize, ship_package
 from .series import DEFAULT_CHUNK_ROWS, chunk_expr
 
 
@@ -70,6 +70,7 @@ def affine_scan(
 ) -> DataFrame:
     """Add one column per spec holding the scanned value ``y_t``."""
     keys = list(keys)
+    ship_package(df.sparkSession)
     names = [s.name for s in specs]
     t = df.withColumn("_chunk", chunk_expr(seq_col, chunk_rows))
     for s in specs:

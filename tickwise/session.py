@@ -58,3 +58,33 @@ def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss, cuts lineage)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickwise`` importable on executors (once per SparkContext).
+
+    Executors unpickle strategy objects and fold functions by reference, so
+    the package goes out with ``addPyFile`` -- Spark's own distribution path.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    ident = id(sc._jsc)
+    if ident in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="tickwise-py-")
+    archive = os.path.join(out_dir, "tickwise.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in root:
+                continue
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.join("tickwise", os.path.relpath(full, pkg_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(ident)
