@@ -113,8 +113,8 @@ FROM (
          first(price ORDER BY ms, event_id) AS open, max(price) AS high, min(price) AS low,
          last(price ORDER BY ms, event_id) AS close, sum(price) AS volume, count(*) AS trades_count
   FROM (
-    SELECT upper(event_type) AS symbol, epoch_ms(ts) AS ms, value AS price, event_id,
-           epoch_ms(ts) - (epoch_ms(ts) % {width} + {width}) % {width} AS open_time_ms
+    SELECT upper(event_type) AS symbol, (epoch_us(ts) // 1000) AS ms, value AS price, event_id,
+           (epoch_us(ts) // 1000) - ((epoch_us(ts) // 1000) % {width} + {width}) % {width} AS open_time_ms
     FROM events WHERE ts IS NOT NULL AND value IS NOT NULL AND event_type IS NOT NULL
   ) t GROUP BY symbol, open_time_ms
 ) g"""
@@ -133,9 +133,9 @@ FROM (
          first(price ORDER BY ms, l_orderkey, l_linenumber) AS open, max(price) AS high, min(price) AS low,
          last(price ORDER BY ms, l_orderkey, l_linenumber) AS close, sum(qty) AS volume, count(*) AS trades_count
   FROM (
-    SELECT CAST(l_suppkey AS VARCHAR) AS symbol, epoch_ms(l_shipdate) AS ms,
+    SELECT CAST(l_suppkey AS VARCHAR) AS symbol, (epoch_us(l_shipdate) // 1000) AS ms,
            l_extendedprice / l_quantity AS price, l_quantity AS qty, l_orderkey, l_linenumber,
-           epoch_ms(l_shipdate) - (epoch_ms(l_shipdate) % {width} + {width}) % {width} AS open_time_ms
+           (epoch_us(l_shipdate) // 1000) - ((epoch_us(l_shipdate) // 1000) % {width} + {width}) % {width} AS open_time_ms
     FROM lineitem WHERE l_shipdate IS NOT NULL AND l_quantity > 0 AND l_extendedprice IS NOT NULL
   ) t GROUP BY symbol, open_time_ms
 ) g"""
