@@ -69,17 +69,22 @@ def halo_window(
     halo: int,
     seq_col: str = "seq",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    ahead: int = 0,
 ) -> DataFrame:
     """Evaluate ``build(w)`` (window expressions over ``w``) per chunk plus halo.
 
     ``w`` is ``partitionBy(keys, chunk).orderBy(seq)``; expressions may look
-    back at most ``halo`` rows (``rowsBetween(-halo, 0)``, ``lag(x, halo)``).
+    back at most ``halo`` rows (``rowsBetween(-halo, 0)``, ``lag(x, halo)``)
+    and forward at most ``ahead`` rows (``lead(x, ahead)``).
     """
     keys = list(keys)
     pos = (F.col(seq_col) - 1) % F.lit(chunk_rows)
     # A row is copied into every later chunk whose first row lies at most
-    # ``halo`` rows after it (one chunk when halo <= chunk_rows).
-    shifts = F.sequence(F.lit(0).cast("bigint"), F.floor((F.lit(halo) + pos) / F.lit(chunk_rows)).cast("bigint"))
+    # ``halo`` rows after it, and every earlier chunk whose last row lies at
+    # most ``ahead`` rows before it (one chunk each way when <= chunk_rows).
+    later = F.floor((F.lit(halo) + pos) / F.lit(chunk_rows)).cast("bigint")
+    earlier = F.greatest(F.floor((F.lit(ahead - 1 + chunk_rows) - pos) / F.lit(chunk_rows)), F.lit(0)).cast("bigint")
+    shifts = F.sequence(-earlier, later) if ahead > 0 else F.sequence(F.lit(0).cast("bigint"), later)
     copies = (
         df.withColumn("_shift", F.explode(shifts))
         .withColumn("_wchunk", chunk_expr(seq_col, chunk_rows) + F.col("_shift"))

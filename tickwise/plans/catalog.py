@@ -340,3 +340,87 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v.sql for k, v in REGISTRY.items() if v.sql is not None}
+
+
+# ---- frames (S1, S2, F1, F2, F5, J2, S5, S6) ----------------------------------------------------
+
+from ..sources import frames as fr  # noqa: E402
+
+_FRAMES_SQL = fr.frames_sql(BAR_SQL15)
+_DECODED_SQL = fr.decode_sql(_FRAMES_SQL)
+_DECODE_COLS = ["recv_ms", "frame_no", "stream", "event_type", "event_time", "symbol", "start_ms", "end_ms", "k_symbol",
+                "interval", "trades", "closed", "reject_reason"]
+_GOOD = f"SELECT * FROM ({_DECODED_SQL}) d WHERE reject_reason IS NULL"
+
+
+def raw_frames(spark, sf) -> DataFrame:
+    return fr.frames_from_bars(bars(spark, sf))
+
+
+def good_frames(spark, sf) -> DataFrame:
+    return fr.decode_frames(raw_frames(spark, sf))[0]
+
+
+@query("decode_frames", f"SELECT {', '.join(_DECODE_COLS)} FROM ({_DECODED_SQL}) d")
+def q_decode_frames(spark, sf):
+    return fr.decode_all(raw_frames(spark, sf)).select(*_DECODE_COLS)
+
+
+_NORM_SQL = f"""SELECT '{fr.FRAME_EXCHANGE}' AS exchange, symbol, start_ms AS open_time_ms, end_ms AS close_time_ms,
+  {tm.sql_label_utc8('start_ms')} AS open_time_h, interval,
+  {nb.sql_parse_price("open_text")} AS open, {nb.sql_parse_price("high_text")} AS high,
+  {nb.sql_parse_price("low_text")} AS low, {nb.sql_parse_price("close_text")} AS close,
+  round({nb.sql_parse_price("volume_text")}, {ROUND}) AS volume, CAST(trades AS BIGINT) AS trades_count
+FROM ({_DECODED_SQL}) d WHERE reject_reason IS NULL AND closed"""
+
+
+@query("normalize_bars", _NORM_SQL)
+def q_normalize_bars(spark, sf):
+    b = fr.normalize_bars(fr.closed_bars(good_frames(spark, sf)))
+    return b.withColumn("volume", rnd("volume"))
+
+
+@query("closed_bars", f"SELECT recv_ms, frame_no, symbol, interval, start_ms FROM ({_GOOD}) g WHERE closed")
+def q_closed_bars(spark, sf):
+    return fr.closed_bars(good_frames(spark, sf)).select("recv_ms", "frame_no", "symbol", "interval", "start_ms")
+
+
+@query("symbol_index", f"SELECT symbol, CAST(row_number() OVER (ORDER BY first_recv, first_no, symbol) AS BIGINT) AS symbol_index FROM (SELECT symbol, arg_min(recv_ms, (recv_ms, frame_no)) AS first_recv, arg_min(frame_no, (recv_ms, frame_no)) AS first_no FROM ({_GOOD}) g GROUP BY symbol) s")
+def q_symbol_index(spark, sf):
+    return fr.symbol_index(good_frames(spark, sf))
+
+
+@query("collapse_updates", f"SELECT recv_ms, frame_no, symbol, interval, start_ms, closed FROM (SELECT *, lead(start_ms) OVER (PARTITION BY symbol, interval ORDER BY recv_ms, frame_no) AS next_start FROM ({_GOOD}) g) x WHERE next_start IS NOT NULL AND next_start <> start_ms")
+def q_collapse_updates(spark, sf):
+    return fr.collapse_updates(good_frames(spark, sf), chunk_rows=CHUNK).select("recv_ms", "frame_no", "symbol", "interval", "start_ms", "closed")
+
+
+# The subscription list of the live program (pairs of symbol, interval).
+SUBSCRIPTIONS = [("btcusdt", "1m"), ("ethusdt", "1m"), ("solusdt", "1m"), ("rayusdt", "15m")]
+# Subscription used on the synthetic feed (its symbols are event types).
+TEST_SUBSCRIPTIONS = [("click", "15m"), ("view", "15m"), ("error", "1h"), ("btcusdt", "1m")]
+_SUBS_VALUES = ", ".join(f"('{s}', '{i}')" for s, i in TEST_SUBSCRIPTIONS)
+
+
+@query("subscribed_bars", f"SELECT symbol, interval, open_time_ms, close FROM ({sql_event_bars(15)} UNION ALL {sql_event_bars(60)}) b WHERE (lower(symbol), interval) IN (SELECT (s, i) FROM (VALUES {_SUBS_VALUES}) v(s, i))")
+def q_subscribed_bars(spark, sf):
+    subs = fr.subscription_table(spark, TEST_SUBSCRIPTIONS)
+    return fr.subscribed_bars(bars(spark, sf, [15, 60]), subs).select("symbol", "interval", "open_time_ms", "close")
+
+
+@query("heartbeat_events", "SELECT 'binance' AS source, epoch_us(ts) // 1000 AS recv_ts_ms, '' AS remark FROM events WHERE event_type = 'view' AND ts IS NOT NULL")
+def q_heartbeat_events(spark, sf):
+    return fr.heartbeat_events(events(spark, sf))
+
+
+_ROUTE_SQL = f"""
+SELECT 'strategy' AS route, 'kline' AS kind, symbol, end_ms AS ts_ms, CAST(NULL AS VARCHAR) AS detail FROM ({_GOOD}) g WHERE closed
+UNION ALL SELECT 'alerts', 'ping', NULL, epoch_us(ts) // 1000, 'binance' FROM events WHERE event_type = 'view' AND ts IS NOT NULL
+UNION ALL SELECT 'log', 'error', NULL, recv_ms, 'Parse error: ' || reject_reason FROM ({_DECODED_SQL}) d WHERE reject_reason IS NOT NULL"""
+
+
+@query("route_messages", _ROUTE_SQL)
+def q_route_messages(spark, sf):
+    frames, rejects = fr.decode_frames(raw_frames(spark, sf))
+    b = fr.normalize_bars(fr.closed_bars(frames))
+    return fr.route_messages(b, fr.heartbeat_events(events(spark, sf)), rejects)
