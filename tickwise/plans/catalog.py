@@ -424,3 +424,81 @@ def q_route_messages(spark, sf):
     frames, rejects = fr.decode_frames(raw_frames(spark, sf))
     b = fr.normalize_bars(fr.closed_bars(frames))
     return fr.route_messages(b, fr.heartbeat_events(events(spark, sf)), rejects)
+
+
+# ---- text, sinks, sanity, plugin ------------------------------------------------------------------
+
+from ..functions.text import encode_bars, sql_trade_text, trade_text  # noqa: E402
+from ..operators.sanity import SQL_SANITY_REASON, bar_sanity  # noqa: E402
+from ..sinks import alerts as al  # noqa: E402
+from ..sinks import archive as ar  # noqa: E402
+from ..strategies.base import REGISTRY as STRATEGIES  # noqa: E402
+from ..strategies.ema_cross import EmaCrossParams, ema_cross_sql  # noqa: E402
+
+_LEDGER_SQL = f"raw AS ({_RAW_SIGNALS_SQL})" + oq.ledger_select("raw")
+_TRADES_ROUNDED = f"SELECT exchange, symbol, event, direction, enter_price, exit_price, enter_time, exit_time, exit_reason, roi_minutes, roi_pct, round(roi, {ROUND}) AS roi, fee FROM trades"
+
+
+def ledger_trades(spark, sf) -> DataFrame:
+    return trade_ledger(raw_signals(spark, sf), chunk_rows=CHUNK).withColumn("roi", rnd("roi"))
+
+
+@query("trade_text", with_(_LEDGER_SQL + f", tr AS ({_TRADES_ROUNDED})", f"SELECT exchange, symbol, event, enter_time, exit_time, {sql_trade_text()} AS text FROM tr"))
+def q_trade_text(spark, sf):
+    t = ledger_trades(spark, sf)
+    return t.select("exchange", "symbol", "event", "enter_time", "exit_time", trade_text().alias("text"))
+
+
+_BAR_JSON_SQL = "to_json({'exchange': exchange, 'symbol': symbol, 'open_time_ms': open_time_ms, 'close_time_ms': close_time_ms, 'open_time_h': open_time_h, 'interval': interval, 'open': open, 'high': high, 'low': low, 'close': close, 'volume': round(volume, 6), 'trades_count': trades_count})"
+
+
+@query("encode_rows", f"SELECT symbol, open_time_ms, CAST({_BAR_JSON_SQL} AS VARCHAR) AS json FROM ({BAR_SQL15})")
+def q_encode_rows(spark, sf):
+    b = bars(spark, sf).withColumn("volume", rnd("volume"))
+    return b.select("symbol", "open_time_ms", encode_bars(b).alias("json"))
+
+
+@query("archive_bars", f"SELECT symbol, open_time_ms, close, {tm.sql_archive_period('close_time_ms', ar.DEFAULT_ROTATION_S)} AS period FROM ({BAR_SQL15})")
+def q_archive_bars(spark, sf):
+    path = ar.scratch_path(spark, "archive")
+    ar.archive_bars(bars(spark, sf), path)
+    return ar.read_archive(spark, path).select("symbol", "open_time_ms", "close", "period")
+
+
+@query("read_archive", f"SELECT exchange, symbol, open_time_ms, close_time_ms, open_time_h, interval, open, high, low, close, round(volume, {ROUND}) AS volume, trades_count FROM ({BAR_SQL15})")
+def q_read_archive(spark, sf):
+    """Half the bars archived as flat JSON objects, half in the legacy
+    ``[index, {bar}]`` form; both read back."""
+    b = bars(spark, sf)
+    path = ar.scratch_path(spark, "legacy-archive")
+    idx = fr.symbol_index(b.select("symbol", F.col("close_time_ms").alias("recv_ms"), F.lit(0).alias("frame_no")))
+    legacy = ar.legacy_lines(b.filter(F.col("trades_count") % 2 == 0).join(idx, "symbol"))
+    flat = b.filter(F.col("trades_count") % 2 == 1).select(encode_bars(b).alias("value"))
+    legacy.unionByName(flat).write.mode("overwrite").option("compression", "gzip").text(path)
+    back = ar.read_archive(spark, path, fmt="json")
+    return back.select(*[rnd(c).alias(c) if c == "volume" else F.col(c) for c in ar.BAR_FIELDS])
+
+
+# Fixed value: the alert URL list of the live program's configuration.
+ALERT_URLS = ["http://127.0.0.1:8000/alert/webhook"]
+TEST_URLS = ALERT_URLS + ["http://127.0.0.1:8001/alert/webhook"]
+
+
+@query("alert_payloads", None)
+def q_alert_payloads(spark, sf):
+    urls = al.url_table(spark, TEST_URLS)
+    return al.alert_payloads(ledger_trades(spark, sf), fr.heartbeat_events(events(spark, sf)), urls)
+
+
+@query("bar_sanity", f"SELECT symbol, open_time_ms, {SQL_SANITY_REASON} AS reject_reason FROM ({_NORM_SQL}) n")
+def q_bar_sanity(spark, sf):
+    b = fr.normalize_bars(fr.closed_bars(good_frames(spark, sf)))
+    good, bad = bar_sanity(b)
+    return good.select("symbol", "open_time_ms", F.lit(None).cast("string").alias("reject_reason")).unionByName(
+        bad.select("symbol", "open_time_ms", "reject_reason"))
+
+
+@query("strategy_plugin", with_(ema_cross_sql(EmaCrossParams(), BAR_SQL15), SIG_SELECT))
+def q_strategy_plugin(spark, sf):
+    strat = STRATEGIES["ema_cross"]()
+    return strat.signals(bars(spark, sf, 15), CHUNK).select(*SIG_COLS)
