@@ -502,3 +502,33 @@ def q_bar_sanity(spark, sf):
 def q_strategy_plugin(spark, sf):
     strat = STRATEGIES["ema_cross"]()
     return strat.signals(bars(spark, sf, 15), CHUNK).select(*SIG_COLS)
+
+
+# ---- streaming (T5) ------------------------------------------------------------------------------
+
+from ..streaming.stateful import stream_signals  # noqa: E402
+
+
+def run_stream(spark, bars_df: DataFrame, strategy) -> DataFrame:
+    """Replay bars as a file stream through the keyed-state operator; the
+    signals land in a parquet file sink (shared folder) and are read back."""
+    src = ar.scratch_path(spark, "stream-src")
+    bars_df.write.mode("overwrite").parquet(src)
+    stream = spark.readStream.schema(bars_df.schema).parquet(src)
+    out, ckpt = ar.scratch_path(spark, "stream-out"), ar.scratch_path(spark, "stream-ckpt")
+    q = (stream_signals(stream, strategy).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return spark.read.schema(
+        "exchange string, symbol string, seq bigint, ts_ms bigint, kind string, direction string, reason string, "
+        "roi_minutes bigint, roi_pct double, price double").parquet(out)
+
+
+@query("stream_signals", with_(oq.bandtastic_signal_ctes(BT_ACTIVE), SIG_SELECT))
+def q_stream_signals(spark, sf):
+    return run_stream(spark, bars(spark, sf, 15), Bandtastic(BT_ACTIVE)).select(*SIG_COLS)
+
+
+@query("stream_macd_signals", with_(oq.macd_signal_ctes(MP), SIG_SELECT))
+def q_stream_macd_signals(spark, sf):
+    return run_stream(spark, bars(spark, sf, [60, 240]), MultiTimeFrameMacd(MP)).select(*SIG_COLS)
