@@ -6,10 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The text forms a float parser accepts.  Plain decimal with
-# optional sign, fraction and exponent, or inf / infinity / nan; nothing
-# else (no blanks, no type suffix, no hex).
-DECIMAL_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-SPECIAL_PATTERN = r"^[+-]?(?i)(inf|infinity|nan)$"
+# optional sign, fraction and exponent, or inf / infinity (optionally signed)
+# / nan in any letter case; nothing else (no blanks, no type suffix, no hex).
+FLOAT_TEXT_PATTERN = r"^([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|[+-]?(?i:inf|infinity)|(?i:nan))$"
+SQL_FLOAT_TEXT_PATTERN = "([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])|[nN][aA][nN])"
 
 
 def _col(c) -> Column:
@@ -17,30 +17,16 @@ def _col(c) -> Column:
 
 
 def parse_price(text) -> Column:
-    """Text -> double; anything a strict float parser rejects -> 0.0."""
+    """Text -> double; anything a strict float parser rejects -> 0.0.
+
+    The guard is needed because a SQL cast is lenient (blanks, ``1.0d``)."""
     t = _col(text)
-    lowered = F.lower(t)
-    special = (
-        F.when(lowered.isin("nan", "+nan", "-nan"), F.lit(float("nan")))
-        .when(lowered.startswith("-"), F.lit(float("-inf")))
-        .otherwise(F.lit(float("inf")))
-    )
-    return (
-        F.when(t.rlike(DECIMAL_PATTERN), F.coalesce(t.try_cast("double"), F.lit(0.0)))
-        .when(t.rlike(SPECIAL_PATTERN), special)
-        .otherwise(F.lit(0.0))
-    )
+    return F.when(t.rlike(FLOAT_TEXT_PATTERN), F.coalesce(t.try_cast("double"), F.lit(0.0))).otherwise(F.lit(0.0))
 
 
 def sql_parse_price(text: str) -> str:
-    return (
-        f"CASE WHEN regexp_full_match({text}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') "
-        f"THEN coalesce(TRY_CAST({text} AS DOUBLE), 0.0) "
-        f"WHEN regexp_full_match(lower({text}), '[+-]?(inf|infinity|nan)') THEN "
-        f"CASE WHEN lower({text}) IN ('nan','+nan','-nan') THEN 'nan'::DOUBLE "
-        f"WHEN {text} LIKE '-%' THEN '-inf'::DOUBLE ELSE 'inf'::DOUBLE END "
-        f"ELSE 0.0 END"
-    )
+    return (f"CASE WHEN regexp_full_match({text}, '{SQL_FLOAT_TEXT_PATTERN}') "
+            f"THEN coalesce(TRY_CAST({text} AS DOUBLE), 0.0) ELSE 0.0 END")
 
 
 def hlc3(high="high", low="low", close="close") -> Column:

@@ -57,22 +57,30 @@ FRAME_COLUMNS = ["recv_ms", "frame_no"] + [c for c, _, _ in FRAME_LEAVES]
 
 def decode_all(raw: DataFrame) -> DataFrame:
     """raw (recv_ms, frame_no, text) -> every frame with its leaves and a
-    ``reject_reason`` (null for a good frame)."""
-    v = F.try_parse_json("text")
-    df = raw.withColumn("_v", v)
+    ``reject_reason`` (null for a good frame).
+
+    Two projections: the JSON type of every leaf first (one variant lookup
+    each), then values and the reason from those types.  Keeping them apart
+    keeps each generated function small enough for whole-stage codegen.
+    """
+    v = raw.select("recv_ms", "frame_no", F.try_parse_json("text").alias("_v"))
+    types = v.select(
+        "recv_ms", "frame_no", "_v",
+        *[F.schema_of_variant(F.try_variant_get(F.col("_v"), path, "variant")).alias(f"_t{i}")
+          for i, (_, path, _) in enumerate(FRAME_LEAVES)],
+    )
     reason: Column = F.when(F.col("_v").isNull(), F.lit("not_json"))
     cols = []
-    for name, path, kind in FRAME_LEAVES:
-        sub = F.try_variant_get(F.col("_v"), path, "variant")
-        typ = F.schema_of_variant(sub)
-        missing = sub.isNull() | (typ == F.lit("VOID"))
+    for i, (name, path, kind) in enumerate(FRAME_LEAVES):
+        typ = F.col(f"_t{i}")
         ok = typ.isin(*VARIANT_TYPE_NAMES[kind])
         value = F.try_variant_get(F.col("_v"), path, SPARK_TYPES[kind])
         if kind == "int32":
-            ok = ok & value.between(INT32_MIN, INT32_MAX)
-        reason = reason.when(missing, F.lit(f"missing:{path[2:]}")).when(~ok, F.lit(f"type:{path[2:]}"))
+            value = F.when(value.between(INT32_MIN, INT32_MAX), value)
+            ok = ok & value.isNotNull()
+        reason = reason.when(typ.isNull() | (typ == F.lit("VOID")), F.lit(f"missing:{path[2:]}")).when(~ok, F.lit(f"type:{path[2:]}"))
         cols.append(F.when(ok, value).alias(name))
-    return df.select("recv_ms", "frame_no", *cols, reason.alias("reject_reason"))
+    return types.select("recv_ms", "frame_no", *cols, reason.alias("reject_reason"))
 
 
 def decode_frames(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -145,6 +153,12 @@ def _num(c: str) -> Column:
     return F.col(c).cast("string")
 
 
+FRAME_TEMPLATE = (
+    '{"stream":"%s@kline_%s","data":{"e":"kline","E":%s,"s":"%s","k":{"t":%s,"T":%s,"s":"%s","i":"%s",'
+    '"f":1,"L":2,"o":%s,"c":"%s","h":"%s","l":"%s","v":"%s"%s,"x":%s,"q":"0","V":"0","Q":"0","B":"0"}}}'
+)
+
+
 def frame_text(bars: DataFrame, closed: Column, open_text: Column | None = None, drop_trades: Column | None = None,
                high_text: Column | None = None) -> Column:
     o = open_text if open_text is not None else F.concat(F.lit('"'), _num("open"), F.lit('"'))
@@ -152,18 +166,10 @@ def frame_text(bars: DataFrame, closed: Column, open_text: Column | None = None,
     n_part = F.concat(F.lit(',"n":'), F.col("trades_count").cast("string"))
     if drop_trades is not None:
         n_part = F.when(drop_trades, F.lit("")).otherwise(n_part)
-    return F.concat(
-        F.lit('{"stream":"'), F.lower("symbol"), F.lit("@kline_"), F.col("interval"),
-        F.lit('","data":{"e":"kline","E":'), F.col("close_time_ms").cast("string"),
-        F.lit(',"s":"'), F.col("symbol"),
-        F.lit('","k":{"t":'), F.col("open_time_ms").cast("string"),
-        F.lit(',"T":'), F.col("close_time_ms").cast("string"),
-        F.lit(',"s":"'), F.col("symbol"), F.lit('","i":"'), F.col("interval"),
-        F.lit('","f":1,"L":2,"o":'), o,
-        F.lit(',"c":"'), _num("close"), F.lit('","h":"'), h, F.lit('","l":"'), _num("low"),
-        F.lit('","v":"'), _num("volume"), F.lit('"'), n_part,
-        F.lit(',"x":'), F.when(closed, F.lit("true")).otherwise(F.lit("false")),
-        F.lit(',"q":"0","V":"0","Q":"0","B":"0"}}}'),
+    return F.format_string(
+        FRAME_TEMPLATE, F.lower("symbol"), F.col("interval"), _num("close_time_ms"), F.col("symbol"),
+        _num("open_time_ms"), _num("close_time_ms"), F.col("symbol"), F.col("interval"), o, _num("close"), h,
+        _num("low"), _num("volume"), n_part, F.when(closed, F.lit("true")).otherwise(F.lit("false")),
     )
 
 
