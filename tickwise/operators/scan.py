@@ -90,7 +90,8 @@ def affine_scan(
         # Inclusive scan over chunks of the chunk maps, then shift by one chunk.
         chunk_specs = [Affine(f"_end_{n}", F.col(f"_pa_{n}"), F.col(f"_ly_{n}")) for n in names]
         level = summary.select(*keys, (F.col("_chunk") + 1).alias("_cseq"), *[f"_{p}_{n}" for n in names for p in ("pa", "ly")])
-        ends = affine_scan(level, keys, chunk_specs, seq_col="_cseq", chunk_rows=chunk_rows)
+        # Each level is at least half as long as the one below (chunks of >= 2 maps).
+        ends = affine_scan(level, keys, chunk_specs, seq_col="_cseq", chunk_rows=max(chunk_rows, 2))
         carries = ends.select(
             *keys, F.col("_cseq").alias("_chunk"), *[F.col(f"_end_{n}").alias(f"_carry_{n}") for n in names]
         )
