@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,11 @@ from ..session import materialize, ship_package
 from .series import DEFAULT_CHUNK_ROWS, chunk_expr
 
 
+# Up to this many chunks per key the carries are folded on the summary table
+# directly; beyond it the summary is scanned recursively.
+DIRECT_CARRY_CHUNKS = 4096
+
+
 @dataclass
 class Affine:
     """One recurrence: output column ``name`` with coefficients ``a`` and ``b``."""
@@ -75,19 +80,31 @@ def affine_scan(
     t = df.withColumn("_chunk", chunk_expr(seq_col, chunk_rows))
     for s in specs:
         t = t.withColumn(f"_ca_{s.name}", s.a.cast("double")).withColumn(f"_cb_{s.name}", s.b.cast("double"))
+    # Only keys, order and coefficients travel to Python; results join back by (key, seq).
+    coef = [f"_{p}_{n}" for n in names for p in ("ca", "cb")]
+    narrow = t.select(*keys, "_chunk", seq_col, *coef)
     extra = [T.StructField(f"_{p}_{n}", T.DoubleType()) for n in names for p in ("pa", "ly")]
-    schema = T.StructType(t.schema.fields + extra)
-    local = materialize(t.groupBy(*keys, "_chunk").applyInPandas(_fold_chunk(seq_col, names), schema))
+    schema = T.StructType(narrow.schema.fields + extra)
+    folded = materialize(narrow.groupBy(*keys, "_chunk").applyInPandas(_fold_chunk(seq_col, names), schema).drop(*coef))
 
     # One affine map per chunk: its last row's (A, Y).
     last = F.max_by(F.struct(*[F.col(f"_{p}_{n}") for n in names for p in ("pa", "ly")]), F.col(seq_col))
-    summary = local.groupBy(*keys, "_chunk").agg(last.alias("_m"))
+    summary = folded.groupBy(*keys, "_chunk").agg(last.alias("_m"))
     summary = summary.select(*keys, "_chunk", *[F.col("_m")[f"_{p}_{n}"].alias(f"_{p}_{n}") for n in names for p in ("pa", "ly")])
     max_chunk = summary.agg(F.max("_chunk")).first()[0] or 0
     if max_chunk == 0:
         carries = None
+    elif max_chunk < DIRECT_CARRY_CHUNKS:
+        # Few chunks per key: fold the preceding chunk maps of every chunk
+        # directly on the small summary table (JVM side).
+        before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        sel = [*keys, "_chunk"]
+        for n in names:
+            maps = F.collect_list(F.struct(F.col(f"_pa_{n}").alias("a"), F.col(f"_ly_{n}").alias("y"))).over(before)
+            sel.append(F.aggregate(maps, F.lit(0.0), lambda acc, m: m["a"] * acc + m["y"]).alias(f"_carry_{n}"))
+        carries = summary.select(*sel)
     else:
-        # Inclusive scan over chunks of the chunk maps, then shift by one chunk.
+        # Long series: the chunk maps are themselves a scan, chunk_rows times shorter.
         chunk_specs = [Affine(f"_end_{n}", F.col(f"_pa_{n}"), F.col(f"_ly_{n}")) for n in names]
         level = summary.select(*keys, (F.col("_chunk") + 1).alias("_cseq"), *[f"_{p}_{n}" for n in names for p in ("pa", "ly")])
         # Each level is at least half as long as the one below (chunks of >= 2 maps).
@@ -95,13 +112,13 @@ def affine_scan(
         carries = ends.select(
             *keys, F.col("_cseq").alias("_chunk"), *[F.col(f"_end_{n}").alias(f"_carry_{n}") for n in names]
         )
-    out = local
+    out = t.drop(*coef).join(folded, [*keys, "_chunk", seq_col])
     if carries is not None:
         out = out.join(carries, [*keys, "_chunk"], "left")
     for n in names:
         carry = F.coalesce(F.col(f"_carry_{n}"), F.lit(0.0)) if carries is not None else F.lit(0.0)
         out = out.withColumn(n, F.col(f"_pa_{n}") * carry + F.col(f"_ly_{n}"))
-    drop = ["_chunk"] + [f"_{p}_{n}" for n in names for p in ("ca", "cb", "pa", "ly")]
+    drop = ["_chunk"] + [f"_{p}_{n}" for n in names for p in ("pa", "ly")]
     if carries is not None:
         drop += [f"_carry_{n}" for n in names]
     return out.drop(*drop)
