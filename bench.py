@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "resample_bars", "bollinger", "ema", "macd", "macd_asof", "bandtastic_signals", "strategy_params",
     "macd_signals", "trade_ledger", "macd_trades", "decode_frames", "normalize_bars", "collapse_updates",
-    "stream_signals",
+    "stream_signals", "daily_bars", "daily_bandtastic_signals",
 ]
 
 

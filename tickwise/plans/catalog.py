@@ -532,3 +532,25 @@ def q_stream_signals(spark, sf):
 @query("stream_macd_signals", with_(oq.macd_signal_ctes(MP), SIG_SELECT))
 def q_stream_macd_signals(spark, sf):
     return run_stream(spark, bars(spark, sf, [60, 240]), MultiTimeFrameMacd(MP)).select(*SIG_COLS)
+
+
+# ---- larger series: daily bars per supplier from lineitem -------------------------------------------
+
+from ..sources.bars import lineitem_daily_bars, sql_lineitem_bars  # noqa: E402
+
+BT_DAILY = BandtasticParams(**ACTIVE_BANDTASTIC, interval="1d", bar_minutes=1440)
+
+
+def daily_bars(spark, sf) -> DataFrame:
+    return lineitem_daily_bars(read_table(spark, sf, "lineitem"))
+
+
+@query("daily_bars", f"SELECT * FROM ({sql_lineitem_bars()})")
+def q_daily_bars(spark, sf):
+    # Prices are one division per line item on both sides: compared unrounded.
+    return daily_bars(spark, sf)
+
+
+@query("daily_bandtastic_signals", with_(oq.bandtastic_signal_ctes(BT_DAILY, source=sql_lineitem_bars()), SIG_SELECT))
+def q_daily_bandtastic(spark, sf):
+    return Bandtastic(BT_DAILY).signals(daily_bars(spark, sf), CHUNK).select(*SIG_COLS)
