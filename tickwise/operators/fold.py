@@ -66,31 +66,42 @@ def _clean(v: Any) -> Any:
     return v
 
 
-def _chunk_runner(spec: FoldSpec, keys: list[str], seq_col: str, ts_col: str, out_schema: T.StructType):
+def _chunk_stream(spec: FoldSpec, keys: list[str], seq_col: str, ts_col: str, out_schema: T.StructType):
+    """Per-partition pass over rows sorted by (key, chunk, seq): fold each
+    chunk from the state attached to its rows, emit its signals and one
+    ``end`` row with the state it ends in."""
     state_names = [n for n, _ in spec.state_fields]
     in_cols = [f"in_{n}" for n in state_names]
     out_names = [f.name for f in out_schema.fields]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(seq_col, kind="stable")
-        first = pdf.iloc[0]
-        state = tuple(_clean(first[c]) for c in in_cols)
-        if all(v is None for v in state):
-            state = spec.flat_state()
-        in_state = state
-        key_vals = [first[k] for k in keys]
-        chunk = int(first["_chunk"])
-        cols = [pdf[c].tolist() for c in spec.row_columns]
-        seqs = pdf[seq_col].tolist()
-        tss = pdf[ts_col].tolist()
-        rows = []
-        for i, row in enumerate(zip(*cols)):
-            row = tuple(_clean(v) for v in row)
-            state, sig = spec.step(state, row)
-            if sig is not None:
-                rows.append([*key_vals, chunk, "sig", seqs[i], tss[i], *sig, *([None] * len(state_names)), *([None] * len(state_names))])
-        rows.append([*key_vals, chunk, "end", seqs[-1], tss[-1], *([None] * len(SIGNAL_FIELDS)), *state, *in_state])
-        return pd.DataFrame(rows, columns=out_names)
+    blank_state = [None] * len(state_names)
+    blank_signal = [None] * len(SIGNAL_FIELDS)
+
+    def run(batches):
+        group = None  # (key values..., chunk)
+        state = in_state = None
+        last_seq = last_ts = None
+        for pdf in batches:
+            rows = []
+            gcols = list(zip(*[pdf[c].tolist() for c in [*keys, "_chunk"]]))
+            incols = list(zip(*[pdf[c].tolist() for c in in_cols]))
+            feats = list(zip(*[pdf[c].tolist() for c in spec.row_columns]))
+            seqs = pdf[seq_col].tolist()
+            tss = pdf[ts_col].tolist()
+            for i, g in enumerate(gcols):
+                if g != group:
+                    if group is not None:
+                        rows.append([*group, "end", last_seq, last_ts, *blank_signal, *state, *in_state])
+                    group = g
+                    start = tuple(_clean(v) for v in incols[i])
+                    state = spec.flat_state() if all(v is None for v in start) else start
+                    in_state = state
+                state, sig = spec.step(state, tuple(_clean(v) for v in feats[i]))
+                last_seq, last_ts = seqs[i], tss[i]
+                if sig is not None:
+                    rows.append([*g, "sig", last_seq, last_ts, *sig, *blank_state, *blank_state])
+            yield pd.DataFrame(rows, columns=out_names)
+        if group is not None:
+            yield pd.DataFrame([[*group, "end", last_seq, last_ts, *blank_signal, *state, *in_state]], columns=out_names)
 
     return run
 
@@ -123,10 +134,11 @@ def run_fold(
         + [T.StructField(f"out_{n}", t) for n, t in spec.state_fields]
         + [T.StructField(f"in_{n}", t) for n, t in spec.state_fields]
     )
-    runner = _chunk_runner(spec, keys, seq_col, ts_col, out_schema)
+    runner = _chunk_stream(spec, keys, seq_col, ts_col, out_schema)
 
     def fold_chunks(inputs: DataFrame) -> DataFrame:
-        return inputs.groupBy(*keys, "_chunk").applyInPandas(runner, out_schema)
+        clustered = inputs.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", seq_col)
+        return clustered.mapInPandas(runner, out_schema)
 
     null_state = [F.lit(None).cast(t).alias(f"in_{n}") for n, t in spec.state_fields]
     if initial_state is None:

@@ -3,7 +3,7 @@
 Spark has no recursive window.  Affine maps compose associatively, so a
 series is cut into chunks of ``chunk_rows`` rows:
 
-1. per (key, chunk) -- a bounded group -- an ``applyInPandas`` fold gives the
+1. per (key, chunk) -- a bounded group -- a streaming ``mapInPandas`` pass gives the
    local result ``Y_t`` (as if the chunk started from 0) and the running
    product ``A_t`` of the coefficients;
 2. each chunk's last (A, Y) is one affine map; the carry into every chunk is
@@ -43,27 +43,40 @@ class Affine:
     b: Column
 
 
-def _fold_chunk(seq_col: str, names: list[str]):
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(seq_col, kind="stable")
-        n = len(pdf)
-        for name in names:
-            a = pdf[f"_ca_{name}"].to_numpy(dtype=float).tolist()
-            b = pdf[f"_cb_{name}"].to_numpy(dtype=float).tolist()
-            prod_a = np.empty(n)
-            local = np.empty(n)
-            p, y = 1.0, 0.0
-            for t in range(n):
-                at = a[t]
-                p = p * at
-                y = at * y + b[t]
-                prod_a[t] = p
-                local[t] = y
-            pdf[f"_pa_{name}"] = prod_a
-            pdf[f"_ly_{name}"] = local
-        return pdf
-
-    return fold
+def _fold_stream(group_cols: list[str], names: list[str]):
+    """Per-partition pass over rows sorted by (group, seq): local fold and
+    running coefficient product, restarted at every group boundary and
+    carried across Arrow batches."""
+
+    def run(batches):
+        current = None
+        prod = [1.0] * len(names)
+        acc = [0.0] * len(names)
+        for pdf in batches:
+            n = len(pdf)
+            groups = list(zip(*[pdf[c].tolist() for c in group_cols]))
+            a_cols = [pdf[f"_ca_{nm}"].to_numpy(dtype=float).tolist() for nm in names]
+            b_cols = [pdf[f"_cb_{nm}"].to_numpy(dtype=float).tolist() for nm in names]
+            pa_out = [np.empty(n) for _ in names]
+            ly_out = [np.empty(n) for _ in names]
+            for i in range(n):
+                if groups[i] != current:
+                    current = groups[i]
+                    prod = [1.0] * len(names)
+                    acc = [0.0] * len(names)
+                for j in range(len(names)):
+                    at = a_cols[j][i]
+                    prod[j] = prod[j] * at
+                    acc[j] = at * acc[j] + b_cols[j][i]
+                    pa_out[j][i] = prod[j]
+                    ly_out[j][i] = acc[j]
+            out = pdf.drop(columns=[f"_{p}_{nm}" for nm in names for p in ("ca", "cb")])
+            for j, nm in enumerate(names):
+                out[f"_pa_{nm}"] = pa_out[j]
+                out[f"_ly_{nm}"] = ly_out[j]
+            yield out
+
+    return run
 
 
 def affine_scan(
@@ -84,8 +97,10 @@ def affine_scan(
     coef = [f"_{p}_{n}" for n in names for p in ("ca", "cb")]
     narrow = t.select(*keys, "_chunk", seq_col, *coef)
     extra = [T.StructField(f"_{p}_{n}", T.DoubleType()) for n in names for p in ("pa", "ly")]
-    schema = T.StructType(narrow.schema.fields + extra)
-    folded = materialize(narrow.groupBy(*keys, "_chunk").applyInPandas(_fold_chunk(seq_col, names), schema).drop(*coef))
+    schema = T.StructType([f for f in narrow.schema.fields if f.name not in coef] + extra)
+    # Cluster each (key, chunk) in one partition, in order; one streaming pass per partition.
+    clustered = narrow.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", seq_col)
+    folded = materialize(clustered.mapInPandas(_fold_stream([*keys, "_chunk"], names), schema))
 
     # One affine map per chunk: its last row's (A, Y).
     last = F.max_by(F.struct(*[F.col(f"_{p}_{n}") for n in names for p in ("pa", "ly")]), F.col(seq_col))
