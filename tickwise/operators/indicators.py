@@ -58,20 +58,9 @@ def bollinger_bands(df: DataFrame, ks: Sequence[int] = BB_MULTIPLIERS, prefix: s
     return df
 
 
-def mfi_expr(w: WindowSpec, n: int = 14) -> Column:
-    """Money flow index over the last ``n`` flows; each flow compares with its previous bar."""
-    cells = F.collect_list(F.struct(hlc3().alias("tp"), F.col("volume").alias("vol"))).over(w.rowsBetween(-n, 0))
-    cur = F.slice(cells, 2, n)
-    prev = F.slice(cells, 1, n)
-    pos = F.zip_with(cur, prev, lambda c, p: F.when(c["tp"] > p["tp"], c["tp"] * c["vol"]).otherwise(F.lit(0.0)))
-    neg = F.zip_with(cur, prev, lambda c, p: F.when(c["tp"] < p["tp"], c["tp"] * c["vol"]).otherwise(F.lit(0.0)))
-    sp = F.aggregate(pos, F.lit(0.0), lambda acc, x: acc + x)
-    sn = F.aggregate(neg, F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(sp + sn == 0, F.lit(50.0)).otherwise(F.lit(100.0) * sp / (sp + sn))
-
-
-def rolling_high_expr(w: WindowSpec, n: int = 100, col: str = "close") -> Column:
-    return F.max(col).over(frame(w, n))
+def _block(n: int) -> int:
+    """Largest divisor of ``n`` not above its square root."""
+    return max(d for d in range(1, int(n ** 0.5) + 1) if n % d == 0)
 
 
 def bar_windows(
@@ -83,17 +72,38 @@ def bar_windows(
     seq_col: str = "seq",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
-    """W1, W2, W3 and the previous close, in one window node over (key, chunk)."""
+    """W1, W2, W3 and the previous close, in one window pass over (key, chunk).
+
+    Stage 1: previous close and typical price, and the maximum over blocks of
+    ``b`` rows; stage 2: band mean/deviation, money-flow sums, and the rolling
+    high as the maximum of ``high_n / b`` lagged block maxima (about
+    2*sqrt(n) work per row instead of n)."""
+    b = _block(high_n)
+    tp = hlc3()
 
-    def build(w: WindowSpec) -> dict[str, Column]:
-        out = bollinger_exprs(w, bb_n)
-        out["mfi"] = mfi_expr(w, mfi_n)
-        out["high100"] = rolling_high_expr(w, high_n)
-        out["prev_close"] = F.lag("close", 1).over(w)
-        return out
+    def build(w: WindowSpec) -> list[dict[str, Column]]:
+        first = {
+            "_tp": tp,
+            "prev_close": F.lag("close", 1).over(w),
+            "_prev_tp": F.lag(tp, 1).over(w),
+            "_blockmax": F.max("close").over(frame(w, b)),
+        }
+        pos = F.when(F.col("_tp") > F.col("_prev_tp"), F.col("_tp") * F.col("volume")).otherwise(F.lit(0.0))
+        neg = F.when(F.col("_tp") < F.col("_prev_tp"), F.col("_tp") * F.col("volume")).otherwise(F.lit(0.0))
+        sp = F.sum(pos).over(frame(w, mfi_n))
+        sn = F.sum(neg).over(frame(w, mfi_n))
+        lags = [F.col("_blockmax")] + [F.lag("_blockmax", k * b).over(w) for k in range(1, high_n // b)]
+        second = {
+            "bb_mid": F.avg("_tp").over(frame(w, bb_n)),
+            "bb_sd": F.stddev_pop("_tp").over(frame(w, bb_n)),
+            "mfi": F.when(sp + sn == 0, F.lit(50.0)).otherwise(F.lit(100.0) * sp / (sp + sn)),
+            "high100": F.greatest(*lags) if len(lags) > 1 else lags[0],
+        }
+        return [first, second]
 
     halo = max(bb_n - 1, mfi_n, high_n - 1, 1)
-    return bollinger_bands(halo_window(bars, keys, build, halo, seq_col, chunk_rows))
+    out = halo_window(bars, keys, build, halo, seq_col, chunk_rows)
+    return bollinger_bands(out.drop("_tp", "_prev_tp", "_blockmax"))
 
 
 # ---- recurrences -----------------------------------------------------------------------

@@ -75,7 +75,9 @@ def halo_window(
 
     ``w`` is ``partitionBy(keys, chunk).orderBy(seq)``; expressions may look
     back at most ``halo`` rows (``rowsBetween(-halo, 0)``, ``lag(x, halo)``)
-    and forward at most ``ahead`` rows (``lead(x, ahead)``).
+    and forward at most ``ahead`` rows (``lead(x, ahead)``).  ``build`` may
+    return a list of dicts, evaluated in order; the look-backs of the stages
+    then add up and must stay within ``halo``.
     """
     keys = list(keys)
     pos = (F.col(seq_col) - 1) % F.lit(chunk_rows)
@@ -90,8 +92,12 @@ def halo_window(
         .withColumn("_wchunk", chunk_expr(seq_col, chunk_rows) + F.col("_shift"))
     )
     w = Window.partitionBy(*keys, "_wchunk").orderBy(seq_col)
-    exprs = build(w)
-    out = copies.select("*", *[e.alias(name) for name, e in exprs.items()])
+    stages = build(w)
+    out = copies
+    # Several stages (later ones may use earlier results) share one partitioning
+    # and order, so they plan as consecutive Window operators without a new shuffle.
+    for exprs in (stages if isinstance(stages, list) else [stages]):
+        out = out.select("*", *[e.alias(name) for name, e in exprs.items()])
     return out.filter(F.col("_shift") == 0).drop("_shift", "_wchunk")
 
 
