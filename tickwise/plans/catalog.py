@@ -484,7 +484,20 @@ ALERT_URLS = ["http://127.0.0.1:8000/alert/webhook"]
 TEST_URLS = ALERT_URLS + ["http://127.0.0.1:8001/alert/webhook"]
 
 
-@query("alert_payloads", None)
+def _alert_sql() -> str:
+    name = al.DEFAULT_STRATEGY_NAME
+    urls = ", ".join(f"('{u}')" for u in TEST_URLS)
+    trade_ts = "CASE WHEN event = 'close' THEN exit_time ELSE enter_time END"
+    trades = (f"SELECT 'trade' AS kind, symbol, {trade_ts} AS ts_ms, CAST(to_json({{'{al.KEY_TRADE}': {sql_trade_text()}, "
+              f"'{al.KEY_TIME}': {tm.sql_alert_time(trade_ts)}, '{al.KEY_SYMBOL}': symbol, '{al.KEY_STRATEGY}': '{name}'}}) AS VARCHAR) AS body FROM tr")
+    pings = (f"SELECT 'ping' AS kind, CAST(NULL AS VARCHAR) AS symbol, recv AS ts_ms, CAST(to_json({{'{al.KEY_TIME}': {tm.sql_alert_time('recv')}, "
+             f"'{al.KEY_PING}': {{'recv_ts_ms': recv, 'remark': '', 'source': '{fr.PING_SOURCE}'}}, '{al.KEY_STRATEGY}': '{name}'}}) AS VARCHAR) AS body "
+             "FROM (SELECT epoch_us(ts) // 1000 AS recv FROM events WHERE event_type = 'view' AND ts IS NOT NULL) p")
+    return with_(_LEDGER_SQL + f", tr AS ({_TRADES_ROUNDED})",
+                 f"SELECT a.*, u.url FROM ({trades} UNION ALL {pings}) a CROSS JOIN (VALUES {urls}) u(url)")
+
+
+@query("alert_payloads", _alert_sql())
 def q_alert_payloads(spark, sf):
     urls = al.url_table(spark, TEST_URLS)
     return al.alert_payloads(ledger_trades(spark, sf), fr.heartbeat_events(events(spark, sf)), urls)
