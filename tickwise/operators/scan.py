@@ -93,6 +93,8 @@ def affine_scan(
     t = df.withColumn("_chunk", chunk_expr(seq_col, chunk_rows))
     for s in specs:
         t = t.withColumn(f"_ca_{s.name}", s.a.cast("double")).withColumn(f"_cb_{s.name}", s.b.cast("double"))
+    # The input feeds both the Python pass and the join back: compute it once.
+    t = materialize(t)
     # Only keys, order and coefficients travel to Python; results join back by (key, seq).
     coef = [f"_{p}_{n}" for n in names for p in ("ca", "cb")]
     narrow = t.select(*keys, "_chunk", seq_col, *coef)
