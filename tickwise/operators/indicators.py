@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.numbers import hlc3
@@ -42,14 +42,6 @@ def frame(w: WindowSpec, n: int) -> WindowSpec:
     return w.rowsBetween(-(n - 1), 0)
 
 
-def bollinger_exprs(w: WindowSpec, n: int = 20, ks: Sequence[int] = BB_MULTIPLIERS, prefix: str = "bb") -> dict[str, Column]:
-    tp = hlc3()
-    mid = F.avg(tp).over(frame(w, n))
-    sd = F.stddev_pop(tp).over(frame(w, n))
-    out = {f"{prefix}_mid": mid, f"{prefix}_sd": sd}
-    return out
-
-
 def bollinger_bands(df: DataFrame, ks: Sequence[int] = BB_MULTIPLIERS, prefix: str = "bb") -> DataFrame:
     """Lower/upper bands from the mid and deviation columns."""
     for k in ks:
@@ -147,11 +139,3 @@ def macd(df: DataFrame, keys: Sequence[str], fast: int = 12, slow: int = 26, sig
     ).withColumn(f"{p}macd", F.col("_ema_fast") - F.col("_ema_slow"))
     out = affine_scan(out, keys, [ema_spec(f"{p}signal", F.col(f"{p}macd"), ema_alpha(signal), seq_col)], seq_col, chunk_rows)
     return out.withColumn(f"{p}hist", F.col(f"{p}macd") - F.col(f"{p}signal")).drop("_ema_fast", "_ema_slow")
-
-
-def running_count(flag: Column) -> Column:
-    return F.when(flag, F.lit(1)).otherwise(F.lit(0))
-
-
-def unbounded_window(keys: Sequence[str], seq_col: str = "seq") -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
