@@ -7,15 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import exact_dedup
+from . import exact_dedup, simhash
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_decisions(read_table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_exact_dedup": op6_exact_dedup}
+    return {"op3_simhash": op3_simhash, "op6_exact_dedup": op6_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
