@@ -7,19 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import exact_dedup, simhash
+from . import exact_dedup, packing, simhash, token_files
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_decisions(read_table(spark, sf_dir, "documents"))
 
 
+def vocabulary_path(name: str) -> str:
+    """Place of a public vocabulary file (installed beside Spark on every machine)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), "word", end_id=1, capacity=4096)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return token_files.write_and_read(docs, vocabulary_path("byte_bpe_50k.json"), 50257, style="byte", end_id=0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_simhash": op3_simhash, "op6_exact_dedup": op6_exact_dedup}
+    return {
+        "op3_simhash": op3_simhash,
+        "op4_pack": op4_pack,
+        "op6_exact_dedup": op6_exact_dedup,
+        "op10_token_files": op10_token_files,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
