@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .heavy import frequent_digests
+from .heavy import with_largest
 
 # Fixed values of the contract: only these letters are folded.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -43,13 +43,7 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             _ROW, F.monotonically_increasing_id()
         )
     )
-    winner = [F.max(F.struct(_ID, _ROW)).alias("w"), F.count("*").alias("group_size")]
-    frequent = frequent_digests(rows, _DIGEST)
-    winners = materialize(rows.join(F.broadcast(frequent), _DIGEST).groupBy(_DIGEST).agg(*winner))
-    hot = rows.join(F.broadcast(winners), _DIGEST)
-    rest = rows.join(F.broadcast(winners.select(_DIGEST)), _DIGEST, "left_anti")
-    rest = rest.join(rest.groupBy(_DIGEST).agg(*winner), _DIGEST)
-    return hot.unionByName(rest).select(
+    return with_largest(rows, _DIGEST, [_ID, _ROW]).select(
         _ID, _DIGEST, F.col("w")[_ID].alias("keep_id"), "group_size", (F.col("w")[_ROW] == F.col(_ROW)).alias("kept")
     )
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 #: Keys returned at most: the proven bound of every table that callers broadcast.
 MAX_FREQUENT = 1024
 #: Counters kept per summary.  A key held by more than about rows / 2,000 rows is always found.
@@ -25,3 +27,19 @@ def frequent_digests(rows: DataFrame, digest: str) -> DataFrame:
         F.expr(f"explode(approx_top_k(hex(`{digest}`), {MAX_FREQUENT}, {COUNTERS}))").alias("f")
     )
     return found.where(F.col("f.count") > 1).select(F.unhex("f.item").alias(digest))
+
+
+def with_largest(rows: DataFrame, digest: str, by: list[str]) -> DataFrame:
+    """Add ``w``, the largest struct of ``by`` among the rows of a digest, and
+    ``group_size`` to every row.
+
+    ``rows`` is read several times, so it should be a written table.  Frequent
+    digests are settled by an exact aggregation of partial results and a
+    map-side join of at most ``MAX_FREQUENT`` rows; the others by an ordinary
+    shuffle.  Digests must not be null."""
+    largest = [F.max(F.struct(*by)).alias("w"), F.count("*").alias("group_size")]
+    frequent = frequent_digests(rows, digest)
+    winners = materialize(rows.join(F.broadcast(frequent), digest).groupBy(digest).agg(*largest))
+    hot = rows.join(F.broadcast(winners), digest)
+    rest = rows.join(F.broadcast(winners.select(digest)), digest, "left_anti")
+    return hot.unionByName(rest.join(rest.groupBy(digest).agg(*largest), digest))

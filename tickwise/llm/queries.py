@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import exact_dedup, packing, simhash, token_files
+from . import exact_dedup, langid, mixing, packing, quality, simhash, token_files, topk, toxicity, warc
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,15 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(read_table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -29,6 +39,23 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), "word", end_id=1, capacity=4096)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(read_table(spark, sf_dir, "pages"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return token_files.write_and_read(docs, vocabulary_path("byte_bpe_50k.json"), 50257, style="byte", end_id=0)
@@ -36,12 +63,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mix": op1_mix,
+        "op2_toxicity": op2_toxicity,
         "op3_simhash": op3_simhash,
         "op4_pack": op4_pack,
+        "op5_quality": op5_quality,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_topk": op7_topk,
+        "op8_warc": op8_warc,
+        "op9_language": op9_language,
         "op10_token_files": op10_token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {
+        "op6_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op7_topk": topk.ORACLE_SQL,
+        "op8_warc": warc.ORACLE_SQL,
+    }
