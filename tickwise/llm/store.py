@@ -29,7 +29,7 @@ def open_out(folder: str, name: str):
     uri = f"{folder}/{stem}-{uuid.uuid4().hex[:12]}{dot}{ending}"
     system, path = fs.FileSystem.from_uri(_plain(uri))
     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    return uri, system.open_output_stream(path)
+    return uri, system.open_output_stream(path, compression=None)
 
 
 def open_in(uri: str):

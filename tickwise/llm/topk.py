@@ -72,7 +72,7 @@ class BallTree:
         heap = [(-bounds[0], 0)]
         while heap:
             bound, node = heapq.heappop(heap)
-            bar = best[0][0] if len(best) == k else floor
+            bar = best[0][0] if len(best) == k else floor  # bounds and scores are cut to a long's range before they meet it
             if -bound < bar:
                 break
             if len(best) == k and np.floor(-bound) <= bar and self.least[node] > -best[0][1]:
@@ -90,7 +90,7 @@ class BallTree:
             scores = self._scores(others, vector)
             for at in np.flatnonzero(scores >= bar):
                 id_ = int(self.ids[others[at]])
-                found = (max(_LOWEST, min(-_LOWEST - 1, int(scores[at]))), -id_)
+                found = (int(scores[at]), -id_)
                 if id_ == query:
                     continue
                 if len(best) < k:
@@ -103,13 +103,15 @@ class BallTree:
         if self.size * float(np.abs(vector).max(initial=0.0)) * max(1, len(vector)) < _EXACT:
             return self.vectors[rows] @ vector  # exact: every sum is an integer below 2 ** 53
         whole = [int(x) for x in vector]
-        return np.array([sum(int(a) * b for a, b in zip(row, whole)) for row in self.vectors[rows]], object)
+        exact = (sum(int(a) * b for a, b in zip(row, whole)) for row in self.vectors[rows])
+        return np.array([max(_LOWEST, min(-_LOWEST - 1, x)) for x in exact], object)
 
     def bounds(self, vectors: np.ndarray) -> np.ndarray:
         """Upper bound of every node's scores for each query, a little above rounding."""
         norms = np.sqrt((vectors**2).sum(axis=1))[:, None]
         reach = np.sqrt((self.centre**2).sum(axis=1)) + self.radius
-        return vectors @ self.centre.T + norms * self.radius + norms * reach * 1e-9 + 1e-6
+        bounds = vectors @ self.centre.T + norms * self.radius + norms * reach * 1e-9 + 1e-6
+        return np.maximum(np.nan_to_num(bounds, nan=np.inf, posinf=np.inf), float(_LOWEST))
 
 
 def scaled(vector: Column) -> Column:
@@ -202,9 +204,9 @@ def search(
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0

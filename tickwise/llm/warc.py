@@ -66,12 +66,6 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + (f":{port}" if port not in (None, default) else "") + ")" + tail
 
 
-@F.arrow_udf("string")
-def _keys(urls: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for column in urls:
-        yield pa.array([url_key(u) for u in column.to_pylist()], pa.string())
-
-
 def record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
     """One gzip member."""
     lines = [VERSION, b"WARC-Type: " + kind.encode()]
@@ -237,7 +231,7 @@ def write_index(captures: DataFrame) -> DataFrame:
 
     order = ["key", "time", "page_id", "uri", "at"]
     dealt = captures.select("key", "time", "page_id", "uri", "at", "size").repartitionByRange(*order).sortWithinPartitions(*order)
-    return materialize(dealt.mapInArrow(run, "shard int, uri string, first string, last string"))
+    return materialize(dealt.mapInArrow(run, "shard bigint, uri string, first string, last string"))
 
 
 def lookup(index: DataFrame, keys: DataFrame) -> DataFrame:
@@ -340,7 +334,13 @@ def archive(pages: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
 def keys_of(pages: DataFrame) -> DataFrame:
     """The distinct URL keys of a ``url`` column."""
     ship_package(pages.sparkSession)
-    return pages.select("url").distinct().select(_keys(F.col("url")).alias("key")).distinct()
+
+    @F.arrow_udf("string")
+    def keys(urls: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in urls:
+            yield pa.array([url_key(u) for u in column.to_pylist()], pa.string())
+
+    return pages.select("url").distinct().select(keys(F.col("url")).alias("key")).distinct()
 
 
 def archive_and_read(pages: DataFrame) -> DataFrame:
