@@ -119,7 +119,7 @@ def fit(sample: DataFrame, settings: Settings) -> Model:
     kind = sample.schema["id"].dataType.simpleString()
     examples = sample.mapInArrow(hashed, f"id {kind}, label int, features array<int>")
     # A bounded sample: one task, in the order of the ids' hash whatever the partitions were.
-    one = examples.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", "features")
+    one = examples.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id")
     found = one.mapInArrow(train, "i bigint, w double").collect()  # at most 2 ** bits + 1 weights
     pairs = sorted((r["i"], r["w"]) for r in found)
     if not pairs:

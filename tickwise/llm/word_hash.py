@@ -80,6 +80,9 @@ def grams(hashes: np.ndarray, text: np.ndarray, gaps: tuple[int, ...]) -> tuple[
             pair = mix(hashes[:-g] * np.uint64(0xD6E8FEB86659FD93) + hashes[g:] + np.uint64(g))
             out.append(pair[same])
             owner.append(text[g:][same])
+            twice = text[g:][same & (hashes[g:] == hashes[:-g])]
+            out.append(np.full(len(twice), mix(np.array([g], np.uint64))[0]))
+            owner.append(twice)
     return np.concatenate(out), np.concatenate(owner)
 
 
