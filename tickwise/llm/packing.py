@@ -31,7 +31,7 @@ from ..session import materialize, ship_package
 from .encode import encoded
 
 #: Pieces numbered together in one group.
-GROUP_ROWS = 8192
+GROUP_ROWS = 1024
 
 
 def fullest(slack: int, counts: dict[int, int]) -> dict[int, int]:

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship_package
@@ -57,18 +57,21 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(lo), bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp): the id column's value and the fingerprint as a signed long, one row per input row.  Null text: 0."""
-    ship_package(docs.sparkSession)
+def fingerprint_column(text: Column, shingle: int = 3) -> Column:
+    """The fingerprint of a text column as a signed long; null text: 0."""
+    ship_package(SparkSession.active())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = np.array([fingerprint(t.as_py() or b"", shingle) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64), pa.int64())], ["id", "fp"])
+    @F.arrow_udf("bigint")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            yield pa.array(np.array([fingerprint(t.as_py() or b"", shingle) for t in column], np.uint64).view(np.int64))
+
+    return run(text.cast("binary"))
 
-    kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
-    return narrow.mapInArrow(run, f"id {kind}, fp bigint")
+
+def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """(id, fp), one row per input row."""
+    return docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle).alias("fp"))
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -153,6 +156,19 @@ def links(prints: DataFrame, max_bits: int = 3, crowd: int = CROWD) -> DataFrame
     return out
 
 
+def _labels(prints: DataFrame, max_bits: int, crowd: int) -> DataFrame:
+    """(fp, component_id, keeper) per distinct fingerprint of (id, fp) rows:
+    the smallest id of its component, and the fingerprint that has it."""
+    groups = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")))
+    roots = components(links(groups.select("fp"), max_bits, crowd), "a", "b")
+    joined = groups.join(roots, groups.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    joined = materialize(joined)
+    first = F.min(F.when(F.col("least").isNotNull(), F.struct("least", "fp")))
+    least = joined.groupBy("root").agg(first.alias("first"), F.min("fp").alias("any"))
+    least = least.select("root", F.col("first.least").alias("component_id"), F.coalesce("first.fp", "any").alias("keeper"))
+    return joined.join(least, "root").select("fp", "component_id", "keeper")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, crowd: int = CROWD
 ) -> DataFrame:
@@ -164,12 +180,28 @@ def near_duplicates(
     in component_id (null if a component has no other).  An empty table gives
     an empty table; other columns are not read."""
     rows = materialize(with_fingerprints(docs, id_col, text_col, shingle))
-    groups = materialize(rows.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(links(groups.select("fp"), max_bits, crowd), "a", "b")
-    joined = groups.join(roots, groups.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    joined = materialize(joined)
-    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = joined.join(least, "root").select("fp", "component_id")
-    return rows.join(labels, "fp").select(
+    return rows.join(_labels(rows, max_bits, crowd).drop("keeper"), "fp").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, crowd: int = CROWD
+) -> DataFrame:
+    """One row of every component, all its columns unchanged: the one with the
+    smallest id (a null id is larger than any).  If that row is repeated, or
+    its id and fingerprint occur in several rows, one of them stays."""
+    names = docs.columns
+    columns = [F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), fingerprint_column(F.col(text_col), shingle).alias("fp")]
+    prints = materialize(docs.select(*columns))
+    kept = _labels(prints.select("id", "fp"), max_bits, crowd).where("fp = keeper").select("fp", "component_id")
+    rows = prints.groupBy("id", "fp", "hash").agg(F.count("*").alias("n")).groupBy("id", "fp").agg(F.min(F.struct("hash", "n")).alias("r"))
+    kept = rows.alias("r").join(kept.alias("k"), (F.col("r.fp") == F.col("k.fp")) & F.col("id").eqNullSafe(F.col("component_id")))
+    kept = materialize(kept.select(F.col("id").alias("_nd_id"), F.col("r.r.hash").alias("_nd_hash"), F.col("r.r.n").alias("_nd_n")))
+    # The texts meet the kept rows by id and text hash: fingerprints are not computed again.
+    met = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_nd_id")) & (F.xxhash64(F.col(text_col)) == F.col("_nd_hash")))
+    out = met.where("_nd_n = 1").select(*names)
+    if kept.where("_nd_n > 1").isEmpty():
+        return out
+    one = met.where("_nd_n > 1").groupBy("_nd_id", "_nd_hash").agg(F.any_value(F.struct(*names)).alias("_nd_row"))
+    return out.unionByName(one.select("_nd_row.*"))
