@@ -1,27 +1,37 @@
-"""Chunked state-machine fold (T1, T2, T4): speculate per chunk, then repair.
-
-A strategy is a sequential fold ``step(state, row) -> (state, signal)`` per
-(exchange, symbol).  Running it as one group per symbol would put a hot
-symbol in one task, so the series is cut into chunks of ``chunk_rows`` rows
-(bounded groups) and every chunk is folded in parallel from the *flat*
-state (no position).  A chunk's guess is right whenever the chunk before it
-really ended flat, which is the common case; otherwise the chunk is folded
-again from the state its predecessor really ended in.  Only changed chunks
-are re-run, and each round fixes at least the first wrong chunk of every
-key, so the loop ends with exactly the sequential result.
-
-Each round is materialized with a reliable checkpoint, so a lost executor
-only recomputes the current round.  Nothing but a count of changed chunks
-reaches the driver.
+"""Chunked evaluation of strategies.
+
+A strategy holds at most one position per key.  It is declared, not stepped:
+entry conditions and exit rules are boolean arrays over a run of bars, given
+the open position, in order of precedence.  Evaluating a run therefore jumps
+from trade to trade -- the first entry bar, then the first bar on which any
+exit rule fires -- instead of visiting bars one by one.
+
+A series is cut into chunks of ``chunk_rows`` rows (bounded groups):
+
+1. every chunk is evaluated in parallel as if it began without a position, and
+   summarised by the bounds of its bars (lowest and highest close, ...);
+2. one pass over the chunk summaries -- one row per chunk, streamed in order --
+   follows the position: a chunk that was evaluated from the state it really
+   gets passes on its end state; a chunk whose bounds show that no rule can
+   fire passes an open position through unevaluated; any other chunk must be
+   evaluated from its real state;
+3. those chunks are evaluated, all of them in one pass, and step 2 is repeated
+   until no chunk is left.
+
+A position held over any number of chunks costs one look at their bounds, so
+the number of rounds follows the number of chunks whose result changes the
+next one's, not the length of positions.  A round writes only the chunks it
+evaluated.  Nothing but an emptiness test reaches the driver.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Any, Protocol
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,69 +49,177 @@ SIGNAL_FIELDS = [
 ]
 
 Signal = tuple  # (kind, direction, reason, roi_minutes, roi_pct, price)
+State = tuple  # values of the state fields; all None: no position
+Bars = dict[str, np.ndarray]
+
+#: Bars looked at first after an entry; doubled until an exit is found.
+FIRST_LOOK = 64
+
+
+@dataclass
+class Exit:
+    """An exit rule over a run of bars, for one open position."""
+
+    reason: str
+    fires: np.ndarray
+    roi_minutes: int | None = None
+    roi_pct: float | None = None
 
 
 class FoldSpec(Protocol):
-    """What the engine needs from a strategy."""
+    """What the engine needs from a strategy.  ``row_columns`` includes ``close``."""
 
     state_fields: list[tuple[str, T.DataType]]
     row_columns: list[str]
+    enter_kind: str
+    exit_kind: str
 
-    def flat_state(self) -> tuple: ...
+    def entries(self, bars: Bars) -> list[tuple[str, np.ndarray]]:
+        """(direction, where it may be entered), strongest first."""
 
-    def step(self, state: tuple, row: tuple) -> tuple[tuple, Signal | None]: ...
+    def opened(self, bars: Bars, at: int, direction: str) -> State:
+        """The position entered on a bar."""
 
-    def canonical(self, cols: dict[str, Column]) -> list[Column]: ...
+    def exits(self, state: State, bars: Bars) -> list[Exit]:
+        """Exit rules for an open position, strongest first."""
 
+    def held(self, state: State, bars: Bars) -> State:
+        """The position after bars on which no rule fired."""
 
-def _clean(v: Any) -> Any:
-    if v is None:
-        return None
-    if isinstance(v, float) and math.isnan(v):
-        return None
-    if hasattr(v, "item"):
-        v = v.item()
-        if isinstance(v, float) and math.isnan(v):
-            return None
-    return v
+    def restored(self, state: State) -> State:
+        """A position that was given from outside, completed."""
 
+    def bounds(self) -> dict[str, Column]:
+        """Aggregates of a chunk's rows that ``passes`` needs."""
 
-def _chunk_stream(spec: FoldSpec, keys: list[str], seq_col: str, ts_col: str, out_schema: T.StructType):
-    """Per-partition pass over rows sorted by (key, chunk, seq): fold each
-    chunk from the state attached to its rows, emit its signals and one
-    ``end`` row with the state it ends in."""
-    state_names = [n for n, _ in spec.state_fields]
-    in_cols = [f"in_{n}" for n in state_names]
-    out_names = [f.name for f in out_schema.fields]
-    blank_state = [None] * len(state_names)
+    def passes(self, state: State, bounds: dict[str, Any]) -> State | None:
+        """The position after a chunk with these bounds if surely no rule fires there, else None."""
+
+
+def evaluate(spec: FoldSpec, state: State, bars: Bars) -> tuple[list[tuple[int, Signal]], State]:
+    """Signals (row, signal) of a run of bars that begins in ``state``, and the state it ends in."""
+    rows = len(bars["close"])
+    flat = (None,) * len(spec.state_fields)
+    ways = spec.entries(bars)
+    entry_rows = np.flatnonzero(np.logical_or.reduce([where for _, where in ways])) if rows else np.zeros(0, int)
+    close, out, at, look = bars["close"], [], 0, FIRST_LOOK
+    while at < rows:
+        if state[0] is None:
+            n = int(np.searchsorted(entry_rows, at))
+            if n == len(entry_rows):
+                break
+            at = int(entry_rows[n])
+            direction = next(d for d, where in ways if where[at])
+            out.append((at, (spec.enter_kind, direction, None, None, None, float(close[at]))))
+            state, at, look = spec.opened(bars, at, direction), at + 1, FIRST_LOOK
+            continue
+        run = {c: v[at : at + look] for c, v in bars.items()}
+        rules = spec.exits(state, run)
+        fired = np.logical_or.reduce([r.fires for r in rules])
+        if not fired.any():
+            state, at, look = spec.held(state, run), at + len(fired), look * 2
+            continue
+        first = int(fired.argmax())
+        rule = next(r for r in rules if r.fires[first])
+        at += first
+        out.append((at, (spec.exit_kind, None, rule.reason, rule.roi_minutes, rule.roi_pct, float(close[at]))))
+        state, at = flat, at + 1
+    return out, state
+
+
+def _array(column: pa.Array) -> np.ndarray:
+    """Numbers with null as NaN, booleans with null as False."""
+    if pa.types.is_boolean(column.type):
+        return column.fill_null(False).to_numpy(zero_copy_only=False)
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _chunk_evaluator(spec: FoldSpec, keys: list[str], seq_col: str, ts_col: str, out_schema: T.StructType):
+    """Per-partition pass over rows sorted by (key, chunk, seq): evaluate each
+    chunk from the state on its first row; emit its signals and one ``end`` row."""
+    in_cols = [f"in_{n}" for n, _ in spec.state_fields]
+    blank_state = [None] * len(in_cols)
     blank_signal = [None] * len(SIGNAL_FIELDS)
+    schema = None
+
+    def chunk(parts: list[pa.RecordBatch]) -> list[list]:
+        table = pa.Table.from_batches(parts).combine_chunks()
+        column = lambda c: table.column(c).chunk(0)
+        head = [column(c)[0].as_py() for c in [*keys, "_chunk"]]
+        state = tuple(column(c)[0].as_py() for c in in_cols)
+        start = spec.restored(state) if state[0] is not None else (None,) * len(state)
+        found, end = evaluate(spec, start, {c: _array(column(c)) for c in spec.row_columns})
+        seq, ts = column(seq_col), column(ts_col)
+        rows = [[*head, "sig", seq[i].as_py(), ts[i].as_py(), *s, *blank_state, *blank_state] for i, s in found]
+        return [*rows, [*head, "end", None, None, *blank_signal, *end, *start]]
 
     def run(batches):
-        group = None  # (key values..., chunk)
-        state = in_state = None
-        last_seq = last_ts = None
-        for pdf in batches:
+        nonlocal schema
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        schema = schema or to_arrow_schema(out_schema)
+        parts: list[pa.RecordBatch] = []
+        for batch in batches:
+            begins = np.flatnonzero(batch.column(batch.schema.get_field_index("_pos")).to_numpy() == 0)
+            rows: list[list] = []
+            cuts = [0, *begins.tolist(), batch.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo in begins and parts:
+                    rows += chunk(parts)
+                    parts = []
+                if hi > lo:
+                    parts.append(batch.slice(lo, hi - lo))
+            if rows:
+                yield _batch(rows, schema)
+        if parts:
+            yield _batch(chunk(parts), schema)
+
+    return run
+
+
+def _batch(rows: list[list], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def _follower(spec: FoldSpec, keys: list[str], bound_names: list[str], out_schema: T.StructType):
+    """Per-partition pass over chunk summaries sorted by (key, chunk, round):
+    what each chunk's real start state is, and which evaluation holds for it."""
+    names = [n for n, _ in spec.state_fields]
+    flat = (None,) * len(names)
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        schema = to_arrow_schema(out_schema)
+        place, state, chunk, known, summary = None, flat, None, [], None
+
+        def settle():
+            """The chunk in hand: (row for it, state after it)."""
+            for start, end, number in known:
+                if start == state:
+                    return [*place, chunk, number, False, *state], end
+            after = spec.passes(state, summary) if state[0] is not None else None
+            if after is not None:
+                return [*place, chunk, None, False, *state], after
+            return [*place, chunk, None, True, *state], known[-1][1]  # go on with the latest guess
+
+        for batch in batches:
             rows = []
-            gcols = list(zip(*[pdf[c].tolist() for c in [*keys, "_chunk"]]))
-            incols = list(zip(*[pdf[c].tolist() for c in in_cols]))
-            feats = list(zip(*[pdf[c].tolist() for c in spec.row_columns]))
-            seqs = pdf[seq_col].tolist()
-            tss = pdf[ts_col].tolist()
-            for i, g in enumerate(gcols):
-                if g != group:
-                    if group is not None:
-                        rows.append([*group, "end", last_seq, last_ts, *blank_signal, *state, *in_state])
-                    group = g
-                    start = tuple(_clean(v) for v in incols[i])
-                    state = spec.flat_state() if all(v is None for v in start) else start
-                    in_state = state
-                state, sig = spec.step(state, tuple(_clean(v) for v in feats[i]))
-                last_seq, last_ts = seqs[i], tss[i]
-                if sig is not None:
-                    rows.append([*g, "sig", last_seq, last_ts, *sig, *blank_state, *blank_state])
-            yield pd.DataFrame(rows, columns=out_names)
-        if group is not None:
-            yield pd.DataFrame([[*group, "end", last_seq, last_ts, *blank_signal, *state, *in_state]], columns=out_names)
+            for r in batch.to_pylist():
+                here = tuple(r[k] for k in keys)
+                if (here, r["_chunk"]) != (place, chunk):
+                    if place is not None:
+                        row, state = settle()
+                        rows.append(row)
+                    if here != place:
+                        given = tuple(r[f"given_{n}"] for n in names)
+                        state = spec.restored(given) if given[0] is not None else flat
+                    place, chunk, known, summary = here, r["_chunk"], [], {b: r[b] for b in bound_names}
+                known.append((tuple(r[f"in_{n}"] for n in names), tuple(r[f"out_{n}"] for n in names), r["_round"]))
+            if rows:
+                yield _batch(rows, schema)
+        if place is not None:
+            yield _batch([settle()[0]], schema)
 
     return run
 
@@ -114,69 +232,73 @@ def run_fold(
     ts_col: str = "ts_ms",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     initial_state: DataFrame | None = None,
-    max_rounds: int | None = None,
 ) -> DataFrame:
-    """Fold ``spec`` over each key's rows in ``seq`` order; return the signals.
+    """Evaluate ``spec`` over each key's rows in ``seq`` order; return the signals.
 
-    ``initial_state`` (optional): keys plus the state fields, the state each
-    key starts in (e.g. a restored open position).
+    ``seq_col`` numbers the rows of a key 1, 2, 3, ...  ``initial_state``
+    (optional): keys plus the state fields, the position each key starts with.
     """
     keys = list(keys)
     ship_package(features.sparkSession)
     names = [n for n, _ in spec.state_fields]
     needed = list(dict.fromkeys([*keys, seq_col, ts_col, *spec.row_columns]))
-    feats = materialize(features.select(*needed).withColumn("_chunk", chunk_expr(seq_col, chunk_rows)))
-    key_fields = [feats.schema[k] for k in keys]
+    pos = ((F.col(seq_col) - 1) % F.lit(chunk_rows)).cast("bigint")
+    feats = materialize(features.select(*needed).withColumn("_chunk", chunk_expr(seq_col, chunk_rows)).withColumn("_pos", pos))
+    at = [*[feats.schema[k] for k in keys], T.StructField("_chunk", T.LongType())]
+    state_of = lambda p: [T.StructField(f"{p}_{n}", t) for n, t in spec.state_fields]
     out_schema = T.StructType(
-        [*key_fields, T.StructField("_chunk", T.LongType()), T.StructField("_rtype", T.StringType()),
-         T.StructField(seq_col, T.LongType()), T.StructField(ts_col, T.LongType())]
-        + [T.StructField(n, t) for n, t in SIGNAL_FIELDS]
-        + [T.StructField(f"out_{n}", t) for n, t in spec.state_fields]
-        + [T.StructField(f"in_{n}", t) for n, t in spec.state_fields]
+        [*at, T.StructField("_rtype", T.StringType()), T.StructField(seq_col, T.LongType()), T.StructField(ts_col, T.LongType())]
+        + [T.StructField(n, t) for n, t in SIGNAL_FIELDS] + state_of("out") + state_of("in")
     )
-    runner = _chunk_stream(spec, keys, seq_col, ts_col, out_schema)
+    evaluator = _chunk_evaluator(spec, keys, seq_col, ts_col, out_schema)
 
-    def fold_chunks(inputs: DataFrame) -> DataFrame:
-        clustered = inputs.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", seq_col)
-        return clustered.mapInPandas(runner, out_schema)
+    def evaluated(rows: DataFrame, number: int) -> DataFrame:
+        clustered = rows.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", seq_col)
+        return materialize(clustered.mapInArrow(evaluator, out_schema).withColumn("_round", F.lit(number).cast("bigint")))
 
-    null_state = [F.lit(None).cast(t).alias(f"in_{n}") for n, t in spec.state_fields]
+    none = [F.lit(None).cast(t).alias(f"in_{n}") for n, t in spec.state_fields]
+    results = evaluated(feats.select("*", *none), 0)
+    bounds = spec.bounds()
+    summary = feats.groupBy(*keys, "_chunk").agg(F.count("*").alias("_rows"), *[c.alias(n) for n, c in bounds.items()])
     if initial_state is None:
-        start = feats.select("*", *null_state)
+        summary = summary.select("*", *[F.lit(None).cast(t).alias(f"given_{n}") for n, t in spec.state_fields])
     else:
-        init = initial_state.select(*keys, *[F.col(n).cast(t).alias(f"in_{n}") for n, t in spec.state_fields])
-        init = init.withColumn("_chunk", F.lit(0).cast("bigint"))
-        start = feats.join(init, [*keys, "_chunk"], "left")
-    results = materialize(fold_chunks(start))
-
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        ends = results.filter(F.col("_rtype") == "end")
-        prev = ends.select(*keys, (F.col("_chunk") + 1).alias("_chunk"), *[F.col(f"out_{n}").alias(f"want_{n}") for n in names])
-        cur = ends.select(*keys, "_chunk", *[f"in_{n}" for n in names])
-        both = cur.join(prev, [*keys, "_chunk"])
-        have = spec.canonical({n: F.col(f"in_{n}") for n in names})
-        want = spec.canonical({n: F.col(f"want_{n}") for n in names})
-        same = F.lit(True)
-        for h, w in zip(have, want):
-            same = same & h.eqNullSafe(w)
-        changed = materialize(both.filter(~same).select(*keys, "_chunk", *[F.col(f"want_{n}").alias(f"in_{n}") for n in names]))
-        if changed.isEmpty():
+        given = initial_state.select(*keys, *[F.col(n).cast(t).alias(f"given_{n}") for n, t in spec.state_fields])
+        summary = summary.join(given, keys, "left")
+    summary = materialize(summary)
+
+    follow_schema = T.StructType([*at, T.StructField("_use", T.LongType()), T.StructField("_need", T.BooleanType()), *state_of("in")])
+    follower = _follower(spec, keys, list(bounds), follow_schema)
+    number = 0
+    while True:
+        ends = results.filter(F.col("_rtype") == "end").select(*keys, "_chunk", "_round", *[f"{p}_{n}" for n in names for p in ("in", "out")])
+        rows = ends.join(summary, [*keys, "_chunk"])
+        followed = rows.repartition(*keys).sortWithinPartitions(*keys, "_chunk", "_round").mapInArrow(follower, follow_schema)
+        followed = materialize(followed)
+        need = followed.filter("_need").select(*keys, "_chunk", *[f"in_{n}" for n in names])
+        if need.isEmpty():
             break
-        redo = fold_chunks(feats.join(changed, [*keys, "_chunk"]))
-        kept = results.join(changed.select(*keys, "_chunk"), [*keys, "_chunk"], "left_anti")
-        results = materialize(kept.unionByName(redo))
-        rounds += 1
+        number += 1
+        results = results.unionByName(evaluated(feats.join(need, [*keys, "_chunk"]), number))
+
+    used = followed.filter(F.col("_use").isNotNull()).select(*keys, "_chunk", F.col("_use").alias("_round"))
+    signals = results.filter(F.col("_rtype") == "sig").join(used, [*keys, "_chunk", "_round"])
+    return signals.select(*keys, seq_col, ts_col, *[n for n, _ in SIGNAL_FIELDS])
+
 
-    return results.filter(F.col("_rtype") == "sig").select(*keys, seq_col, ts_col, *[n for n, _ in SIGNAL_FIELDS])
+def one_bar(spec: FoldSpec, state: State, row: Sequence) -> tuple[State, Signal | None]:
+    """Evaluate a single bar (values of ``row_columns``)."""
+    bars = {c: np.array([np.nan if v is None else v]) for c, v in zip(spec.row_columns, row)}
+    found, end = evaluate(spec, state, bars)
+    return end, found[0][1] if found else None
 
 
-def sequential_fold(rows: Sequence[tuple], spec: FoldSpec, state: tuple | None = None) -> list[tuple[int, Signal]]:
-    """Plain loop over one key's rows (tests): [(row position, signal)]."""
-    state = spec.flat_state() if state is None else state
+def sequential_fold(rows: Sequence[tuple], spec: FoldSpec, state: State | None = None) -> list[tuple[int, Signal]]:
+    """One key's rows bar by bar (tests): [(row position, signal)]."""
+    state = (None,) * len(spec.state_fields) if state is None else spec.restored(state)
     out = []
     for i, row in enumerate(rows):
-        state, sig = spec.step(state, tuple(_clean(v) for v in row))
+        state, sig = one_bar(spec, state, row)
         if sig is not None:
             out.append((i, sig))
     return out

@@ -1,17 +1,18 @@
 """Chunked parallel affine scan  y_t = a_t * y_{t-1} + b_t  (y_0 = 0).
 
 Spark has no recursive window.  Affine maps compose associatively, so a
-series is cut into chunks of ``chunk_rows`` rows:
-
-1. per (key, chunk) -- a bounded group -- a streaming ``mapInPandas`` pass gives the
-   local result ``Y_t`` (as if the chunk started from 0) and the running
-   product ``A_t`` of the coefficients;
-2. each chunk's last (A, Y) is one affine map; the carry into every chunk is
-   the scan of those maps -- the same problem on a table ``chunk_rows``
-   times smaller, solved by recursion;
-3. ``y_t = A_t * carry + Y_t`` in a plain projection.
-
-No task ever holds more than one chunk of one key.
+series is cut into chunks of ``chunk_rows`` rows and scanned in two passes:
+
+1. per chunk, one row: the product of its coefficients and its end value when
+   started from 0 -- that is, the chunk as one affine map;
+2. the carry into every chunk is the scan of those maps -- the same problem on
+   a table ``chunk_rows`` times smaller, solved by recursion, whatever the
+   length of the series -- and a second pass starts each chunk at its carry
+   and returns the rows with their columns.
+
+Both passes stream over rows clustered by (key, chunk).  Within an Arrow batch
+all recurrences of all chunks advance together by numpy doubling steps; a task
+holds one batch.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,11 +30,6 @@ from ..session import materialize, ship_package
 from .series import DEFAULT_CHUNK_ROWS, chunk_expr
 
 
-# Up to this many chunks per key the carries are folded on the summary table
-# directly; beyond it the summary is scanned recursively.
-DIRECT_CARRY_CHUNKS = 4096
-
-
 @dataclass
 class Affine:
     """One recurrence: output column ``name`` with coefficients ``a`` and ``b``."""
@@ -43,38 +39,83 @@ class Affine:
     b: Column
 
 
-def _fold_stream(group_cols: list[str], names: list[str]):
-    """Per-partition pass over rows sorted by (group, seq): local fold and
-    running coefficient product, restarted at every group boundary and
-    carried across Arrow batches."""
+def scan_block(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The recurrence down the rows of a block, one column per series, from 0.
+
+    A zero coefficient starts a new series.  Doubling: after step d every row
+    covers the 2d rows up to it."""
+    a, y, d = a.copy(), b.copy(), 1
+    while d < len(a) and a[d:].any():
+        # 0 * inf must not leak into another series.
+        y[d:] += np.where(a[d:] == 0, 0.0, a[d:] * y[:-d])
+        a[d:] = np.where(a[d:] == 0, 0.0, a[d:] * a[:-d])
+        d *= 2
+    return y
+
+
+def _columns(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
+    found = [batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in names]
+    return np.stack(found, axis=1).astype(float)
+
+
+def _chunk_maps(names: list[str], keep: list[str]):
+    """Pass 1: one row per chunk with its coefficient product and local end."""
+    coef_a, coef_b = [f"_ca_{n}" for n in names], [f"_cb_{n}" for n in names]
+
+    def finished(rows: pa.RecordBatch, product: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+        extra = [pa.array(np.ascontiguousarray(x[:, j])) for j in range(len(names)) for x in (product, end)]
+        kept = [rows.column(rows.schema.get_field_index(c)) for c in keep]
+        return pa.RecordBatch.from_arrays([*kept, *extra], [*keep, *[f"_{p}_{n}" for n in names for p in ("pa", "ly")]])
 
     def run(batches):
-        current = None
-        prod = [1.0] * len(names)
-        acc = [0.0] * len(names)
-        for pdf in batches:
-            n = len(pdf)
-            groups = list(zip(*[pdf[c].tolist() for c in group_cols]))
-            a_cols = [pdf[f"_ca_{nm}"].to_numpy(dtype=float).tolist() for nm in names]
-            b_cols = [pdf[f"_cb_{nm}"].to_numpy(dtype=float).tolist() for nm in names]
-            pa_out = [np.empty(n) for _ in names]
-            ly_out = [np.empty(n) for _ in names]
-            for i in range(n):
-                if groups[i] != current:
-                    current = groups[i]
-                    prod = [1.0] * len(names)
-                    acc = [0.0] * len(names)
-                for j in range(len(names)):
-                    at = a_cols[j][i]
-                    prod[j] = prod[j] * at
-                    acc[j] = at * acc[j] + b_cols[j][i]
-                    pa_out[j][i] = prod[j]
-                    ly_out[j][i] = acc[j]
-            out = pdf.drop(columns=[f"_{p}_{nm}" for nm in names for p in ("ca", "cb")])
-            for j, nm in enumerate(names):
-                out[f"_pa_{nm}"] = pa_out[j]
-                out[f"_ly_{nm}"] = ly_out[j]
-            yield out
+        held = None  # last row so far of the chunk in hand, its product and its end
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            first = batch.column(batch.schema.get_field_index("_pos")).to_numpy() == 0
+            a, b = _columns(batch, coef_a), _columns(batch, coef_b)
+            begins = np.flatnonzero(first)
+            if not first[0]:
+                begins = np.concatenate(([0], begins))
+            product = np.multiply.reduceat(a, begins, axis=0)
+            if not first[0]:
+                b[0] += a[0] * held[2]
+                product[0] *= held[1]
+            elif held is not None:
+                yield finished(held[0], held[1][None], held[2][None])
+            a[begins] = 0.0
+            y = scan_block(a, b)
+            ends = np.append(begins[1:] - 1, batch.num_rows - 1)
+            if len(ends) > 1:
+                yield finished(batch.take(pa.array(ends[:-1])), product[:-1], y[ends[:-1]])
+            held = (batch.slice(int(ends[-1]), 1), product[-1], y[ends[-1]])
+        if held is not None:
+            yield finished(held[0], held[1][None], held[2][None])
+
+    return run
+
+
+def _chunk_values(names: list[str], keep: list[str]):
+    """Pass 2: every row with its scanned values, each chunk started at its carry."""
+    coef_a, coef_b, carry = ([f"_{p}_{n}" for n in names] for p in ("ca", "cb", "carry"))
+
+    def run(batches):
+        last = np.zeros(len(names))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            first = batch.column(batch.schema.get_field_index("_pos")).to_numpy() == 0
+            a, b = _columns(batch, coef_a), _columns(batch, coef_b)
+            begins = np.flatnonzero(first)
+            b[begins] += np.where(a[begins] == 0, 0.0, a[begins] * np.nan_to_num(_columns(batch, carry)[begins], posinf=np.inf, neginf=-np.inf))
+            a[begins] = 0.0
+            if not first[0]:
+                b[0] += a[0] * last
+                a[0] = 0.0
+            y = scan_block(a, b)
+            last = y[-1]
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
+            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(np.ascontiguousarray(y[:, j])) for j in range(len(names))]], [*keep, *names])
 
     return run
 
@@ -86,63 +127,41 @@ def affine_scan(
     seq_col: str = "seq",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
-    """Add one column per spec holding the scanned value ``y_t``."""
-    keys = list(keys)
+    """Add one column per spec holding the scanned value ``y_t``.
+
+    ``seq_col`` numbers the rows of each key 1, 2, 3, ... without gaps.  The
+    only thing the driver learns is the largest chunk number."""
+    keys, names = list(keys), [s.name for s in specs]
+    chunk_rows = max(chunk_rows, 2)  # every level is at most half as long as the one below
     ship_package(df.sparkSession)
-    names = [s.name for s in specs]
-    t = df.withColumn("_chunk", chunk_expr(seq_col, chunk_rows))
+    t = df.withColumn("_chunk", chunk_expr(seq_col, chunk_rows)).withColumn("_pos", ((F.col(seq_col) - 1) % F.lit(chunk_rows)).cast("bigint"))
     for s in specs:
         t = t.withColumn(f"_ca_{s.name}", s.a.cast("double")).withColumn(f"_cb_{s.name}", s.b.cast("double"))
-    # The input feeds both the Python pass and the join back: compute it once.
-    t = materialize(t)
-    # Only keys, order and coefficients travel to Python; results join back by (key, seq).
+    t = materialize(t)  # read by both passes: computed once
     coef = [f"_{p}_{n}" for n in names for p in ("ca", "cb")]
-    narrow = t.select(*keys, "_chunk", seq_col, *coef)
-    extra = [T.StructField(f"_{p}_{n}", T.DoubleType()) for n in names for p in ("pa", "ly")]
-    schema = T.StructType([f for f in narrow.schema.fields if f.name not in coef] + extra)
-    # Cluster each (key, chunk) in one partition, in order; one streaming pass per partition.
-    clustered = narrow.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", seq_col)
-    folded = materialize(clustered.mapInPandas(_fold_stream([*keys, "_chunk"], names), schema))
-
-    # One affine map per chunk: its last row's (A, Y).
-    last = F.max_by(F.struct(*[F.col(f"_{p}_{n}") for n in names for p in ("pa", "ly")]), F.col(seq_col))
-    summary = folded.groupBy(*keys, "_chunk").agg(last.alias("_m"))
-    summary = summary.select(*keys, "_chunk", *[F.col("_m")[f"_{p}_{n}"].alias(f"_{p}_{n}") for n in names for p in ("pa", "ly")])
-    max_chunk = summary.agg(F.max("_chunk")).first()[0] or 0
-    if max_chunk == 0:
-        carries = None
-    elif max_chunk < DIRECT_CARRY_CHUNKS:
-        # Few chunks per key: fold the preceding chunk maps of every chunk
-        # directly on the small summary table (JVM side).
-        before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        sel = [*keys, "_chunk"]
-        for n in names:
-            maps = F.collect_list(F.struct(F.col(f"_pa_{n}").alias("a"), F.col(f"_ly_{n}").alias("y"))).over(before)
-            sel.append(F.aggregate(maps, F.lit(0.0), lambda acc, m: m["a"] * acc + m["y"]).alias(f"_carry_{n}"))
-        carries = summary.select(*sel)
-    else:
-        # Long series: the chunk maps are themselves a scan, chunk_rows times shorter.
-        chunk_specs = [Affine(f"_end_{n}", F.col(f"_pa_{n}"), F.col(f"_ly_{n}")) for n in names]
-        level = summary.select(*keys, (F.col("_chunk") + 1).alias("_cseq"), *[f"_{p}_{n}" for n in names for p in ("pa", "ly")])
-        # Each level is at least half as long as the one below (chunks of >= 2 maps).
-        ends = affine_scan(level, keys, chunk_specs, seq_col="_cseq", chunk_rows=max(chunk_rows, 2))
-        carries = ends.select(
-            *keys, F.col("_cseq").alias("_chunk"), *[F.col(f"_end_{n}").alias(f"_carry_{n}") for n in names]
-        )
-    out = t.drop(*coef).join(folded, [*keys, "_chunk", seq_col])
-    if carries is not None:
-        out = out.join(carries, [*keys, "_chunk"], "left")
-    for n in names:
-        carry = F.coalesce(F.col(f"_carry_{n}"), F.lit(0.0)) if carries is not None else F.lit(0.0)
-        out = out.withColumn(n, F.col(f"_pa_{n}") * carry + F.col(f"_ly_{n}"))
-    drop = ["_chunk"] + [f"_{p}_{n}" for n in names for p in ("pa", "ly")]
-    if carries is not None:
-        drop += [f"_carry_{n}" for n in names]
-    return out.drop(*drop)
+
+    def clustered(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", seq_col)
+
+    carries = [F.lit(0.0).alias(f"_carry_{n}") for n in names]
+    if t.agg(F.max("_chunk")).first()[0]:
+        keep = [*keys, "_chunk"]
+        schema = T.StructType([t.schema[c] for c in keep] + [T.StructField(f"_{p}_{n}", T.DoubleType()) for n in names for p in ("pa", "ly")])
+        maps = clustered(t.select(*keys, "_chunk", "_pos", seq_col, *coef)).mapInArrow(_chunk_maps(names, keep), schema)
+        maps = maps.withColumn("_cseq", F.col("_chunk") + 1).drop("_chunk")
+        ends = affine_scan(maps, keys, [Affine(f"_end_{n}", F.col(f"_pa_{n}"), F.col(f"_ly_{n}")) for n in names], "_cseq", chunk_rows)
+        # The end of a chunk is the carry into the next one.
+        ends = ends.select(*keys, F.col("_cseq").alias("_chunk"), *[F.col(f"_end_{n}").alias(f"_carry_{n}") for n in names])
+        t = t.join(ends, [*keys, "_chunk"], "left")
+        carries = [F.coalesce(f"_carry_{n}", F.lit(0.0)).alias(f"_carry_{n}") for n in names]
+    keep = df.columns
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+    rows = t.select(*keep, "_chunk", "_pos", *coef, *carries)
+    return clustered(rows).mapInArrow(_chunk_values(names, keep), schema)
 
 
 def sequential_affine(a: Sequence[float], b: Sequence[float]) -> list[float]:
-    """Reference fold for tests: the plain left-to-right recurrence."""
+    """The plain left-to-right recurrence (tests)."""
     y, out = 0.0, []
     for at, bt in zip(a, b):
         y = at * y + bt

@@ -161,6 +161,11 @@ def bt_features(spark, sf, params=None) -> DataFrame:
     return strat.features(bars(spark, sf, strat.params.bar_minutes), CHUNK)
 
 
+def bt_windows(spark, sf) -> DataFrame:
+    """The bounded-window columns only: nothing of the recurrences is computed."""
+    return Bandtastic(BT).windows(bars(spark, sf, BT.bar_minutes), CHUNK)
+
+
 def _bt_sql(select: str, p: BandtasticParams = BT) -> str:
     return with_(oq.bandtastic_feature_ctes(p), select)
 
@@ -170,24 +175,25 @@ _BANDS = ", ".join(f"round(bb_lower{k}, {ROUND}) AS bb_lower{k}, round(bb_upper{
 
 @query("bollinger", _bt_sql(f"SELECT exchange, symbol, seq, round(bb_mid, {ROUND}) AS bb_mid, {_BANDS} FROM feat"))
 def q_bollinger(spark, sf):
-    f = bt_features(spark, sf)
+    f = bt_windows(spark, sf)
     return f.select("exchange", "symbol", "seq", rnd("bb_mid").alias("bb_mid"),
                     *[rnd(f"bb_{s}{k}").alias(f"bb_{s}{k}") for k in (1, 2, 3, 4) for s in ("lower", "upper")])
 
 
 @query("mfi", _bt_sql(f"SELECT exchange, symbol, seq, round(mfi, {ROUND}) AS mfi FROM feat"))
 def q_mfi(spark, sf):
-    return bt_features(spark, sf).select("exchange", "symbol", "seq", rnd("mfi").alias("mfi"))
+    return bt_windows(spark, sf).select("exchange", "symbol", "seq", rnd("mfi").alias("mfi"))
 
 
 @query("rolling_high", _bt_sql("SELECT exchange, symbol, seq, high100 FROM feat"))
 def q_rolling_high(spark, sf):
-    return bt_features(spark, sf).select("exchange", "symbol", "seq", "high100")
+    return bt_windows(spark, sf).select("exchange", "symbol", "seq", "high100")
 
 
 @query("bar_index", with_(oq.macd_feature_ctes(MP), "SELECT exchange, symbol, seq, interval_c, bar_index FROM feat"))
 def q_bar_index(spark, sf):
-    f = MultiTimeFrameMacd(MP).features(bars(spark, sf, [60, 240]), CHUNK)
+    strat = MultiTimeFrameMacd(MP)
+    f = strat.merged(strat.accepted(bars(spark, sf, [60, 240])), CHUNK)
     return f.select("exchange", "symbol", "seq", "interval_c", F.col("bar_index").cast("bigint").alias("bar_index"))
 
 

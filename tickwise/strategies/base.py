@@ -5,9 +5,9 @@ A strategy has two halves:
 * ``features(bars, chunk_rows)`` -- Spark columns only (windows, scans,
   predicates), producing one row per bar it accepts with ``seq`` (its
   processing order per key) and ``ts_ms``;
-* the fold -- ``flat_state``, ``step`` and ``canonical`` -- a tiny
-  per-bar state machine, run in bounded chunks by ``run_fold`` (batch) and
-  bar by bar by the streaming processor.
+* the rules -- entry conditions and exit rules as arrays over bars, given the
+  open position -- evaluated in bounded chunks by ``run_fold`` (batch) and over
+  the bars of a micro-batch by the streaming processor.
 
 New strategies subclass ``Strategy`` and register with ``@register``.
 """
@@ -18,10 +18,11 @@ import dataclasses
 import json
 from typing import Any, ClassVar
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
-from ..operators.fold import run_fold
+from ..operators.fold import Bars, Exit, run_fold
 from ..operators.series import DEFAULT_CHUNK_ROWS
 
 KEYS = ["exchange", "symbol"]
@@ -72,15 +73,31 @@ class Strategy:
     def features(self, bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
         raise NotImplementedError
 
-    # -- fold half -------------------------------------------------------------------
-    def flat_state(self) -> tuple:
+    # -- rules half (see operators.fold.FoldSpec) ---------------------------------------
+    enter_kind: ClassVar[str] = ENTER
+    exit_kind: ClassVar[str] = EXIT
+
+    def entries(self, bars: Bars) -> list[tuple[str, np.ndarray]]:
+        raise NotImplementedError
+
+    def opened(self, bars: Bars, at: int, direction: str) -> tuple:
         raise NotImplementedError
 
-    def step(self, state: tuple, row: tuple):
+    def exits(self, state: tuple, bars: Bars) -> list[Exit]:
         raise NotImplementedError
 
-    def canonical(self, cols: dict[str, Column]) -> list[Column]:
-        return list(cols.values())
+    def held(self, state: tuple, bars: Bars) -> tuple:
+        return state
+
+    def restored(self, state: tuple) -> tuple:
+        return state
+
+    def bounds(self) -> dict[str, Column]:
+        return {}
+
+    def passes(self, state: tuple, bounds: dict[str, Any]) -> tuple | None:
+        """Without bounds nothing is known of a chunk: it is always evaluated."""
+        return None
 
     # -- both ------------------------------------------------------------------------
     def signals(self, bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS, initial_state: DataFrame | None = None) -> DataFrame:

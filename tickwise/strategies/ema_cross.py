@@ -1,7 +1,7 @@
 """U1 example: a strategy added through the plugin interface.
 
 Long when the fast EMA of close is above the slow one, flat when below.
-Features are two recurrences in one scan pass; the fold holds the entry price.
+Features are two recurrences in one scan pass; the position is its entry price.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.intervals import canonical_interval
+from ..operators.fold import Exit
 from ..operators.indicators import ema_alpha, ema_spec
 from ..operators.scan import affine_scan
 from ..operators.series import DEFAULT_CHUNK_ROWS, sequence
-from .base import ENTER, EXIT, KEYS, LONG, STOP_PROFIT, Params, Strategy, register
+from .base import KEYS, LONG, STOP_PROFIT, Params, Strategy, register
 
 
 @dataclass(frozen=True)
@@ -42,17 +43,20 @@ class EmaCross(Strategy):
                                   ema_spec("slow_ema", F.col("close"), ema_alpha(p.slow))], chunk_rows=chunk_rows)
         return b.withColumn("ts_ms", F.col("close_time_ms"))
 
-    def flat_state(self):
-        return (None,)
-
-    def step(self, state, row):
-        (price,) = state
-        close, fast, slow = row
-        if price is None and fast > slow:
-            return (close,), (ENTER, LONG, None, None, None, close)
-        if price is not None and fast < slow:
-            return (None,), (EXIT, None, STOP_PROFIT, None, None, close)
-        return state, None
+    def entries(self, bars):
+        return [(LONG, bars["fast_ema"] > bars["slow_ema"])]
+
+    def opened(self, bars, at, direction):
+        return (float(bars["close"][at]),)
+
+    def exits(self, state, bars):
+        return [Exit(STOP_PROFIT, bars["fast_ema"] < bars["slow_ema"])]
+
+    def bounds(self):
+        return {"crossed": F.max(F.col("fast_ema") < F.col("slow_ema"))}
+
+    def passes(self, state, bounds):
+        return None if bounds["crossed"] else state
 
 
 def ema_cross_sql(p: EmaCrossParams, bars_sql: str) -> str:

@@ -6,9 +6,9 @@ online form of every indicator (running EMAs and RSI averages, the last
 close time and the strategy's own fold state.  Each micro-batch is sorted
 per key by (close time, interval rank, open time); a bar at or before the
 last processed one of its interval is a late or replayed duplicate and is
-skipped, which makes reconnect replays idempotent.  The fold step is the
-strategy's ``step`` -- the same code the batch path runs -- so a stream
-gives the batch signals.
+skipped, which makes reconnect replays idempotent.  The rules are the
+strategy's own -- the same code the batch path runs -- so a stream gives the
+batch signals.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.intervals import canonical_interval
-from ..operators.fold import SIGNAL_FIELDS
+from ..operators.fold import SIGNAL_FIELDS, one_bar
 from ..operators.indicators import ema_alpha
 from ..session import ship_package
 from ..strategies.bandtastic import BUY_TRIGGERS, SELL_TRIGGERS, Bandtastic
@@ -51,7 +51,7 @@ class OnlineBandtastic:
 
     def new(self) -> dict:
         return {"n": 0, "prev_close": None, "ema": [0.0, 0.0, 0.0, 0.0], "up": 0.0, "dn": 0.0,
-                "tp": [], "flow": [], "closes": [], "fold": list(self.s.flat_state()), "last": {}}
+                "tp": [], "flow": [], "closes": [], "fold": [None] * len(self.s.state_fields), "last": {}}
 
     def accepts(self, interval: str) -> bool:
         return interval == self.p.interval
@@ -108,7 +108,7 @@ class OnlineMacd:
         self.long = self.p.long_trend_time
 
     def new(self) -> dict:
-        return {"tf": {}, "bar_index": 0, "four": None, "fold": list(self.s.flat_state()), "last": {}, "n": 0}
+        return {"tf": {}, "bar_index": 0, "four": None, "fold": [None] * len(self.s.state_fields), "last": {}, "n": 0}
 
     def accepts(self, interval: str) -> bool:
         return interval in (SHORT_INTERVAL, self.long)
@@ -170,7 +170,7 @@ def _processor(strategy):
                 continue  # late or replayed
             st["last"][bar.interval_c] = int(bar.close_time_ms)
             feats = online.row(st, bar)
-            fold, sig = strategy.step(fold, feats)
+            fold, sig = one_bar(strategy, fold, feats)
             if sig is not None:
                 rows.append([key[0], key[1], int(st["n"]), int(bar.close_time_ms), *sig])
         st["fold"] = list(fold)
