@@ -22,8 +22,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Chunks and ids kept per worker before the memory is dropped and begun anew.
-MAX_CHUNKS, MAX_IDS = 200_000, 4_000_000
+#: Chunks and ids kept per worker.  When there are more, the first half stays:
+#: frequent chunks come early.
+MAX_CHUNKS, MAX_IDS = 600_000, 6_000_000
 #: Characters encoded at a time (a longer text is one such step by itself).
 STEP_CHARS = 1 << 20
 
@@ -31,6 +32,15 @@ _TWO_SPACES = re.compile(r"\s[ \n]")
 _BOUNDARY = re.compile(r"(?<=\S)(?=[ \n])")
 
 
+#: Letters, digits and symbols of byte-level vocabularies: printable bytes stand
+#: for themselves, the others for the code points from 256 up, in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_ALPHABET = {b: b for b in _PRINTABLE} | {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+#: Between words handed to the model: a space separates, and "|" (never in a word) marks the end of one.
+_END, _BREAK = "|", "\n"
+_TO_MODEL = {**_ALPHABET, ord(_BREAK): " "}
+
+
 class _Codes(dict):
     """Number of each chunk; unknown chunks get the next number and are noted."""
 
@@ -65,52 +75,106 @@ def _byte_text(key) -> str:
 
 
 def _word_chunks(text: str) -> list:
-    return text.replace("\n", " ").split(" ")
+    text = text.replace("\n", " ")
+    return (text.lower() if text.isascii() else text).split(" ")  # the vocabulary folds case
+
 
+_STYLES = {"byte": (_byte_chunks, _byte_text, " "), "word": (_word_chunks, str, "")}
 
-_STYLES = {"byte": (_byte_chunks, _byte_text), "word": (_word_chunks, str)}
+
+def _plain(word) -> bool:
+    """A word of Latin-1 letters only: one pre-token whatever stands around it."""
+    if isinstance(word, tuple) or not word.isalpha():
+        return False
+    return word.isascii() or max(word) < "\u0100"
 
 
 class Encoder:
-    """Encodes texts to ids; keeps the ids of the chunks it has met."""
+    """Encodes texts to ids; keeps the ids of the chunks it has met.
+
+    Plain words are handed to the library's BPE model many at a time, in the
+    vocabulary's byte alphabet; anything else goes through the whole tokenizer,
+    a chunk at a time."""
 
     def __init__(self, path: str, style: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.chunks, self.text = _STYLES[style]
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.style = style
+        self.chunks, self.text, self.lead = _STYLES[style]
+        self.end_id, *rest = self._ids([_END])[0]
+        assert not rest, "the mark between words must be one token"
+        self.marks = {m: np.array(self._ids([m])[0], np.uint32) for m in ",."}
         self._begin()
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _begin(self) -> None:
         self.codes = _Codes()
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.start, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.start, self.count = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
+
+    def _forget(self) -> None:
+        """Keep the first half of the chunks."""
+        half = len(self.codes) // 2
+        kept = [(k, c) for k, c in self.codes.items() if c < half]
+        self.codes = _Codes()
+        self.codes.update(kept)
+        self.used = int((self.start[:half] + self.count[:half]).max(initial=0))
+
+    def _store(self, codes: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) // 2 + len(ids), np.uint32)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.count[codes] = counts
+        self.start[codes] = self.used + np.cumsum(counts) - counts
+        self.used += len(ids)
 
     def _learn(self) -> None:
-        first = len(self.codes) - len(self.codes.new)
+        plain, marked, other = [], [], []
+        for key in self.codes.new:  # grows while bodies of marked words are met for the first time
+            if _plain(key):
+                plain.append(key)
+            elif not isinstance(key, tuple) and key[-1:] in self.marks and _plain(key[:-1]):
+                marked.append(key)
+                self.codes[key[:-1]]
+            else:
+                other.append(key)
+        self.codes.new.clear()
         if len(self.codes) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros(len(self.codes), np.int64)])
-            self.count = np.concatenate([self.count, np.zeros(len(self.codes), np.int64)])
-        for at in range(0, len(self.codes.new), 4096):
-            found = self.tokenizer.encode_batch_fast([self.text(c) for c in self.codes.new[at : at + 4096]], add_special_tokens=False)
-            ids = [e.ids for e in found]
+            more = np.zeros(len(self.codes) - len(self.start) // 2, np.int32)
+            self.start, self.count = np.concatenate([self.start, more]), np.concatenate([self.count, more])
+        number = self.codes.__getitem__
+        for at in range(0, len(plain), 1024):
+            words = plain[at : at + 1024]
+            given = words if self.style == "byte" else [w.lower() for w in words]
+            line = (_BREAK + _END + _BREAK + self.lead).join(["", *given])[len(_BREAK + _END + _BREAK) :] + _BREAK + _END
+            line = line.encode().decode("latin-1").translate(_TO_MODEL)
+            ids = np.array(self.words.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(ids == self.end_id)
+            counts = np.diff(ends, prepend=-1) - 1
+            self._store(np.fromiter(map(number, words), np.int64, len(words)), counts, np.delete(ids, ends))
+        for at in range(0, len(other), 4096):
+            keys = other[at : at + 4096]
+            ids = self._ids([self.text(k) for k in keys])
             counts = np.fromiter(map(len, ids), np.int64, len(ids))
-            total = int(counts.sum())
-            if self.used + total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + total, np.uint32)])
-            where = slice(first + at, first + at + len(ids))
-            self.count[where] = counts
-            self.start[where] = self.used + np.cumsum(counts) - counts
-            self.flat[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
-            self.used += total
-        self.codes.new.clear()
+            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(counts.sum()))
+            self._store(np.fromiter(map(number, keys), np.int64, len(keys)), counts, flat)
+        if marked:
+            body = np.fromiter((number(k[:-1]) for k in marked), np.int64, len(marked))
+            parts = [x for b, k in zip(body, marked) for x in (self.flat[self.start[b] : self.start[b] + self.count[b]], self.marks[k[-1]])]
+            counts = self.count[body] + np.fromiter((len(self.marks[k[-1]]) for k in marked), np.int64, len(marked))
+            self._store(np.fromiter(map(number, marked), np.int64, len(marked)), counts, np.concatenate(parts))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, offsets: len(texts) + 1)."""
         if len(self.codes) > MAX_CHUNKS or self.used > MAX_IDS:
-            self._begin()
+            self._forget()
         keys, ends = [], []
         for t in texts:
             keys += self.chunks(t)
@@ -118,7 +182,7 @@ class Encoder:
         codes = np.fromiter(map(self.codes.__getitem__, keys), np.int64, len(keys))
         if self.codes.new:
             self._learn()
-        counts = self.count[codes]
+        counts = self.count[codes].astype(np.int64)
         after = np.concatenate(([0], np.cumsum(counts)))
         where = np.repeat(self.start[codes] - after[:-1], counts) + np.arange(after[-1])
         return self.flat[where], after[np.array([0, *ends])]
