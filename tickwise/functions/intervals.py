@@ -10,7 +10,7 @@ INTERVALS = ["1m", "5m", "15m", "30m", "1h", "4h", "1d"]
 # Minutes per unit letter of an interval name such as 15m, 1h, 4h, 1d.
 UNIT_MINUTES = {"m": 1, "h": 60, "d": 1440}
 
-INTERVAL_PATTERN = r"^([0-9]+)([mhd])$"
+INTERVAL_PATTERN = r"^([0-9]+)([mhd])\z"
 
 
 def _col(c) -> Column:
@@ -23,7 +23,8 @@ def interval_minutes(name) -> Column:
     count = F.regexp_extract(n, INTERVAL_PATTERN, 1)
     unit = F.regexp_extract(n, INTERVAL_PATTERN, 2)
     factor = F.when(unit == "m", UNIT_MINUTES["m"]).when(unit == "h", UNIT_MINUTES["h"]).when(unit == "d", UNIT_MINUTES["d"])
-    return F.when(n.rlike(INTERVAL_PATTERN), count.cast("bigint") * factor)
+    # The text comes off the wire: a number beyond a long is an unknown name.
+    return F.when(n.rlike(INTERVAL_PATTERN), F.try_multiply(count.try_cast("bigint"), factor.cast("bigint")))
 
 
 def canonical_interval(name) -> Column:
@@ -49,7 +50,7 @@ def stream_name(symbol, interval) -> Column:
 
 
 def sql_interval_minutes(name: str) -> str:
-    cnt = f"CAST(NULLIF(regexp_extract({name}, '^([0-9]+)([mhd])$', 1), '') AS BIGINT)"
+    cnt = f"TRY_CAST(NULLIF(regexp_extract({name}, '^([0-9]+)([mhd])$', 1), '') AS BIGINT)"
     unit = f"regexp_extract({name}, '^([0-9]+)([mhd])$', 2)"
     return f"(CASE {unit} WHEN 'm' THEN {cnt} WHEN 'h' THEN {cnt} * 60 WHEN 'd' THEN {cnt} * 1440 END)"
 

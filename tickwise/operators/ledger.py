@@ -6,11 +6,12 @@ closed), so it needs no fold:
 
 * a signal is accepted iff its kind differs from the previous signal's kind
   (the state starts closed) -- a one-row look-back;
-* accepted signals alternate Enter, Exit, Enter, ...; the k-th accepted
-  Exit closes the k-th accepted Enter -- running counts plus an equi-join.
+* accepted signals alternate Enter, Exit, Enter, ..., so an accepted Exit closes
+  the latest accepted Enter before it -- an as-of carry along the same series.
 
-Both steps run on bounded chunks (``halo_window``, ``prefix_sum``).  Event
-times are the bar close times of the signals.
+Both steps run on bounded chunks of one numbered series (``halo_window``,
+``forward_fill``): no self-join.  Event times are the bar close times of the
+signals.
 """
 
 from __future__ import annotations
@@ -21,11 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..strategies.base import ENTER, EXIT, KEYS, LONG, LONG_CLOSE, NO_REASON, SHORT, SHORT_CLOSE
-from .series import DEFAULT_CHUNK_ROWS, halo_window, prefix_sum, sequence
+from .series import DEFAULT_CHUNK_ROWS, forward_fill, halo_window, sequence_rows
 
 # Fixed value: default fee of a trade (a fraction; the return subtracts fee * 100 points).
 DEFAULT_FEE = 0.06
-DEFAULT_BUCKET_MS = 7 * 24 * 3600 * 1000
 
 TRADE_COLUMNS = [
     "exchange", "symbol", "event", "direction", "enter_price", "exit_price", "enter_time", "exit_time",
@@ -41,14 +41,14 @@ def trade_roi(direction: Column, enter_price: Column, exit_price: Column, fee: C
     return F.when(ok & (direction == LONG), long_r).when(ok & (direction == SHORT), short_r)
 
 
-def accepted_signals(signals: DataFrame, keys: Sequence[str] = KEYS, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                     bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
-    """Signals the ledger acts on (kind differs from the previous signal's)."""
+def accepted_signals(signals: DataFrame, keys: Sequence[str] = KEYS, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """All signals, numbered (``sig_seq``), with ``accepted``: whether the
+    ledger acts on it (its kind differs from the previous signal's)."""
     keys = list(keys)
     s = signals.withColumnRenamed("seq", "bar_seq") if "seq" in signals.columns else signals.withColumn("bar_seq", F.lit(0).cast("bigint"))
-    s = sequence(s, keys, ["ts_ms", "bar_seq"], F.floor(F.col("ts_ms") / F.lit(bucket_ms)), seq_col="sig_seq")
+    s = sequence_rows(s, keys, ["ts_ms", "bar_seq"], seq_col="sig_seq")
     s = halo_window(s, keys, lambda w: {"prev_kind": F.lag("kind", 1).over(w)}, 1, seq_col="sig_seq", chunk_rows=chunk_rows)
-    return s.filter(F.col("kind") != F.coalesce(F.col("prev_kind"), F.lit(EXIT))).drop("prev_kind")
+    return s.withColumn("accepted", F.col("kind") != F.coalesce(F.col("prev_kind"), F.lit(EXIT))).drop("prev_kind")
 
 
 def trade_ledger(signals: DataFrame, fee: float = DEFAULT_FEE, literal_roi: bool = False, keys: Sequence[str] = KEYS,
@@ -57,31 +57,19 @@ def trade_ledger(signals: DataFrame, fee: float = DEFAULT_FEE, literal_roi: bool
     ``close`` events (with the matching entry and the return) for exits."""
     keys = list(keys)
     acc = accepted_signals(signals, keys, chunk_rows)
-    acc = prefix_sum(
-        acc, keys,
-        {"n_enter": F.when(F.col("kind") == ENTER, 1).otherwise(0), "n_exit": F.when(F.col("kind") == EXIT, 1).otherwise(0)},
-        seq_col="sig_seq", chunk_rows=chunk_rows,
+    entered = F.col("accepted") & (F.col("kind") == ENTER)
+    t = forward_fill(acc, keys, ["direction", "price", "ts_ms"], entered, seq_col="sig_seq", chunk_rows=chunk_rows, suffix="_in")
+    t = t.filter("accepted")
+    opens, fee_c = F.col("kind") == ENTER, F.lit(float(fee))
+    side = F.col("direction_in")
+    closing = F.when(side == LONG, LONG_CLOSE).when(side == SHORT, SHORT_CLOSE).otherwise(side)
+    roi = F.lit(None).cast("double") if literal_roi else trade_roi(side, F.col("price_in"), F.col("price"), fee_c)
+    on_exit = lambda c: F.when(~opens, c)
+    return t.select(
+        *keys, F.when(opens, "open").otherwise("close").alias("event"), F.when(opens, side).otherwise(closing).alias("direction"),
+        F.col("price_in").alias("enter_price"), on_exit(F.col("price")).alias("exit_price"), F.col("ts_ms_in").alias("enter_time"),
+        F.when(opens, F.lit(0).cast("bigint")).otherwise(F.col("ts_ms")).alias("exit_time"),
+        F.when(opens, F.lit(NO_REASON)).otherwise(F.col("reason")).alias("exit_reason"),
+        on_exit(F.col("roi_minutes")).alias("roi_minutes"), on_exit(F.col("roi_pct")).alias("roi_pct"),
+        on_exit(roi).alias("roi"), fee_c.alias("fee"),
     )
-    fee_c = F.lit(float(fee))
-    opens = acc.filter(F.col("kind") == ENTER).select(
-        *keys, F.col("n_enter").alias("trade_no"), F.col("direction").alias("open_direction"),
-        F.col("price").alias("enter_price"), F.col("ts_ms").alias("enter_time"),
-    )
-    open_events = opens.select(
-        *keys, F.lit("open").alias("event"), F.col("open_direction").alias("direction"), "enter_price",
-        F.lit(None).cast("double").alias("exit_price"), "enter_time", F.lit(0).cast("bigint").alias("exit_time"),
-        F.lit(NO_REASON).alias("exit_reason"), F.lit(None).cast("bigint").alias("roi_minutes"),
-        F.lit(None).cast("double").alias("roi_pct"), F.lit(None).cast("double").alias("roi"), fee_c.alias("fee"),
-    )
-    closes = acc.filter(F.col("kind") == EXIT).select(
-        *keys, F.col("n_exit").alias("trade_no"), F.col("price").alias("exit_price"), F.col("ts_ms").alias("exit_time"),
-        F.col("reason").alias("exit_reason"), "roi_minutes", "roi_pct",
-    )
-    paired = closes.join(opens, [*keys, "trade_no"])
-    roi = F.lit(None).cast("double") if literal_roi else trade_roi(F.col("open_direction"), F.col("enter_price"), F.col("exit_price"), fee_c)
-    close_dir = F.when(F.col("open_direction") == LONG, LONG_CLOSE).when(F.col("open_direction") == SHORT, SHORT_CLOSE).otherwise(F.col("open_direction"))
-    close_events = paired.select(
-        *keys, F.lit("close").alias("event"), close_dir.alias("direction"), "enter_price", "exit_price", "enter_time",
-        "exit_time", "exit_reason", "roi_minutes", "roi_pct", roi.alias("roi"), fee_c.alias("fee"),
-    )
-    return open_events.unionByName(close_events)

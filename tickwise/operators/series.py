@@ -9,8 +9,11 @@ instead:
 * ``sequence``  numbers rows per key through time buckets: a row number
   inside each (key, bucket) plus a running offset of bucket sizes, which is
   computed on the small per-bucket count table.
-* ``with_chunk`` cuts the numbered series into fixed chunks of
-  ``chunk_rows`` rows.
+* ``sequence_rows`` does the same when no time slot bounds the rows: rows are
+  range-partitioned by (key, order) and numbered within their partition.
+* offsets and carries over the per-bucket or per-chunk tables are themselves
+  taken in two levels (``carried``), so no window holds more than a thousandth
+  of a table that is a thousandth of the series.
 * ``halo_window`` evaluates window expressions whose frame reaches at most
   ``halo`` rows back: each chunk gets a copy of the previous chunk's last
   ``halo`` rows, the window runs per (key, chunk), and the copies are
@@ -21,10 +24,16 @@ instead:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import materialize
 
 DEFAULT_CHUNK_ROWS = 1024
 
@@ -45,8 +54,7 @@ def sequence(
     b = df.withColumn("_bkt", bucket)
     local = b.withColumn("_loc", F.row_number().over(Window.partitionBy(*keys, "_bkt").orderBy(*order)))
     counts = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_bkt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    offsets = carried(counts, keys, "_bkt", {"_off": ("sum", "_cnt")})
     return (
         local.join(offsets, [*keys, "_bkt"])
         .withColumn(seq_col, (F.col("_off") + F.col("_loc")).cast("bigint"))
@@ -54,12 +62,80 @@ def sequence(
     )
 
 
-def chunk_expr(seq_col: str, chunk_rows: int) -> Column:
-    return F.floor((F.col(seq_col) - 1) / F.lit(chunk_rows)).cast("bigint")
+#: Positions per group of the first carry level.
+CARRY_GROUP = 1024
+
+
+def carried(table: DataFrame, keys: Sequence[str], position: str, values: dict[str, tuple[str, str]]) -> DataFrame:
+    """(keys, position, one column per value): for each row of a table with one
+    row per (key, whole position), the ``sum`` (0 if none) or the ``last``
+    non-null value of a column over all rows of the key at smaller positions.
+
+    Two levels: within groups of ``CARRY_GROUP`` positions, and over the
+    groups' totals."""
+    keys = list(keys)
+    t = table.withColumn("_group", F.floor(F.col(position) / F.lit(CARRY_GROUP)))
+
+    def before(order: str) -> Callable[[list[str]], WindowSpec]:
+        return lambda by: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    def total(how: str, c: Column | str, w: WindowSpec) -> Column:
+        return F.sum(c).over(w) if how == "sum" else F.last(c, ignorenulls=True).over(w)
+
+    inner = before(position)([*keys, "_group"])
+    local = t.select(*keys, position, "_group", *[total(how, c, inner).alias(f"_in_{n}") for n, (how, c) in values.items()])
+    whole = {
+        n: F.sum(c) if how == "sum" else F.max_by(c, F.when(F.col(c).isNotNull(), F.col(position))) for n, (how, c) in values.items()
+    }
+    groups = t.groupBy(*keys, "_group").agg(*[e.alias(f"_all_{n}") for n, e in whole.items()])
+    outer = before("_group")(keys)
+    groups = groups.select(*keys, "_group", *[total(how, f"_all_{n}", outer).alias(f"_out_{n}") for n, (how, _) in values.items()])
+
+    def both(n: str, how: str) -> Column:
+        inside, outside = F.col(f"_in_{n}"), F.col(f"_out_{n}")
+        return F.coalesce(inside, outside) if how == "last" else F.coalesce(inside, F.lit(0)) + F.coalesce(outside, F.lit(0))
 
+    return local.join(groups, [*keys, "_group"]).select(*keys, position, *[both(n, how).alias(n) for n, (how, _) in values.items()])
 
-def with_chunk(df: DataFrame, seq_col: str = "seq", chunk_rows: int = DEFAULT_CHUNK_ROWS, chunk_col: str = "chunk") -> DataFrame:
-    return df.withColumn(chunk_col, chunk_expr(seq_col, chunk_rows))
+
+def sequence_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], seq_col: str = "seq") -> DataFrame:
+    """Add a 1-based row number per key in ``order``, with groups bounded by rows.
+
+    Rows are range-partitioned by (keys, order): a key with any share of the
+    rows is spread over as many partitions.  Each partition numbers its rows
+    per key; a key's offset is the count of its rows in earlier partitions (one
+    row per key and partition).  The numbered rows are written once, because
+    both the counts and the rows depend on where the partitions were cut."""
+    keys = list(keys)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, count = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            place = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+            change = np.zeros(batch.num_rows, bool)
+            for c in place:
+                change[1:] |= c[1:] != c[:-1]
+            change[0] = held is None or held != tuple(c[0] for c in place)
+            at = np.arange(batch.num_rows)
+            begin = np.maximum.accumulate(np.where(change, at, -1))
+            local = np.where(begin < 0, at + count, at - begin) + 1
+            held, count = tuple(c[-1] for c in place), int(local[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(batch.num_rows, part)), pa.array(local)], [*batch.schema.names, "_part", "_loc"]
+            )
+
+    schema = T.StructType([*df.schema.fields, T.StructField("_part", T.LongType()), T.StructField("_loc", T.LongType())])
+    dealt = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    local = materialize(dealt.mapInArrow(number, schema))
+    counts = local.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = carried(counts, keys, "_part", {"_off": ("sum", "_cnt")})
+    return local.join(offsets, [*keys, "_part"]).withColumn(seq_col, (F.col("_off") + F.col("_loc")).cast("bigint")).drop("_part", "_loc", "_off")
+
+
+def chunk_expr(seq_col: str, chunk_rows: int) -> Column:
+    return F.floor((F.col(seq_col) - 1) / F.lit(chunk_rows)).cast("bigint")
 
 
 def halo_window(
@@ -117,10 +193,7 @@ def prefix_sum(
     w = Window.partitionBy(*keys, "_chunk").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
     local = t.select("*", *[F.sum(f"_v_{n}").over(w).alias(f"_l_{n}") for n in names])
     totals = t.groupBy(*keys, "_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        *keys, "_chunk", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in names]
-    )
+    carry = carried(totals, keys, "_chunk", {f"_c_{n}": ("sum", f"_t_{n}") for n in names})
     out = local.join(carry, [*keys, "_chunk"])
     for n in names:
         out = out.withColumn(n, F.col(f"_l_{n}") + F.col(f"_c_{n}"))
@@ -145,13 +218,9 @@ def forward_fill(
     t = t.withColumn("_pk", packed)
     w = Window.partitionBy(*keys, "_chunk").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
     local = t.withColumn("_loc", F.last("_pk", ignorenulls=True).over(w))
-    last_in_chunk = t.filter(F.col("_has")).groupBy(*keys, "_chunk").agg(
-        F.max_by("_pk", F.col(seq_col)).alias("_lastpk")
-    )
-    chunks = t.select(*keys, "_chunk").distinct()
-    table = chunks.join(last_in_chunk, [*keys, "_chunk"], "left")
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = table.select(*keys, "_chunk", F.last("_lastpk", ignorenulls=True).over(before).alias("_carry"))
+    there = F.when(F.col("_has"), F.col(seq_col))
+    table = t.groupBy(*keys, "_chunk").agg(F.max_by("_pk", there).alias("_lastpk"))
+    carry = carried(table, keys, "_chunk", {"_carry": ("last", "_lastpk")})
     out = local.join(carry, [*keys, "_chunk"]).withColumn("_val", F.coalesce("_loc", "_carry"))
     for c in cols:
         out = out.withColumn(c + suffix, F.col("_val")[c])

@@ -34,6 +34,21 @@ ROUND = 6
 ACTIVE_BANDTASTIC = {"buy_rsi_enabled": False, "buy_mfi_enabled": False}
 
 
+# Parameter set with the RSI and MFI gates on, wide enough to open here.
+GATED_BANDTASTIC = {"buy_rsi_threshold": 60.0, "buy_mfi_threshold": 60.0}
+
+# Parameter set under which every exit rule fires: no trailing stop and a rare
+# sell signal leave room for the stop loss and for all rows of the ROI table.
+EXITS_BANDTASTIC = {
+    "buy_rsi_threshold": 100.0, "buy_mfi_threshold": 100.0, "trailing_stop": False, "sell_trigger": "sell-bb_upper4",
+    "sell_mfi_enabled": False, "sell_ema_enabled": False, "stoploss": -0.8,
+    "min_roi": [[0, 9.0], [30, 5.0], [60, 2.5], [90, 0.5]],
+}
+
+#: Chunk of the queries that check results over many chunks.
+SMALL_CHUNK = 64
+
+
 @dataclass
 class Query:
     build: Callable[[SparkSession, str], DataFrame]
@@ -71,6 +86,8 @@ def with_(ctes: str, select: str) -> str:
 BAR_SQL15 = sql_event_bars(15)
 BT = BandtasticParams()
 BT_ACTIVE = BandtasticParams(**ACTIVE_BANDTASTIC)
+BT_GATED = BandtasticParams(**GATED_BANDTASTIC)
+BT_EXITS = BandtasticParams(**EXITS_BANDTASTIC)
 MP = MacdParams()
 
 # ---- X1 / scalars on bars ------------------------------------------------------------------
@@ -275,10 +292,25 @@ SIG_COLS = ["exchange", "symbol", "seq", "ts_ms", "kind", "direction", "reason",
 SIG_SELECT = "SELECT " + ", ".join(SIG_COLS) + " FROM sig"
 
 
-@query("bandtastic_signals", with_(oq.bandtastic_signal_ctes(BT), SIG_SELECT))
+@query("bandtastic_signals", with_(oq.bandtastic_signal_ctes(BT_GATED), SIG_SELECT))
 def q_bandtastic_signals(spark, sf):
-    s = Bandtastic(BT)
-    return s.signals(bars(spark, sf, 15), CHUNK).select(*SIG_COLS)
+    return Bandtastic(BT_GATED).signals(bars(spark, sf, 15), CHUNK).select(*SIG_COLS)
+
+
+@query("bandtastic_exit_rules", with_(oq.bandtastic_signal_ctes(BT_EXITS), SIG_SELECT))
+def q_bandtastic_exit_rules(spark, sf):
+    """Every exit reason and ROI row, over many chunks."""
+    return Bandtastic(json.dumps(EXITS_BANDTASTIC)).signals(bars(spark, sf, 15), SMALL_CHUNK).select(*SIG_COLS)
+
+
+@query("bandtastic_signals_chunked", with_(oq.bandtastic_signal_ctes(BT_ACTIVE), SIG_SELECT))
+def q_bandtastic_signals_chunked(spark, sf):
+    return Bandtastic(BT_ACTIVE).signals(bars(spark, sf, 15), SMALL_CHUNK).select(*SIG_COLS)
+
+
+@query("macd_signals_chunked", with_(oq.macd_signal_ctes(MP), SIG_SELECT))
+def q_macd_signals_chunked(spark, sf):
+    return MultiTimeFrameMacd(MP).signals(bars(spark, sf, [60, 240]), SMALL_CHUNK).select(*SIG_COLS)
 
 
 @query("strategy_params", with_(oq.bandtastic_signal_ctes(BT_ACTIVE), SIG_SELECT))
@@ -414,9 +446,15 @@ def q_subscribed_bars(spark, sf):
     return fr.subscribed_bars(bars(spark, sf, [15, 60]), subs).select("symbol", "interval", "open_time_ms", "close")
 
 
+def feed_messages(spark, sf) -> DataFrame:
+    """The test feed's messages: every event is one; ``view`` events stand for pings."""
+    kind = F.when(F.col("event_type") == "view", "ping").otherwise("text")
+    return events(spark, sf).select(kind.alias("kind"), tm.epoch_ms("ts").alias("recv_ts_ms"))
+
+
 @query("heartbeat_events", "SELECT 'binance' AS source, epoch_us(ts) // 1000 AS recv_ts_ms, '' AS remark FROM events WHERE event_type = 'view' AND ts IS NOT NULL")
 def q_heartbeat_events(spark, sf):
-    return fr.heartbeat_events(events(spark, sf))
+    return fr.heartbeat_events(feed_messages(spark, sf))
 
 
 _ROUTE_SQL = f"""
@@ -429,12 +467,12 @@ UNION ALL SELECT 'log', 'error', NULL, recv_ms, 'Parse error: ' || reject_reason
 def q_route_messages(spark, sf):
     frames, rejects = fr.decode_frames(raw_frames(spark, sf))
     b = fr.normalize_bars(fr.closed_bars(frames))
-    return fr.route_messages(b, fr.heartbeat_events(events(spark, sf)), rejects)
+    return fr.route_messages(b, fr.heartbeat_events(feed_messages(spark, sf)), rejects)
 
 
 # ---- text, sinks, sanity, plugin ------------------------------------------------------------------
 
-from ..functions.text import encode_bars, sql_trade_text, trade_text  # noqa: E402
+from ..functions.text import encode_bars, encode_trades, sql_trade_text, trade_text  # noqa: E402
 from ..operators.sanity import SQL_SANITY_REASON, bar_sanity  # noqa: E402
 from ..sinks import alerts as al  # noqa: E402
 from ..sinks import archive as ar  # noqa: E402
@@ -499,14 +537,31 @@ def _alert_sql() -> str:
     pings = (f"SELECT 'ping' AS kind, CAST(NULL AS VARCHAR) AS symbol, recv AS ts_ms, CAST(to_json({{'{al.KEY_TIME}': {tm.sql_alert_time('recv')}, "
              f"'{al.KEY_PING}': {{'recv_ts_ms': recv, 'remark': '', 'source': '{fr.PING_SOURCE}'}}, '{al.KEY_STRATEGY}': '{name}'}}) AS VARCHAR) AS body "
              "FROM (SELECT epoch_us(ts) // 1000 AS recv FROM events WHERE event_type = 'view' AND ts IS NOT NULL) p")
+    start = (f"SELECT 'start' AS kind, CAST(NULL AS VARCHAR) AS symbol, began AS ts_ms, CAST(to_json({{'{al.KEY_TIME}': began, "
+             f"'{al.KEY_MESSAGE}': '{al.START_MESSAGE}', '{al.KEY_STRATEGY}': '{name}'}}) AS VARCHAR) AS body "
+             "FROM (SELECT min(epoch_us(ts) // 1000) AS began FROM events) s")
     return with_(_LEDGER_SQL + f", tr AS ({_TRADES_ROUNDED})",
-                 f"SELECT a.*, u.url FROM ({trades} UNION ALL {pings}) a CROSS JOIN (VALUES {urls}) u(url)")
+                 f"SELECT a.*, u.url FROM ({trades} UNION ALL {pings} UNION ALL {start}) a CROSS JOIN (VALUES {urls}) u(url)")
 
 
 @query("alert_payloads", _alert_sql())
 def q_alert_payloads(spark, sf):
-    urls = al.url_table(spark, TEST_URLS)
-    return al.alert_payloads(ledger_trades(spark, sf), fr.heartbeat_events(events(spark, sf)), urls)
+    """All three payload kinds; evaluation starts with the first event."""
+    messages = feed_messages(spark, sf)
+    starts = messages.agg(F.min("recv_ts_ms").alias("ts_ms"))
+    return al.alert_payloads(ledger_trades(spark, sf), fr.heartbeat_events(messages), TEST_URLS, starts=starts)
+
+
+_TRADE_JSON_SQL = """'{"exchange":"' || exchange || '","symbol":"' || symbol || '","direction":"' || coalesce(direction, 'None') || '"'
+  || ',"enter_position":' || CASE WHEN enter_price IS NULL THEN 'null' ELSE '{"price":' || CAST(enter_price AS VARCHAR) || ',"entry_bar_index":0,"size":1.0}' END
+  || ',"exit_position":' || CASE WHEN exit_price IS NULL THEN 'null' ELSE '{"price":' || CAST(exit_price AS VARCHAR) || ',"entry_bar_index":0,"size":1.0}' END
+  || ',"enter_time":' || CAST(enter_time AS VARCHAR) || ',"exit_time":' || CAST(exit_time AS VARCHAR)
+  || ',"exit_reason":"' || coalesce(exit_reason, 'None') || '"' || ',"roi":' || coalesce(CAST(roi AS VARCHAR), 'null') || ',"fee":' || CAST(fee AS VARCHAR) || '}'"""
+
+
+@query("encode_trades", with_(_LEDGER_SQL + f", tr AS ({_TRADES_ROUNDED})", f"SELECT exchange, symbol, event, enter_time, exit_time, {_TRADE_JSON_SQL} AS json FROM tr"))
+def q_encode_trades(spark, sf):
+    return ledger_trades(spark, sf).select("exchange", "symbol", "event", "enter_time", "exit_time", encode_trades().alias("json"))
 
 
 @query("bar_sanity", f"SELECT symbol, open_time_ms, {SQL_SANITY_REASON} AS reject_reason FROM ({_NORM_SQL}) n")

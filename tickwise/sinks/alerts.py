@@ -1,17 +1,17 @@
 """Alert payloads, one row per (alert, URL).
 
 The reference posts every alert to every configured URL.  Here a payload is
-a JSON document built with ``to_json``; the fan-out joins the alerts with the
-URL list, which is configuration (a handful of rows) and so is broadcast.
-Sending is the caller's: ``foreachBatch(send)`` on a stream, or a writer of
-the (url, body) table.  Keys come out sorted, as a sorted JSON map prints them.
+a JSON document built with ``to_json``; the URL list is configuration, and the
+fan-out repeats each alert for its entries.  Sending is the caller's: a
+function over a partition's (url, body) rows, run by ``foreachBatch`` on a
+stream (``send_stream``) or by ``foreachPartition`` on a table.  Keys come out sorted, as a sorted JSON map prints them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.text import trade_text
@@ -46,21 +46,31 @@ def ping_alerts(heartbeats: DataFrame, strategy_name: str = DEFAULT_STRATEGY_NAM
                              F.col("recv_ts_ms").alias("ts_ms"), body.alias("body"))
 
 
-def start_alert(spark: SparkSession, start_ms: int, strategy_name: str = DEFAULT_STRATEGY_NAME) -> DataFrame:
-    df = spark.range(1).select(F.lit(start_ms).cast("bigint").alias("ts_ms"))
+def start_alerts(starts: DataFrame, strategy_name: str = DEFAULT_STRATEGY_NAME) -> DataFrame:
+    """The message that evaluation begins: one per row of ``ts_ms``."""
     body = F.to_json(F.struct(F.col("ts_ms").alias(KEY_TIME), F.lit(START_MESSAGE).alias(KEY_MESSAGE), F.lit(strategy_name).alias(KEY_STRATEGY)))
-    return df.select(F.lit("start").alias("kind"), F.lit(None).cast("string").alias("symbol"), "ts_ms", body.alias("body"))
+    return starts.select(F.lit("start").alias("kind"), F.lit(None).cast("string").alias("symbol"), "ts_ms", body.alias("body"))
 
 
-def fan_out(alerts: DataFrame, urls: DataFrame) -> DataFrame:
-    """Every alert to every URL (the URL list is configuration: broadcast)."""
-    return alerts.crossJoin(F.broadcast(urls.select("url")))
+def fan_out(alerts: DataFrame, urls: Iterable[str]) -> DataFrame:
+    """Every alert to every URL of the configured list."""
+    return alerts.select("*", F.explode(F.array(*[F.lit(u) for u in urls])).alias("url"))
 
 
-def alert_payloads(trades: DataFrame, heartbeats: DataFrame, urls: DataFrame, strategy_name: str = DEFAULT_STRATEGY_NAME) -> DataFrame:
+def alert_payloads(trades: DataFrame, heartbeats: DataFrame, urls: Iterable[str], strategy_name: str = DEFAULT_STRATEGY_NAME,
+                   starts: DataFrame | None = None) -> DataFrame:
     alerts = trade_alerts(trades, strategy_name).unionByName(ping_alerts(heartbeats, strategy_name))
+    if starts is not None:
+        alerts = alerts.unionByName(start_alerts(starts, strategy_name))
     return fan_out(alerts, urls)
 
 
-def url_table(spark: SparkSession, urls: Iterable[str]) -> DataFrame:
-    return spark.createDataFrame([(u,) for u in urls], "url string")
+def send_batch(send: Callable[[Iterator[Row]], None]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that hands each partition's payload rows to
+    ``send``.  A retried batch is sent again: senders see payloads at least once."""
+    return lambda batch, _: batch.select("url", "body").foreachPartition(send)
+
+
+def send_stream(payloads: DataFrame, send: Callable[[Iterator[Row]], None], checkpoint: str, **trigger):
+    """Start sending a streaming payload table; returns the streaming query."""
+    return payloads.writeStream.foreachBatch(send_batch(send)).option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -34,12 +34,23 @@ def with_period(bars: DataFrame, rotation_s: int = DEFAULT_ROTATION_S) -> DataFr
     return bars.withColumn("period", archive_period("close_time_ms", rotation_s))
 
 
-def archive_bars(bars: DataFrame, path: str, rotation_s: int = DEFAULT_ROTATION_S, fmt: str = "parquet", mode: str = "append") -> None:
-    """Write bars under ``path/period=<yyyyMMdd-HHmm>/``."""
+#: Bars in an archive file, about.
+FILE_ROWS = 1_000_000
+
+
+def archive_bars(bars: DataFrame, path: str, rotation_s: int = DEFAULT_ROTATION_S, fmt: str = "parquet", mode: str = "append",
+                 file_rows: int = FILE_ROWS) -> None:
+    """Write bars under ``path/period=<yyyyMMdd-HHmm>/``.
+
+    Rows are clustered by (period, part) first, with as many parts as the
+    period has ``file_rows``, so a period is a few files however many tasks
+    write, and a large period is never one task."""
     out = with_period(bars.select(*BAR_FIELDS), rotation_s)
-    writer = out.write.mode(mode).partitionBy("period")
+    parts = out.groupBy("period").agg(F.ceil(F.count("*") / F.lit(file_rows)).alias("_parts"))
+    part = F.pmod(F.xxhash64("symbol", "open_time_ms"), F.col("_parts"))
+    out = out.join(parts, "period").withColumn("_part", part).repartition("period", "_part").drop("_parts", "_part")
     if fmt == "parquet":
-        writer.option("compression", "zstd").parquet(path)
+        out.select(*BAR_FIELDS, "period").write.mode(mode).partitionBy("period").option("compression", "zstd").parquet(path)
     elif fmt == "json":
         out.select(encode_bars(out).alias("value"), "period").write.mode(mode).partitionBy("period").option(
             "compression", "gzip").text(path)
@@ -47,17 +58,35 @@ def archive_bars(bars: DataFrame, path: str, rotation_s: int = DEFAULT_ROTATION_
         raise ValueError(f"unknown archive format {fmt!r}")
 
 
+def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Archive lines (column ``value``, others kept) -> (bars, rejects with the
+    ``value`` and a reason).  A line may be a flat object or the legacy
+    two-element form ``[index, {bar}]``; what is no bar with a symbol and an
+    open time is rejected, never returned as an empty bar."""
+    others = [c for c in lines.columns if c != "value"]
+    value = F.trim(F.col("value"))
+    legacy = F.regexp_extract(value, r"^\[\s*-?[0-9]+\s*,\s*(\{.*\})\s*\]$", 1)
+    obj = F.when(value.startswith("["), legacy).otherwise(value)
+    parsed = lines.withColumn("_b", F.from_json(obj, BAR_SCHEMA + ", _bad string", {"columnNameOfCorruptRecord": "_bad"}))
+    reason = (
+        F.when(F.col("_b").isNull() | F.col("_b._bad").isNotNull() | ~obj.startswith("{"), F.lit("malformed"))
+        .when(F.col("_b.symbol").isNull() | F.col("_b.open_time_ms").isNull(), F.lit("incomplete"))
+    )
+    parsed = parsed.withColumn("reject_reason", reason)
+    good = parsed.filter(F.col("reject_reason").isNull()).select(*[f"_b.{c}" for c in BAR_FIELDS], *others)
+    return good, parsed.filter(F.col("reject_reason").isNotNull()).select("value", *others, "reject_reason")
+
+
 def read_archive(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Bars back from an archive; JSON lines may be flat objects or the
-    legacy two-element form ``[index, {bar}]``."""
+    """The bars of an archive."""
     if fmt == "parquet":
         return spark.read.parquet(path).select(*BAR_FIELDS, "period")
-    lines = spark.read.text(path)
-    value = F.trim(F.col("value"))
-    obj = F.when(value.startswith("["), F.regexp_extract(value, r"^\[\s*-?[0-9]+\s*,\s*(\{.*\})\s*\]$", 1)).otherwise(value)
-    parsed = F.from_json(obj, BAR_SCHEMA)
-    out = lines.select(parsed.alias("b"), *(["period"] if "period" in lines.columns else [])).select("b.*", *(["period"] if "period" in lines.columns else []))
-    return out
+    return parse_lines(spark.read.text(path))[0]
+
+
+def archive_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a text archive that are no bars."""
+    return parse_lines(spark.read.text(path))[1]
 
 
 def legacy_lines(bars: DataFrame, index_col: str = "symbol_index") -> DataFrame:

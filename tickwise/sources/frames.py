@@ -19,16 +19,15 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.intervals import stream_name
 from ..functions.numbers import parse_price
 from ..functions.time import label_utc8
-from ..operators.series import DEFAULT_CHUNK_ROWS, halo_window, sequence
+from ..operators.series import DEFAULT_CHUNK_ROWS, halo_window, sequence_rows
 
 # The exchange name given to decoded bars, and the heartbeat source.
 FRAME_EXCHANGE = "binance"
 PING_SOURCE = "binance"
 
-# Declared leaves of a kline frame: (output column, JSON path, JSON type).
+# Declared leaves of a kline frame: (output column, JSON path, JSON type).
 # "int64" / "int32" are whole numbers in those ranges.
 FRAME_LEAVES = [
     ("stream", "$.stream", "string"),
@@ -126,28 +125,23 @@ def symbol_index(frames: DataFrame) -> DataFrame:
     return first.select("symbol", F.row_number().over(w).cast("bigint").alias("symbol_index"))
 
 
-def collapse_updates(frames: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS, bucket_ms: int = 3600 * 1000) -> DataFrame:
+def collapse_updates(frames: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """of each run of updates with the same start time (per symbol and
     interval, in arrival order) keep the last one, emitted when a different
     start time arrives -- so the last run of each series is withheld."""
     keys = ["symbol", "interval"]
-    s = sequence(frames, keys, ["recv_ms", "frame_no"], F.floor(F.col("recv_ms") / F.lit(bucket_ms)), seq_col="arrival")
+    s = sequence_rows(frames, keys, ["recv_ms", "frame_no"], seq_col="arrival")
     s = halo_window(s, keys, lambda w: {"_next_start": F.lead("start_ms", 1).over(w)}, 0, seq_col="arrival",
                     chunk_rows=chunk_rows, ahead=1)
     return s.filter(F.col("_next_start").isNotNull() & (F.col("_next_start") != F.col("start_ms"))).drop("_next_start", "arrival")
 
 
 def subscribed_bars(bars: DataFrame, subs: DataFrame) -> DataFrame:
-    """Keep (symbol, interval) pairs of the subscription list.  The list
-    is configuration (a handful of pairs), so it is broadcast."""
+    """Keep (symbol, interval) pairs of the subscription list (whether it
+    is broadcast is left to its measured size)."""
     s = subs.select(F.lower("symbol").alias("_sub_symbol"), F.col("interval").alias("_sub_interval"))
     cond = (F.lower(bars["symbol"]) == s["_sub_symbol"]) & (bars["interval"] == s["_sub_interval"])
-    return bars.join(F.broadcast(s), cond, "left_semi")
-
-
-def subscription_requests(subs: DataFrame) -> DataFrame:
-    """Stream names to request for a subscription list."""
-    return subs.select(stream_name("symbol", "interval").alias("stream"))
+    return bars.join(s, cond, "left_semi")
 
 
 # ---- frames from bars (the test feed) -----------------------------------------------------
@@ -183,25 +177,23 @@ def frames_from_bars(bars: DataFrame) -> DataFrame:
     line, or a price text no parser accepts -- chosen by the bar's trade
     count, so the feed grows with the data."""
     n = F.col("trades_count")
-    open_update = bars.select(
-        (F.col("open_time_ms") + 1000).alias("recv_ms"), F.lit(0).alias("frame_no"), frame_text(bars, F.lit(False)).alias("text"))
-    closed = bars.select(
-        (F.col("close_time_ms") + 1).alias("recv_ms"), F.lit(1).alias("frame_no"),
-        frame_text(bars, F.lit(True), high_text=F.when(n % 5 == 4, F.lit("abc")).otherwise(_num("high"))).alias("text"))
-    wrong_type = bars.filter(n % 7 == 3).select(
-        (F.col("close_time_ms") + 2).alias("recv_ms"), F.lit(2).alias("frame_no"),
-        frame_text(bars, F.lit(True), open_text=_num("open")).alias("text"))
-    no_trades = bars.filter(n % 7 == 5).select(
-        (F.col("close_time_ms") + 2).alias("recv_ms"), F.lit(3).alias("frame_no"),
-        frame_text(bars, F.lit(True), drop_trades=F.lit(True)).alias("text"))
-    ack = bars.filter(n % 11 == 0).select(
-        (F.col("close_time_ms") + 3).alias("recv_ms"), F.lit(4).alias("frame_no"), F.lit('{"result":null,"id":1}').alias("text"))
-    junk = bars.filter(n % 13 == 1).select(
-        (F.col("close_time_ms") + 3).alias("recv_ms"), F.lit(5).alias("frame_no"), F.lit("pong").alias("text"))
-    out = open_update
-    for part in (closed, wrong_type, no_trades, ack, junk):
-        out = out.unionByName(part)
-    return out
+    closed = F.lit(True)
+    high = F.when(n % 5 == 4, F.lit("abc")).otherwise(_num("high"))
+
+    def frame(no: int, recv: Column, text: Column, when: Column | None = None) -> Column:
+        made = F.struct(recv.alias("recv_ms"), F.lit(no).alias("frame_no"), text.alias("text"))
+        return made if when is None else F.when(when, made)
+
+    end = F.col("close_time_ms")
+    made = F.array(
+        frame(0, F.col("open_time_ms") + 1000, frame_text(bars, F.lit(False))),
+        frame(1, end + 1, frame_text(bars, closed, high_text=high)),
+        frame(2, end + 2, frame_text(bars, closed, open_text=_num("open")), n % 7 == 3),
+        frame(3, end + 2, frame_text(bars, closed, drop_trades=F.lit(True)), n % 7 == 5),
+        frame(4, end + 3, F.lit('{"result":null,"id":1}'), n % 11 == 0),
+        frame(5, end + 3, F.lit("pong"), n % 13 == 1),
+    )
+    return bars.select(F.explode(made).alias("f")).where("f IS NOT NULL").select("f.*")
 
 
 def frames_sql(bars_sql: str) -> str:
@@ -250,13 +242,11 @@ UNION ALL
 SELECT recv_ms, frame_no, {', '.join('NULL' for _ in FRAME_LEAVES)}, 'not_json' FROM ({frames_query}) q WHERE NOT json_valid(text)"""
 
 
-def heartbeat_events(events: DataFrame) -> DataFrame:
-    """One heartbeat per feed ping.  In the test feed every ``view``
-    event stands for a ping received at its time."""
-    from ..functions.time import epoch_ms
-
-    return events.filter((F.col("event_type") == "view") & F.col("ts").isNotNull()).select(
-        F.lit(PING_SOURCE).alias("source"), epoch_ms("ts").alias("recv_ts_ms"), F.lit("").alias("remark"))
+def heartbeat_events(messages: DataFrame) -> DataFrame:
+    """One heartbeat per feed ping.  messages: kind, recv_ts_ms, ...; rows
+    of kind ``ping`` with a time are heartbeats."""
+    return messages.filter((F.col("kind") == "ping") & F.col("recv_ts_ms").isNotNull()).select(
+        F.lit(PING_SOURCE).alias("source"), F.col("recv_ts_ms"), F.lit("").alias("remark"))
 
 
 def route_messages(bars: DataFrame, heartbeats: DataFrame, rejects: DataFrame) -> DataFrame:
