@@ -59,7 +59,12 @@ def trade_ledger(signals: DataFrame, fee: float = DEFAULT_FEE, literal_roi: bool
     acc = accepted_signals(signals, keys, chunk_rows)
     entered = F.col("accepted") & (F.col("kind") == ENTER)
     t = forward_fill(acc, keys, ["direction", "price", "ts_ms"], entered, seq_col="sig_seq", chunk_rows=chunk_rows, suffix="_in")
-    t = t.filter("accepted")
+    return trade_rows(t.filter("accepted"), keys, fee, literal_roi)
+
+
+def trade_rows(t: DataFrame, keys: Sequence[str] = KEYS, fee: float = DEFAULT_FEE, literal_roi: bool = False) -> DataFrame:
+    """Trade events from accepted signals that carry their entry
+    (``direction_in``, ``price_in``, ``ts_ms_in``): row by row, batch or stream."""
     opens, fee_c = F.col("kind") == ENTER, F.lit(float(fee))
     side = F.col("direction_in")
     closing = F.when(side == LONG, LONG_CLOSE).when(side == SHORT, SHORT_CLOSE).otherwise(side)

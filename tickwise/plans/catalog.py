@@ -580,32 +580,49 @@ def q_strategy_plugin(spark, sf):
 
 # ---- streaming (T5) ------------------------------------------------------------------------------
 
-from ..streaming.stateful import stream_signals  # noqa: E402
+from ..streaming.stateful import evaluate_stream, signals_of, trades_of  # noqa: E402
 
+#: Bars in a time slice of the replayed stream, about; one slice is one micro-batch.
+SLICE_ROWS = 100_000
 
-def run_stream(spark, bars_df: DataFrame, strategy) -> DataFrame:
-    """Replay bars as a file stream through the keyed-state operator; the
-    signals land in a parquet file sink (shared folder) and are read back."""
+
+def run_stream(spark, bars_df: DataFrame, strategy, shape) -> DataFrame:
+    """Replay bars as a file stream, one time slice per micro-batch, through the
+    keyed-state operator; ``shape`` of its rows lands in a parquet file sink
+    (shared folder) and is read back."""
     src = ar.scratch_path(spark, "stream-src")
-    bars_df.write.mode("overwrite").parquet(src)
-    stream = spark.readStream.schema(bars_df.schema).parquet(src)
+    slices = max(2, -(-bars_df.count() // SLICE_ROWS))
+    edges = bars_df.select(F.percentile_approx("close_time_ms", [i / slices for i in range(1, slices)])).first()[0] or []
+    for lo, hi in zip([None, *edges], [*edges, None]):  # files in time order: the source reads the oldest first
+        part = bars_df if lo is None else bars_df.filter(F.col("close_time_ms") > lo)
+        part = part if hi is None else part.filter(F.col("close_time_ms") <= hi)
+        part.coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(bars_df.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out, ckpt = ar.scratch_path(spark, "stream-out"), ar.scratch_path(spark, "stream-ckpt")
-    q = (stream_signals(stream, strategy).writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+    rows = shape(evaluate_stream(stream, strategy))
+    q = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt).trigger(availableNow=True).start(out)
     q.awaitTermination()
-    return spark.read.schema(
-        "exchange string, symbol string, seq bigint, ts_ms bigint, kind string, direction string, reason string, "
-        "roi_minutes bigint, roi_pct double, price double").parquet(out)
+    return spark.read.schema(rows.schema).parquet(out)
 
 
 @query("stream_signals", with_(oq.bandtastic_signal_ctes(BT_ACTIVE), SIG_SELECT))
 def q_stream_signals(spark, sf):
-    return run_stream(spark, bars(spark, sf, 15), Bandtastic(BT_ACTIVE)).select(*SIG_COLS)
+    return run_stream(spark, bars(spark, sf, 15), Bandtastic(BT_ACTIVE), signals_of).select(*SIG_COLS)
 
 
 @query("stream_macd_signals", with_(oq.macd_signal_ctes(MP), SIG_SELECT))
 def q_stream_macd_signals(spark, sf):
-    return run_stream(spark, bars(spark, sf, [60, 240]), MultiTimeFrameMacd(MP)).select(*SIG_COLS)
+    return run_stream(spark, bars(spark, sf, [60, 240]), MultiTimeFrameMacd(MP), signals_of).select(*SIG_COLS)
+
+
+@query("stream_plugin_signals", with_(ema_cross_sql(EmaCrossParams(), BAR_SQL15), SIG_SELECT))
+def q_stream_plugin_signals(spark, sf):
+    return run_stream(spark, bars(spark, sf, 15), STRATEGIES["ema_cross"](), signals_of).select(*SIG_COLS)
+
+
+@query("stream_trades", with_(oq.macd_signal_ctes(MP) + oq.ledger_select("sig"), TRADE_SELECT))
+def q_stream_trades(spark, sf):
+    return run_stream(spark, bars(spark, sf, [60, 240]), MultiTimeFrameMacd(MP), trades_of).withColumn("roi", rnd("roi"))
 
 
 # ---- larger series: daily bars per supplier from lineitem -------------------------------------------

@@ -73,6 +73,18 @@ class Strategy:
     def features(self, bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
         raise NotImplementedError
 
+    # -- stream half ---------------------------------------------------------------------
+    def accepted(self, bars: DataFrame) -> DataFrame:
+        """the bars that reach the strategy, with ``interval_c`` (canonical
+        interval) and ``interval_rank`` (order of bars of one close time)."""
+        raise NotImplementedError
+
+    def online(self):
+        """The strategy's features one bar at a time: an object with ``new()``,
+        the JSON-able state before any bar, and ``row(state, bar)``, which
+        advances the state and returns the values of ``row_columns``."""
+        raise NotImplementedError(f"{self.name} has no online features")
+
     # -- rules half (see operators.fold.FoldSpec) ---------------------------------------
     enter_kind: ClassVar[str] = ENTER
     exit_kind: ClassVar[str] = EXIT

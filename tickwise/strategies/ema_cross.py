@@ -35,10 +35,16 @@ class EmaCross(Strategy):
     state_fields = [("pos_price", T.DoubleType())]
     row_columns = ["close", "fast_ema", "slow_ema"]
 
+    def accepted(self, bars: DataFrame) -> DataFrame:
+        b = bars.withColumn("interval_c", canonical_interval("interval")).withColumn("interval_rank", F.lit(0))
+        return b.filter(F.col("interval_c") == canonical_interval(F.lit(self.params.interval)))
+
+    def online(self):
+        return OnlineEmaCross(self.params)
+
     def features(self, bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
         p = self.params
-        b = bars.filter(canonical_interval("interval") == canonical_interval(F.lit(p.interval)))
-        b = sequence(b, KEYS, ["close_time_ms", "open_time_ms"], F.floor(F.col("open_time_ms") / F.lit(p.bar_minutes * 60000 * chunk_rows)))
+        b = sequence(self.accepted(bars), KEYS, ["close_time_ms", "open_time_ms"], F.floor(F.col("open_time_ms") / F.lit(p.bar_minutes * 60000 * chunk_rows)))
         b = affine_scan(b, KEYS, [ema_spec("fast_ema", F.col("close"), ema_alpha(p.fast)),
                                   ema_spec("slow_ema", F.col("close"), ema_alpha(p.slow))], chunk_rows=chunk_rows)
         return b.withColumn("ts_ms", F.col("close_time_ms"))
@@ -59,6 +65,21 @@ class EmaCross(Strategy):
         return None if bounds["crossed"] else state
 
 
+class OnlineEmaCross:
+    """Both averages, one bar at a time."""
+
+    def __init__(self, params: EmaCrossParams):
+        self.rates = (ema_alpha(params.fast), ema_alpha(params.slow))
+
+    def new(self) -> dict:
+        return {"ema": None}
+
+    def row(self, st: dict, bar) -> tuple:
+        before = st["ema"] or [bar.close, bar.close]
+        st["ema"] = [(1.0 - a) * e + a * bar.close if st["ema"] else bar.close for a, e in zip(self.rates, before)]
+        return (bar.close, *st["ema"])
+
+
 def ema_cross_sql(p: EmaCrossParams, bars_sql: str) -> str:
     kf, ks = ema_alpha(p.fast), ema_alpha(p.slow)
     r = repr

@@ -1,20 +1,28 @@
-"""T5: bar-at-a-time strategy evaluation on a stream.
+"""T5: strategies, ledger and late bars on a stream of bars.
 
 Keyed state per (exchange, symbol) through ``applyInPandasWithState``: the
-online form of every indicator (running EMAs and RSI averages, the last
-``n`` values for the windowed ones), the bar counter, the last processed
-close time and the strategy's own fold state.  Each micro-batch is sorted
-per key by (close time, interval rank, open time); a bar at or before the
-last processed one of its interval is a late or replayed duplicate and is
-skipped, which makes reconnect replays idempotent.  The rules are the
-strategy's own -- the same code the batch path runs -- so a stream gives the
-batch signals.
+strategy's online features, its open position with the entry it came from, the
+place up to which bars were evaluated, and the bars still held back.
+
+* Bars are evaluated in (close time, interval rank, open time) order.  A bar is
+  held until the latest close time seen for its key is ``hold_ms`` past its
+  own, so bars of several intervals may come in different micro-batches (up to
+  that much apart) without changing the result.
+* A bar at or before the place already evaluated is late or replayed: it is
+  reported as a row of kind ``Late`` and never evaluated, so a replay after a
+  reconnect changes nothing and no bar disappears without a trace.
+* The rules are the strategy's own -- the code the batch path runs -- and any
+  strategy with an ``online()`` form streams.
+
+A micro-batch of one key is sorted in memory, so the source's rate limit
+(``maxFilesPerTrigger`` and the like) bounds a task; the state does not grow
+with the stream.
 """
 
 from __future__ import annotations
 
 import json
-import math
+from collections import namedtuple
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,175 +31,99 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..functions.intervals import canonical_interval
 from ..operators.fold import SIGNAL_FIELDS, one_bar
-from ..operators.indicators import ema_alpha
+from ..operators.ledger import DEFAULT_FEE, trade_rows
 from ..session import ship_package
-from ..strategies.bandtastic import BUY_TRIGGERS, SELL_TRIGGERS, Bandtastic
-from ..strategies.base import KEYS
-from ..strategies.mtf_macd import SHORT_INTERVAL, MultiTimeFrameMacd
-
-OUT_FIELDS = [
-    T.StructField("exchange", T.StringType()), T.StructField("symbol", T.StringType()),
-    T.StructField("seq", T.LongType()), T.StructField("ts_ms", T.LongType()),
-] + [T.StructField(n, t) for n, t in SIGNAL_FIELDS]
-STATE_SCHEMA = T.StructType([T.StructField("blob", T.StringType())])
-
-
-def _ema(prev, x, alpha, first):
-    return x if first else (1.0 - alpha) * prev + alpha * x
-
-
-class OnlineBandtastic:
-    """Online features of the Bollinger-band strategy."""
-
-    def __init__(self, strategy: Bandtastic):
-        self.s = strategy
-        self.p = strategy.params
-
-    def new(self) -> dict:
-        return {"n": 0, "prev_close": None, "ema": [0.0, 0.0, 0.0, 0.0], "up": 0.0, "dn": 0.0,
-                "tp": [], "flow": [], "closes": [], "fold": [None] * len(self.s.state_fields), "last": {}}
-
-    def accepts(self, interval: str) -> bool:
-        return interval == self.p.interval
-
-    def row(self, st: dict, bar) -> tuple:
-        p = self.p
-        st["n"] += 1
-        first = st["n"] == 1
-        close, high, low, volume = bar.close, bar.high, bar.low, bar.volume
-        tp = (high + low + close) / 3.0
-        # Bollinger over the last bb_period typical prices (population deviation).
-        st["tp"] = (st["tp"] + [tp])[-p.bb_period:]
-        mean = sum(st["tp"]) / len(st["tp"])
-        sd = math.sqrt(max(sum((x - mean) ** 2 for x in st["tp"]) / len(st["tp"]), 0.0))
-        # Money flow over the last mfi_period flows.
-        flow = st["flow"]
-        prev_tp = flow[-1][0] if flow else None
-        pos = tp * volume if prev_tp is not None and tp > prev_tp else 0.0
-        neg = tp * volume if prev_tp is not None and tp < prev_tp else 0.0
-        st["flow"] = (flow + [[tp, pos, neg]])[-p.mfi_period:]
-        sp = sum(f[1] for f in st["flow"])
-        sn = sum(f[2] for f in st["flow"])
-        mfi = 50.0 if sp + sn == 0 else 100.0 * sp / (sp + sn)
-        # EMAs and RSI.
-        periods = [p.buy_fast_ema_period, p.buy_slow_ema_period, p.sell_fast_ema_period, p.sell_slow_ema_period]
-        st["ema"] = [_ema(e, close, ema_alpha(n), first) for e, n in zip(st["ema"], periods)]
-        prev = st["prev_close"]
-        gain = 0.0 if prev is None else max(close - prev, 0.0)
-        loss = 0.0 if prev is None else max(-(close - prev), 0.0)
-        a = 1.0 / p.rsi_period if p.rsi_smoothing == "wilder" else ema_alpha(p.rsi_period)
-        st["up"] = _ema(st["up"], gain, a, first)
-        st["dn"] = _ema(st["dn"], loss, a, first)
-        rsi = 50.0 if st["up"] + st["dn"] == 0 else 100.0 * st["up"] / (st["up"] + st["dn"])
-        st["prev_close"] = close
-        st["closes"] = (st["closes"] + [close])[-p.high_period:]
-        high100 = max(st["closes"])
-        bfe, bse, sfe, sse = st["ema"]
-        lower = {k: mean - float(k) * sd for k in (1, 2, 3, 4)}
-        upper = {k: mean + float(k) * sd for k in (1, 2, 3, 4)}
-        bk, sk = BUY_TRIGGERS.get(p.buy_trigger), SELL_TRIGGERS.get(p.sell_trigger)
-        buy = ((not p.buy_rsi_enabled or rsi < p.buy_rsi_threshold) and (not p.buy_mfi_enabled or mfi < p.buy_mfi_threshold)
-               and (not p.buy_ema_enabled or bfe > bse) and (close < lower[bk] if bk else False) and volume > 0.0)
-        sell = ((not p.sell_rsi_enabled or rsi > p.sell_rsi_threshold) and (not p.sell_mfi_enabled or mfi > p.sell_mfi_threshold)
-                and (not p.sell_ema_enabled or sfe < sse) and (close > upper[sk] if sk else False) and volume > 0.0)
-        return (st["n"], close, high100, buy, sell)
-
-
-class OnlineMacd:
-    """Online features of the multi-timeframe MACD strategy."""
-
-    def __init__(self, strategy: MultiTimeFrameMacd):
-        self.s = strategy
-        self.p = strategy.params
-        self.long = self.p.long_trend_time
-
-    def new(self) -> dict:
-        return {"tf": {}, "bar_index": 0, "four": None, "fold": [None] * len(self.s.state_fields), "last": {}, "n": 0}
-
-    def accepts(self, interval: str) -> bool:
-        return interval in (SHORT_INTERVAL, self.long)
-
-    def row(self, st: dict, bar) -> tuple:
-        p = self.p
-        tf = st["tf"].setdefault(bar.interval_c, {"n": 0, "f": 0.0, "s": 0.0, "g": 0.0})
-        tf["n"] += 1
-        first = tf["n"] == 1
-        tf["f"] = _ema(tf["f"], bar.close, ema_alpha(p.fast_length), first)
-        tf["s"] = _ema(tf["s"], bar.close, ema_alpha(p.slow_length), first)
-        m = tf["f"] - tf["s"]
-        tf["g"] = _ema(tf["g"], m, ema_alpha(p.signal_length), first)
-        vals = (m, tf["g"], m - tf["g"])
-        st["n"] += 1
-        if bar.interval_c == SHORT_INTERVAL:
-            st["bar_index"] += 1
-            one = vals
-            four = st["four"] if p.carry_forward else None
-        else:
-            one = None
-            four = vals
-            st["four"] = list(vals)
-        m4, s4, h4 = four if four is not None else (None, None, None)
-        long_trend = h4 is not None and (m4 > s4 or h4 > 0)
-        short_trend = h4 is not None and (m4 < s4 or h4 < 0)
-        if one is not None:
-            m1, s1, h1 = one
-            long_entry = long_trend and m1 > s1 and h1 > 0
-            short_entry = short_trend and m1 < s1 and h1 < 0
-        else:
-            long_entry = short_entry = False
-        long_exit = h4 is not None and m4 < s4
-        short_exit = h4 is not None and m4 > s4
-        return (st["bar_index"], bar.close, long_entry, short_entry, long_exit, short_exit)
-
-
-def online_for(strategy):
-    if isinstance(strategy, Bandtastic):
-        return OnlineBandtastic(strategy)
-    if isinstance(strategy, MultiTimeFrameMacd):
-        return OnlineMacd(strategy)
-    raise TypeError(f"no online form for {type(strategy).__name__}")
-
-
-def _processor(strategy):
-    online = online_for(strategy)
-    out_cols = [f.name for f in OUT_FIELDS]
+from ..strategies.base import ENTER, EXIT, KEYS
+
+LATE = "Late"
+BAR_COLUMNS = ["interval_c", "interval_rank", "open_time_ms", "close_time_ms", "open", "high", "low", "close", "volume"]
+Bar = namedtuple("Bar", BAR_COLUMNS)
+OUT_SCHEMA = T.StructType(
+    [T.StructField("exchange", T.StringType()), T.StructField("symbol", T.StringType()),
+     T.StructField("seq", T.LongType()), T.StructField("ts_ms", T.LongType())]
+    + [T.StructField(n, t) for n, t in SIGNAL_FIELDS]
+    + [T.StructField("direction_in", T.StringType()), T.StructField("price_in", T.DoubleType()), T.StructField("ts_ms_in", T.LongType())]
+)
+STATE_SCHEMA = T.StructType([T.StructField("state", T.StringType())])
+
+
+def _place(bar: Bar) -> list:
+    return [bar.close_time_ms, bar.interval_rank, bar.open_time_ms]
+
+
+def _processor(strategy, hold_ms: int, initial_state: dict):
+    online = strategy.online()
+    names = OUT_SCHEMA.fieldNames()
+    flat = [None] * len(strategy.state_fields)
+
+    def begin(key: tuple) -> dict:
+        given = initial_state.get(tuple(key))
+        position = list(strategy.restored(tuple(given))) if given else flat
+        return {"features": online.new(), "position": position, "entry": [None, None, None], "done": None, "bars": 0, "top": None, "held": []}
 
     def process(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        st = json.loads(state.get[0]) if state.exists else online.new()
-        fold = tuple(st["fold"])
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        batch = batch.sort_values(["close_time_ms", "interval_rank", "open_time_ms"], kind="stable")
-        rows = []
-        for bar in batch.itertuples(index=False):
-            last = st["last"].get(bar.interval_c)
-            if last is not None and bar.close_time_ms <= last:
-                continue  # late or replayed
-            st["last"][bar.interval_c] = int(bar.close_time_ms)
-            feats = online.row(st, bar)
-            fold, sig = one_bar(strategy, fold, feats)
-            if sig is not None:
-                rows.append([key[0], key[1], int(st["n"]), int(bar.close_time_ms), *sig])
-        st["fold"] = list(fold)
+        st = json.loads(state.get[0]) if state.exists else begin(key)
+        waiting, rows = [Bar(*b) for b in st["held"]], []
+        for pdf in pdfs:
+            for values in zip(*[pdf[c].tolist() for c in BAR_COLUMNS]):
+                bar = Bar(*values)
+                if st["done"] is not None and _place(bar) <= st["done"]:
+                    rows.append([*key, None, bar.close_time_ms, LATE, None, bar.interval_c, None, None, bar.close, None, None, None])
+                else:
+                    waiting.append(bar)
+        waiting.sort(key=_place)
+        top = max([b.close_time_ms for b in waiting] + ([] if st["top"] is None else [st["top"]]), default=None)
+        held = []
+        for bar in waiting:
+            if bar.close_time_ms > top - hold_ms:
+                held.append(list(bar))
+                continue
+            if st["done"] is not None and _place(bar) <= st["done"]:  # twice in what was held
+                rows.append([*key, None, bar.close_time_ms, LATE, None, bar.interval_c, None, None, bar.close, None, None, None])
+                continue
+            st["done"], st["bars"] = _place(bar), st["bars"] + 1
+            values = online.row(st["features"], bar)
+            position, signal = one_bar(strategy, tuple(st["position"]), values)
+            st["position"] = list(position)
+            if signal is not None:
+                if signal[0] == ENTER:
+                    st["entry"] = [signal[1], signal[5], bar.close_time_ms]
+                rows.append([*key, st["bars"], bar.close_time_ms, *signal, *st["entry"]])
+        st["top"], st["held"] = top, held
         state.update((json.dumps(st),))
-        yield pd.DataFrame(rows, columns=out_cols)
+        yield pd.DataFrame(rows, columns=names)
 
     return process
 
 
-def stream_signals(bar_stream: DataFrame, strategy) -> DataFrame:
-    """Signals of ``strategy`` over a (streaming or static) bar DataFrame."""
-    ship_package(bar_stream.sparkSession)
-    online = online_for(strategy)
-    bars = bar_stream.withColumn("interval_c", canonical_interval("interval"))
-    if isinstance(strategy, MultiTimeFrameMacd):
-        accepted = (F.col("interval_c") == SHORT_INTERVAL) | (F.col("interval_c") == canonical_interval(F.lit(online.long)))
-        rank = F.when(F.col("interval_c") == SHORT_INTERVAL, 1).otherwise(0)
-    else:
-        accepted = F.col("interval_c") == canonical_interval(F.lit(strategy.params.interval))
-        rank = F.lit(0)
-    narrow = bars.filter(accepted).select(
-        *KEYS, "interval_c", rank.alias("interval_rank"), "open_time_ms", "close_time_ms", "open", "high", "low", "close", "volume")
+def evaluate_stream(bars: DataFrame, strategy, hold_ms: int = 0, initial_state: dict | None = None) -> DataFrame:
+    """Signals, each with the entry it belongs to, and ``Late`` rows.
+
+    ``initial_state``: positions to start from, {(exchange, symbol): state
+    values} -- configuration, as restored from outside."""
+    ship_package(bars.sparkSession)
+    narrow = strategy.accepted(bars).select(*KEYS, *BAR_COLUMNS)
     return narrow.groupBy(*KEYS).applyInPandasWithState(
-        _processor(strategy), T.StructType(OUT_FIELDS), STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _processor(strategy, hold_ms, dict(initial_state or {})), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+
+
+def signals_of(evaluated: DataFrame) -> DataFrame:
+    """The signals of ``evaluate_stream`` rows."""
+    return evaluated.filter(F.col("kind") != LATE).select(*KEYS, "seq", "ts_ms", *[n for n, _ in SIGNAL_FIELDS])
+
+
+def late_of(evaluated: DataFrame) -> DataFrame:
+    """The late or replayed bars of ``evaluate_stream`` rows: key, interval, close time, close."""
+    late = evaluated.filter(F.col("kind") == LATE)
+    return late.select(*KEYS, F.col("reason").alias("interval"), F.col("ts_ms").alias("close_time_ms"), F.col("price").alias("close"))
+
+
+def trades_of(evaluated: DataFrame, fee: float = DEFAULT_FEE, literal_roi: bool = False) -> DataFrame:
+    """T3 on the stream: a strategy's signals alternate, so each is accepted,
+    and an exit carries its entry."""
+    return trade_rows(evaluated.filter(F.col("kind").isin(ENTER, EXIT)), KEYS, fee, literal_roi)
+
+
+def stream_signals(bars: DataFrame, strategy, hold_ms: int = 0, initial_state: dict | None = None) -> DataFrame:
+    return signals_of(evaluate_stream(bars, strategy, hold_ms, initial_state))
