@@ -187,3 +187,58 @@ def test_payloads_are_handed_to_the_sender(spark, tmp_path):
     alerts.send_batch(send)(payloads, 0)
     texts = sorted(p.read_text() for p in out.iterdir())
     assert len(texts) == 2 and texts[0].startswith("u1 {") and alerts.START_MESSAGE in texts[1]
+
+
+def test_materialized_tables_are_dropped(spark):
+    import os
+
+    from tickwise import session
+
+    kept, session._WRITTEN[:] = list(session._WRITTEN), []
+    df = session.materialize(spark.range(3))
+    path = session._WRITTEN[0].removeprefix("file:")
+    assert df.count() == 3 and os.path.isdir(path)
+    session.drop_materialized(spark)
+    assert not os.path.exists(path) and not session._WRITTEN
+    session._WRITTEN[:] = kept
+
+
+def test_only_accepted_intervals_advance_the_bar_index(spark):
+    from tickwise.plans import catalog
+
+    bars = catalog.bars(spark, "/root/testdata/sf0.001", [15, 60, 240])
+    s = MultiTimeFrameMacd()
+    merged = s.merged(s.accepted(bars), 64)
+    assert {r.interval_c for r in merged.select("interval_c").distinct().collect()} == {"60m", "240m"}
+    short = merged.filter("is_short").groupBy("symbol").agg(F.count("*").alias("n"), F.max("bar_index").alias("m"))
+    assert all(r.n == r.m for r in short.collect())
+
+
+def test_unknown_trigger_and_zero_volume_never_signal(spark):
+    from tickwise.strategies.bandtastic import buy_condition, sell_condition
+
+    row = spark.createDataFrame([(10.0, 20.0, 2.0, 1.0, 5.0, 9.0, 1.0, 100.0, 0.0), (10.0, 20.0, 2.0, 1.0, 5.0, 9.0, 1.0, 100.0, 3.0)],
+                                "rsi double, mfi double, buy_fast_ema double, buy_slow_ema double, close double, bb_lower1 double, bb_upper1 double, bb_upper2 double, volume double")
+    row = row.withColumns({"sell_fast_ema": F.lit(1.0), "sell_slow_ema": F.lit(2.0)})
+    bt = lambda **kw: BandtasticParams(sell_mfi_enabled=False, **kw)
+    got = row.select(
+        buy_condition(bt()).alias("b"), sell_condition(bt(sell_trigger="sell-bb_upper1")).alias("s"),
+        buy_condition(bt(buy_trigger="odd")).alias("bo"), sell_condition(bt(sell_trigger="odd")).alias("so"),
+    ).collect()
+    assert [tuple(r) for r in got] == [(False, False, False, False), (True, True, False, False)]
+
+
+def test_open_frames_take_an_index_too(spark):
+    from tickwise.sources.frames import symbol_index
+
+    df = spark.createDataFrame([(1, 0, "B", False), (2, 0, "A", True), (3, 0, "B", True)], "recv_ms bigint, frame_no int, symbol string, closed boolean")
+    assert {r.symbol: r.symbol_index for r in symbol_index(df).collect()} == {"B": 1, "A": 2}
+
+
+def test_tick_rejects_name_their_reason(spark):
+    from tickwise.sources.bars import event_fault, event_ticks, tick_rejects
+
+    df = spark.createDataFrame([(1, None, "a", 1.0), (2, "2024-01-01 00:00:00", None, 1.0), (3, "2024-01-01 00:00:00", "a", None), (4, "2024-01-01 00:00:00", "a", 2.0)],
+                               "event_id bigint, t string, event_type string, value double").withColumn("ts", F.col("t").cast("timestamp_ntz"))
+    assert sorted((r.event_id, r.reject_reason) for r in tick_rejects(df, event_fault()).collect()) == [(1, "no_time"), (2, "no_symbol"), (3, "no_price")]
+    assert event_ticks(df).count() == 1

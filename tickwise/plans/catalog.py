@@ -20,7 +20,7 @@ from ..functions import numbers as nb
 from ..functions import time as tm
 from ..operators.ledger import trade_ledger, trade_roi
 from ..operators.series import DEFAULT_CHUNK_ROWS
-from ..sources.bars import resample_bars, sql_event_bars
+from ..sources.bars import event_fault, resample_bars, sql_event_bars
 from ..sources.tables import read_table
 from ..strategies.bandtastic import Bandtastic, BandtasticParams
 from ..strategies.mtf_macd import MacdParams, MultiTimeFrameMacd
@@ -90,6 +90,16 @@ BT_GATED = BandtasticParams(**GATED_BANDTASTIC)
 BT_EXITS = BandtasticParams(**EXITS_BANDTASTIC)
 MP = MacdParams()
 
+_TICK_FAULT_SQL = "CASE WHEN ts IS NULL THEN 'no_time' WHEN value IS NULL THEN 'no_price' WHEN event_type IS NULL THEN 'no_symbol' END"
+
+
+@query("tick_rejects", f"SELECT coalesce({_TICK_FAULT_SQL}, 'tick') AS outcome, count(*) AS n FROM events GROUP BY ALL")
+def q_tick_rejects(spark, sf):
+    """How many events become ticks, and why the others don't."""
+    outcome = F.coalesce(event_fault(), F.lit("tick")).alias("outcome")
+    return events(spark, sf).groupBy(outcome).agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- X1 / scalars on bars ------------------------------------------------------------------
 
 @query("resample_bars", f"SELECT exchange, symbol, open_time_ms, close_time_ms, open_time_h, interval, open, high, low, close, round(volume, {ROUND}) AS volume, trades_count FROM ({BAR_SQL15})")

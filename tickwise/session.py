@@ -8,8 +8,10 @@ it unset (local tests), because iterative operators cut lineage with
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,13 +62,28 @@ def materialize(df: DataFrame) -> DataFrame:
 
     One job, columnar, and a lost executor only re-reads files.  (A plain
     ``DataFrame.checkpoint()`` computes its input a second time to write the
-    checkpoint files unless it is also cached.)"""
-    import uuid
-
-    base = ensure_checkpoint_dir(df.sparkSession)
-    path = os.path.join(base, f"tw-{uuid.uuid4().hex}")
+    checkpoint files unless it is also cached.)  Results may read the tables
+    as long as the session lives; ``drop_materialized``, also run when the
+    driver's Python ends, removes them."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"tw-{uuid.uuid4().hex}")
+    if not _WRITTEN:
+        atexit.register(drop_materialized, spark)
+    _WRITTEN.append(path)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete the tables that ``materialize`` wrote; DataFrames that still read them stop working."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 _SHIPPED: set[int] = set()

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.intervals import interval_name
@@ -56,11 +56,34 @@ def _ohlcv(ticks: DataFrame, width_ms: int, order_cols: list[str]) -> DataFrame:
     )
 
 
+def _fault(columns: dict[str, Column]) -> Column:
+    """The first reason why a row is no tick, or null."""
+    out = None
+    for reason, bad in columns.items():
+        out = F.when(bad, F.lit(reason)) if out is None else out.when(bad, F.lit(reason))
+    return out
+
+
+def event_fault() -> Column:
+    return _fault({"no_time": F.col("ts").isNull(), "no_price": F.col("value").isNull(), "no_symbol": F.col("event_type").isNull()})
+
+
+def lineitem_fault() -> Column:
+    return _fault({
+        "no_time": F.col("l_shipdate").isNull(), "no_quantity": F.col("l_quantity").isNull() | (F.col("l_quantity") <= 0),
+        "no_price": F.col("l_extendedprice").isNull(),
+    })
+
+
+def tick_rejects(rows: DataFrame, fault: Column) -> DataFrame:
+    """The rows that give no tick, with ``reject_reason`` (``event_fault`` or ``lineitem_fault``)."""
+    return rows.withColumn("reject_reason", fault).filter(F.col("reject_reason").isNotNull())
+
+
 def event_ticks(events: DataFrame) -> DataFrame:
-    """events -> ticks: symbol = upper(event_type), price = value, quantity = value."""
-    return events.filter(
-        F.col("ts").isNotNull() & F.col("value").isNotNull() & F.col("event_type").isNotNull()
-    ).select(
+    """events -> ticks: symbol = upper(event_type), price = value, quantity =
+    value.  Rows without a time, price or type are in ``tick_rejects``."""
+    return events.filter(event_fault().isNull()).select(
         F.lit(EVENTS_EXCHANGE).alias("exchange"),
         F.upper("event_type").alias("symbol"),
         epoch_ms("ts").alias("ms"),
@@ -83,9 +106,7 @@ def resample_bars(events: DataFrame, minutes: int | Iterable[int]) -> DataFrame:
 
 def lineitem_daily_bars(lineitem: DataFrame) -> DataFrame:
     """Daily bars per supplier: price = extendedprice / quantity, volume = quantity."""
-    ticks = lineitem.filter(
-        F.col("l_shipdate").isNotNull() & (F.col("l_quantity") > 0) & F.col("l_extendedprice").isNotNull()
-    ).select(
+    ticks = lineitem.filter(lineitem_fault().isNull()).select(
         F.lit(LINEITEM_EXCHANGE).alias("exchange"),
         F.col("l_suppkey").cast("string").alias("symbol"),
         epoch_ms("l_shipdate").alias("ms"),

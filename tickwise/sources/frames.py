@@ -118,8 +118,8 @@ def normalize_bars(frames: DataFrame, exchange: str = FRAME_EXCHANGE) -> DataFra
 
 def symbol_index(frames: DataFrame) -> DataFrame:
     """dense 1-based index per symbol in first-arrival order (all frames,
-    open ones included; simultaneous arrivals by symbol name).  The ranking
-    runs on the per-symbol table only."""
+    open ones included; simultaneous arrivals by symbol name).  The ranking is
+    one unpartitioned window over the per-symbol table: one row per symbol."""
     first = frames.groupBy("symbol").agg(F.min(F.struct("recv_ms", "frame_no", "symbol")).alias("_first"))
     w = Window.orderBy("_first")
     return first.select("symbol", F.row_number().over(w).cast("bigint").alias("symbol_index"))
