@@ -574,9 +574,27 @@ def q_encode_trades(spark, sf):
     return ledger_trades(spark, sf).select("exchange", "symbol", "event", "enter_time", "exit_time", encode_trades().alias("json"))
 
 
-@query("bar_sanity", f"SELECT symbol, open_time_ms, {SQL_SANITY_REASON} AS reject_reason FROM ({_NORM_SQL}) n")
+# Bars with planted faults, chosen by the time slot: every sanity reason occurs.
+_FAULTY_SQL = f"""SELECT * REPLACE (
+  CASE (open_time_ms // 900000) % 17 WHEN 1 THEN 'nan'::DOUBLE WHEN 2 THEN NULL WHEN 5 THEN low - 1.0 ELSE open END AS open,
+  CASE (open_time_ms // 900000) % 17 WHEN 6 THEN 'inf'::DOUBLE ELSE high END AS high,
+  CASE (open_time_ms // 900000) % 17 WHEN 4 THEN high + 1.0 ELSE close END AS close,
+  CASE (open_time_ms // 900000) % 17 WHEN 3 THEN -1.0 - volume ELSE volume END AS volume) FROM ({_NORM_SQL}) n"""
+
+
+def faulty_bars(b: DataFrame) -> DataFrame:
+    kind = F.floor(F.col("open_time_ms") / 900000) % 17
+    return b.withColumns({
+        "open": F.when(kind == 1, float("nan")).when(kind == 2, F.lit(None)).when(kind == 5, F.col("low") - 1.0).otherwise(F.col("open")),
+        "high": F.when(kind == 6, float("inf")).otherwise(F.col("high")),
+        "close": F.when(kind == 4, F.col("high") + 1.0).otherwise(F.col("close")),
+        "volume": F.when(kind == 3, -1.0 - F.col("volume")).otherwise(F.col("volume")),
+    })
+
+
+@query("bar_sanity", f"SELECT symbol, open_time_ms, {SQL_SANITY_REASON} AS reject_reason FROM ({_FAULTY_SQL}) f")
 def q_bar_sanity(spark, sf):
-    b = fr.normalize_bars(fr.closed_bars(good_frames(spark, sf)))
+    b = faulty_bars(fr.normalize_bars(fr.closed_bars(good_frames(spark, sf))))
     good, bad = bar_sanity(b)
     return good.select("symbol", "open_time_ms", F.lit(None).cast("string").alias("reject_reason")).unionByName(
         bad.select("symbol", "open_time_ms", "reject_reason"))
