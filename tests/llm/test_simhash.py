@@ -25,7 +25,7 @@ def slow_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def slow_components(prints):
+def slow_components(prints, bits=3):
     """{id: (fingerprint, component)} from {id: fingerprint}."""
     ids = sorted(prints)
     root = {i: i for i in ids}
@@ -37,7 +37,7 @@ def slow_components(prints):
 
     for x, i in enumerate(ids):
         for j in ids[x + 1 :]:
-            if (prints[i] ^ prints[j]).bit_count() <= 3:
+            if (prints[i] ^ prints[j]).bit_count() <= bits:
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return {i: (f"{prints[i]:016x}", find(i)) for i in ids}
@@ -65,8 +65,8 @@ def test_empty_table(make_docs):
     assert simhash.near_duplicates(make_docs([])).count() == 0
 
 
-@pytest.mark.parametrize("crowd", [2, 10_000])
-def test_links_of_a_crowd(spark, crowd):
+@pytest.mark.parametrize("crowd,bits", [(2, 3), (10_000, 3), (2, 2), (2, 1)])
+def test_links_of_a_crowd(spark, crowd, bits):
     """Clusters around a few points: crowded segment values and plain ones give the components of all close pairs."""
     rng = random.Random(crowd)
     prints = {0}
@@ -80,14 +80,14 @@ def test_links_of_a_crowd(spark, crowd):
     ids = dict(enumerate(sorted(prints)))
     signed = [(i, int(np.uint64(p).astype(np.int64))) for i, p in ids.items()]
     df = spark.createDataFrame(signed, "id long, fp long")
-    edges = simhash.links(df.select("fp"), 3, crowd)
+    edges = simhash.links(df.select("fp"), bits, crowd)
     assert edges.where(F.col("a") == F.col("b")).count() == 0
     roots = {r.node: r.root for r in components(edges, "a", "b").collect()}
     ours = {}
     for i, p in signed:
         ours.setdefault(roots.get(p, p), set()).add(i)
     want = {}
-    for i, (_, c) in slow_components(ids).items():
+    for i, (_, c) in slow_components(ids, bits).items():
         want.setdefault(c, set()).add(i)
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, want.values()))
 

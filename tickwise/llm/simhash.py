@@ -98,20 +98,23 @@ def _probes(table: DataFrame) -> DataFrame:
     )
 
 
-def _crowded_links(members: DataFrame) -> DataFrame:
-    """Edges that connect all members within 3 bits of each other, without pairs.
-
-    Let c be a point of the cube.  A member within 1 bit of c links to every
-    member within 2 bits of c (1 + 2 = 3), and any pair within 3 bits has such
-    a point between its ends.  So each member emits the points within 2 bits
-    (2,081 rows, aggregated on the map side per point), and a point that has a
-    member within 1 bit links all its members to the smallest such member.
-    Members of a point are joined back by point, never with each other."""
+def _crowded_links(members: DataFrame, max_bits: int) -> DataFrame:
+    """Edges that connect all members within ``max_bits`` of each other, without pairs.
+
+    Let c be a point of the cube, and half the bits rounded down and up (1 and
+    2 of 3).  A member within the lower half of c links to every member within
+    the upper half, and any close pair has such a point between its ends.  So
+    each member emits the points within the upper half (2,081 rows for 3 bits,
+    aggregated on the map side per point), and a point that has a member within
+    the lower half links all its members to the smallest such member.  Members
+    of a point are joined back by point, never with each other."""
+    least, most = max_bits // 2, -(-max_bits // 2)
 
     def cube(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = [1 << i for i in range(64)]
-        masks = np.array([0, *one, *[x | y for i, x in enumerate(one) for y in one[:i]]], np.uint64)
-        near = np.array([True] * 65 + [False] * (len(masks) - 65))
+        balls = [[0], one, [x | y for i, x in enumerate(one) for y in one[:i]]][: most + 1]
+        masks = np.array([m for ball in balls for m in ball], np.uint64)
+        near = np.arange(len(masks)) < sum(map(len, balls[: least + 1]))
         for batch in batches:
             prints = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for at in range(0, len(prints), 64):
@@ -150,9 +153,7 @@ def links(prints: DataFrame, max_bits: int = 3, crowd: int = CROWD) -> DataFrame
     )
     out = found.select(F.least("probe", "fp").alias("a"), F.greatest("probe", "fp").alias("b"))
     if split:
-        if max_bits != 3:
-            raise ValueError("crowded segment values are linked for 3 bits only")
-        out = out.unionByName(_crowded_links(members))
+        out = out.unionByName(_crowded_links(members, max_bits))
     return out
 
 

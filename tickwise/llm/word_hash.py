@@ -88,6 +88,7 @@ def grams(hashes: np.ndarray, text: np.ndarray, gaps: tuple[int, ...]) -> tuple[
 
 def steps(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a binary Arrow column into bounded steps: (first row, rows, bytes, ends).  Null texts are empty."""
+    column = column.cast(pa.binary())  # offsets of 32 bits, whatever the session's Arrow types
     sizes = np.array(column.is_valid()).astype(np.int64)
     offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset) if len(column) else np.zeros(1, np.int32)
     sizes *= np.diff(offsets)
