@@ -100,13 +100,6 @@ def bar_windows(
 
 # ---- recurrences -----------------------------------------------------------------------
 
-def ema(df: DataFrame, keys: Sequence[str], periods: dict[str, int], x: str = "close", seq_col: str = "seq",
-        chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """One EMA column per ``name -> period``; all in one scan pass."""
-    specs = [ema_spec(name, F.col(x), ema_alpha(n), seq_col) for name, n in periods.items()]
-    return affine_scan(df, keys, specs, seq_col, chunk_rows)
-
-
 def rsi_specs(n: int, smoothing: str = "wilder", close: str = "close", prev: str = "prev_close",
               seq_col: str = "seq") -> list[Affine]:
     alpha = 1.0 / n if smoothing == "wilder" else ema_alpha(n)
@@ -121,21 +114,17 @@ def rsi_value(up: str = "_rsi_up", down: str = "_rsi_down") -> Column:
     return F.when(total == 0, F.lit(50.0)).otherwise(F.lit(100.0) * F.col(up) / total)
 
 
-def rsi(df: DataFrame, keys: Sequence[str], n: int = 14, smoothing: str = "wilder", seq_col: str = "seq",
-        chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """R2: needs ``prev_close`` (from ``bar_windows``)."""
-    out = affine_scan(df, keys, rsi_specs(n, smoothing, seq_col=seq_col), seq_col, chunk_rows)
-    return out.withColumn("rsi", rsi_value()).drop("_rsi_up", "_rsi_down")
-
-
 def macd(df: DataFrame, keys: Sequence[str], fast: int = 12, slow: int = 26, signal: int = 9, x: str = "close",
          seq_col: str = "seq", chunk_rows: int = DEFAULT_CHUNK_ROWS, prefix: str = "") -> DataFrame:
-    """Macd, signal and histogram columns (two scan passes)."""
+    """Macd, signal and histogram columns, all in one scan.
+
+    The signal line averages the difference of the averages; written with
+    their previous values, signal_t = a * signal_{t-1} + k * (b_fast - b_slow)
+    + k * a_fast * fast_{t-1} - k * a_slow * slow_{t-1}."""
     p = prefix
-    out = affine_scan(
-        df, keys,
-        [ema_spec("_ema_fast", F.col(x), ema_alpha(fast), seq_col), ema_spec("_ema_slow", F.col(x), ema_alpha(slow), seq_col)],
-        seq_col, chunk_rows,
-    ).withColumn(f"{p}macd", F.col("_ema_fast") - F.col("_ema_slow"))
-    out = affine_scan(out, keys, [ema_spec(f"{p}signal", F.col(f"{p}macd"), ema_alpha(signal), seq_col)], seq_col, chunk_rows)
+    f, s = (ema_spec(name, F.col(x), ema_alpha(n), seq_col) for name, n in (("_ema_fast", fast), ("_ema_slow", slow)))
+    line = ema_spec(f"{p}signal", f.b - s.b, ema_alpha(signal), seq_col)
+    k = F.when(F.col(seq_col) == 1, F.lit(1.0)).otherwise(F.lit(ema_alpha(signal)))
+    line.feeds = {f.name: k * f.a, s.name: -k * s.a}
+    out = affine_scan(df, keys, [f, s, line], seq_col, chunk_rows).withColumn(f"{p}macd", F.col("_ema_fast") - F.col("_ema_slow"))
     return out.withColumn(f"{p}hist", F.col(f"{p}macd") - F.col(f"{p}signal")).drop("_ema_fast", "_ema_slow")

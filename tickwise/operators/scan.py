@@ -1,24 +1,30 @@
 """Chunked parallel affine scan  y_t = a_t * y_{t-1} + b_t  (y_0 = 0).
 
-Spark has no recursive window.  Affine maps compose associatively, so a
-series is cut into chunks of ``chunk_rows`` rows and scanned in two passes:
+A recurrence may also read the previous values of other recurrences of the
+same scan (``feeds``):  y_t = a_t * y_{t-1} + b_t + sum_j f_{j,t} * y_{j,t-1},
+which is how the MACD signal line follows both averages.
 
-1. per chunk, one row: the product of its coefficients and its end value when
-   started from 0 -- that is, the chunk as one affine map;
+Spark has no recursive window.  Such maps compose into maps of the same form,
+so a series is cut into chunks of ``chunk_rows`` rows and scanned in two passes:
+
+1. per chunk, one row: the chunk as one map -- the product of its coefficients,
+   its end value when started from 0, and what a carry of 1 in each fed
+   recurrence adds to it;
 2. the carry into every chunk is the scan of those maps -- the same problem on
    a table ``chunk_rows`` times smaller, solved by recursion, whatever the
    length of the series -- and a second pass starts each chunk at its carry
    and returns the rows with their columns.
 
-Both passes stream over rows clustered by (key, chunk).  Within an Arrow batch
-all recurrences of all chunks advance together by numpy doubling steps; a task
+Both passes stream over rows clustered by (key, chunk) and read the input from
+one written table, so what is upstream runs once.  Within an Arrow batch the
+recurrences of all chunks advance together by numpy doubling steps; a task
 holds one batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +38,27 @@ from .series import DEFAULT_CHUNK_ROWS, chunk_expr
 
 @dataclass
 class Affine:
-    """One recurrence: output column ``name`` with coefficients ``a`` and ``b``."""
+    """One recurrence: output column ``name`` with coefficients ``a`` and ``b``,
+    and of the previous values of recurrences before it, ``feeds``."""
 
     name: str
     a: Column
     b: Column
+    feeds: dict[str, Column] = field(default_factory=dict)
+
+
+@dataclass
+class _Layout:
+    """Names of a scan's recurrences and its (fed, feeding) pairs by position."""
+
+    names: list[str]
+    pairs: list[tuple[int, int]]
+
+    def coefficients(self) -> list[str]:
+        return [f"_{p}_{n}" for p in ("ca", "cb") for n in self.names] + [f"_cf_{self.names[i]}_{self.names[j]}" for i, j in self.pairs]
+
+    def maps(self) -> list[str]:
+        return [f"_{p}_{n}" for p in ("pa", "ly") for n in self.names] + [f"_pf_{self.names[i]}_{self.names[j]}" for i, j in self.pairs]
 
 
 def scan_block(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -55,67 +77,92 @@ def scan_block(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _columns(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
     found = [batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in names]
-    return np.stack(found, axis=1).astype(float)
+    return np.stack(found, axis=1).astype(float) if found else np.zeros((batch.num_rows, 0))
+
+
+def _solve(layout: _Layout, a: np.ndarray, b: np.ndarray, f: np.ndarray, begins: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Values of all recurrences on rows whose runs begin at ``begins`` from
+    the values in ``start`` (one row per run)."""
+    y, inner = np.empty_like(b), a.copy()
+    inner[begins] = 0.0
+    for i in range(len(layout.names)):
+        b_i = b[:, i].copy()
+        b_i[begins] += np.where(a[begins, i] == 0, 0.0, a[begins, i] * start[:, i])
+        for n, (fed, j) in enumerate(layout.pairs):
+            if fed == i:
+                before = np.concatenate(([0.0], y[:-1, j]))
+                before[begins] = start[:, j]
+                b_i += np.where(f[:, n] == 0, 0.0, f[:, n] * before)
+        y[:, i] = scan_block(inner[:, i : i + 1], b_i[:, None])[:, 0]
+    return y
 
 
-def _chunk_maps(names: list[str], keep: list[str]):
-    """Pass 1: one row per chunk with its coefficient product and local end."""
-    coef_a, coef_b = [f"_ca_{n}" for n in names], [f"_cb_{n}" for n in names]
+def _chunk_maps(layout: _Layout, keep: list[str]):
+    """Pass 1: one row per chunk, the chunk as one map."""
+    size, pairs = len(layout.names), layout.pairs
 
-    def finished(rows: pa.RecordBatch, product: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-        extra = [pa.array(np.ascontiguousarray(x[:, j])) for j in range(len(names)) for x in (product, end)]
+    def responses(a, f, begins, product, added):
+        """Running products, and running effects of a carry of 1 in each feeding recurrence."""
+        products = _solve(_Layout(layout.names, []), a, np.zeros_like(a), f, begins, product)
+        effects = np.zeros((len(a), len(pairs)))
+        for n, (i, j) in enumerate(pairs):
+            before = np.concatenate(([0.0], products[:-1, j]))
+            before[begins] = product[:, j]
+            one = _Layout([layout.names[i]], [])
+            effects[:, n] = _solve(one, a[:, i : i + 1], (f[:, n] * before)[:, None], f, begins, added[:, n : n + 1])[:, 0]
+        return products, effects
+
+    def finished(rows: pa.RecordBatch, maps: np.ndarray) -> pa.RecordBatch:
         kept = [rows.column(rows.schema.get_field_index(c)) for c in keep]
-        return pa.RecordBatch.from_arrays([*kept, *extra], [*keep, *[f"_{p}_{n}" for n in names for p in ("pa", "ly")]])
+        return pa.RecordBatch.from_arrays([*kept, *[pa.array(np.ascontiguousarray(x)) for x in maps.T]], [*keep, *layout.maps()])
 
     def run(batches):
-        held = None  # last row so far of the chunk in hand, its product and its end
+        held = None  # last row so far of the chunk in hand, and its map
         for batch in batches:
             if not batch.num_rows:
                 continue
             first = batch.column(batch.schema.get_field_index("_pos")).to_numpy() == 0
-            a, b = _columns(batch, coef_a), _columns(batch, coef_b)
-            begins = np.flatnonzero(first)
-            if not first[0]:
-                begins = np.concatenate(([0], begins))
-            product = np.multiply.reduceat(a, begins, axis=0)
+            every = _columns(batch, layout.coefficients())
+            a, b, f = every[:, :size], every[:, size : 2 * size], every[:, 2 * size :]
+            begins = np.flatnonzero(first) if first[0] else np.concatenate(([0], np.flatnonzero(first)))
+            product, start, added = np.ones((len(begins), size)), np.zeros((len(begins), size)), np.zeros((len(begins), len(pairs)))
             if not first[0]:
-                b[0] += a[0] * held[2]
-                product[0] *= held[1]
+                product[0], start[0], added[0] = held[1][:size], held[1][size : 2 * size], held[1][2 * size :]
             elif held is not None:
-                yield finished(held[0], held[1][None], held[2][None])
-            a[begins] = 0.0
-            y = scan_block(a, b)
+                yield finished(held[0], held[1][None])
+            y = _solve(layout, a, b, f, begins, start)
+            products, effects = responses(a, f, begins, product, added)
             ends = np.append(begins[1:] - 1, batch.num_rows - 1)
+            maps = np.concatenate([products, y, effects], axis=1)[ends]
             if len(ends) > 1:
-                yield finished(batch.take(pa.array(ends[:-1])), product[:-1], y[ends[:-1]])
-            held = (batch.slice(int(ends[-1]), 1), product[-1], y[ends[-1]])
+                yield finished(batch.take(pa.array(ends[:-1])), maps[:-1])
+            held = (batch.slice(int(ends[-1]), 1), maps[-1])
         if held is not None:
-            yield finished(held[0], held[1][None], held[2][None])
+            yield finished(held[0], held[1][None])
 
     return run
 
 
-def _chunk_values(names: list[str], keep: list[str]):
+def _chunk_values(layout: _Layout, keep: list[str]):
     """Pass 2: every row with its scanned values, each chunk started at its carry."""
-    coef_a, coef_b, carry = ([f"_{p}_{n}" for n in names] for p in ("ca", "cb", "carry"))
+    size = len(layout.names)
 
     def run(batches):
-        last = np.zeros(len(names))
+        last = np.zeros(size)
         for batch in batches:
             if not batch.num_rows:
                 continue
             first = batch.column(batch.schema.get_field_index("_pos")).to_numpy() == 0
-            a, b = _columns(batch, coef_a), _columns(batch, coef_b)
-            begins = np.flatnonzero(first)
-            b[begins] += np.where(a[begins] == 0, 0.0, a[begins] * np.nan_to_num(_columns(batch, carry)[begins], posinf=np.inf, neginf=-np.inf))
-            a[begins] = 0.0
+            every = _columns(batch, [*layout.coefficients(), *[f"_carry_{n}" for n in layout.names]])
+            a, b, f, carry = np.split(every, [size, 2 * size, every.shape[1] - size], axis=1)
+            begins = np.flatnonzero(first) if first[0] else np.concatenate(([0], np.flatnonzero(first)))
+            start = carry[begins]
             if not first[0]:
-                b[0] += a[0] * last
-                a[0] = 0.0
-            y = scan_block(a, b)
+                start[0] = last
+            y = _solve(layout, a, b, f, begins, start)
             last = y[-1]
             kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(np.ascontiguousarray(y[:, j])) for j in range(len(names))]], [*keep, *names])
+            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(np.ascontiguousarray(x)) for x in y.T]], [*keep, *layout.names])
 
     return run
 
@@ -132,13 +179,15 @@ def affine_scan(
     ``seq_col`` numbers the rows of each key 1, 2, 3, ... without gaps.  The
     only thing the driver learns is the largest chunk number."""
     keys, names = list(keys), [s.name for s in specs]
+    layout = _Layout(names, [(i, names.index(j)) for i, s in enumerate(specs) for j in s.feeds])
     chunk_rows = max(chunk_rows, 2)  # every level is at most half as long as the one below
     ship_package(df.sparkSession)
-    t = df.withColumn("_chunk", chunk_expr(seq_col, chunk_rows)).withColumn("_pos", ((F.col(seq_col) - 1) % F.lit(chunk_rows)).cast("bigint"))
-    for s in specs:
-        t = t.withColumn(f"_ca_{s.name}", s.a.cast("double")).withColumn(f"_cb_{s.name}", s.b.cast("double"))
+    coef = [s.a for s in specs] + [s.b for s in specs] + [c for s in specs for c in s.feeds.values()]
+    t = df.select(
+        "*", chunk_expr(seq_col, chunk_rows).alias("_chunk"), ((F.col(seq_col) - 1) % F.lit(chunk_rows)).cast("bigint").alias("_pos"),
+        *[c.cast("double").alias(n) for c, n in zip(coef, layout.coefficients())],
+    )
     t = materialize(t)  # read by both passes: computed once
-    coef = [f"_{p}_{n}" for n in names for p in ("ca", "cb")]
 
     def clustered(rows: DataFrame) -> DataFrame:
         return rows.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", seq_col)
@@ -146,18 +195,22 @@ def affine_scan(
     carries = [F.lit(0.0).alias(f"_carry_{n}") for n in names]
     if t.agg(F.max("_chunk")).first()[0]:
         keep = [*keys, "_chunk"]
-        schema = T.StructType([t.schema[c] for c in keep] + [T.StructField(f"_{p}_{n}", T.DoubleType()) for n in names for p in ("pa", "ly")])
-        maps = clustered(t.select(*keys, "_chunk", "_pos", seq_col, *coef)).mapInArrow(_chunk_maps(names, keep), schema)
+        schema = T.StructType([t.schema[c] for c in keep] + [T.StructField(n, T.DoubleType()) for n in layout.maps()])
+        maps = clustered(t.select(*keys, "_chunk", "_pos", seq_col, *layout.coefficients())).mapInArrow(_chunk_maps(layout, keep), schema)
         maps = maps.withColumn("_cseq", F.col("_chunk") + 1).drop("_chunk")
-        ends = affine_scan(maps, keys, [Affine(f"_end_{n}", F.col(f"_pa_{n}"), F.col(f"_ly_{n}")) for n in names], "_cseq", chunk_rows)
+        level = [
+            Affine(f"_end_{s.name}", F.col(f"_pa_{s.name}"), F.col(f"_ly_{s.name}"), {f"_end_{j}": F.col(f"_pf_{s.name}_{j}") for j in s.feeds})
+            for s in specs
+        ]
+        ends = affine_scan(maps, keys, level, "_cseq", chunk_rows)
         # The end of a chunk is the carry into the next one.
         ends = ends.select(*keys, F.col("_cseq").alias("_chunk"), *[F.col(f"_end_{n}").alias(f"_carry_{n}") for n in names])
         t = t.join(ends, [*keys, "_chunk"], "left")
         carries = [F.coalesce(f"_carry_{n}", F.lit(0.0)).alias(f"_carry_{n}") for n in names]
     keep = df.columns
     schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
-    rows = t.select(*keep, "_chunk", "_pos", *coef, *carries)
-    return clustered(rows).mapInArrow(_chunk_values(names, keep), schema)
+    rows = t.select(*keep, "_chunk", "_pos", *layout.coefficients(), *carries)
+    return clustered(rows).mapInArrow(_chunk_values(layout, keep), schema)
 
 
 def sequential_affine(a: Sequence[float], b: Sequence[float]) -> list[float]:
