@@ -24,7 +24,7 @@ import numpy as np
 
 #: Chunks and ids kept per worker.  When there are more, the first half stays:
 #: frequent chunks come early.
-MAX_CHUNKS, MAX_IDS = 600_000, 6_000_000
+MAX_CHUNKS, MAX_IDS = 300_000, 3_000_000
 #: Characters encoded at a time (a longer text is one such step by itself).
 STEP_CHARS = 1 << 20
 
