@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import exact_dedup, langid, mixing, packing, quality, simhash, token_files, topk, toxicity, warc
+from . import bitplanes, exact_dedup, kd_shards, langid, mixing, packing, prefix_trie, quality, simhash, token_files, topk, toxicity, warc
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +61,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_read(docs, vocabulary_path("byte_bpe_50k.json"), 50257, style="byte", end_id=0)
 
 
+def op11_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = kd_shards.shard_documents(read_table(spark, sf_dir, "documents"), shards=8)
+    return shards.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_bitplane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.cluster_rows(read_table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, seed=2, scale=256.0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix": op1_mix,
@@ -73,6 +86,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": op8_warc,
         "op9_language": op9_language,
         "op10_token_files": op10_token_files,
+        "op11_kd_shards": op11_kd_shards,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_bitplane_clusters": op13_bitplane_clusters,
     }
 
 
@@ -81,4 +97,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_dedup": exact_dedup.ORACLE_SQL,
         "op7_topk": topk.ORACLE_SQL,
         "op8_warc": warc.ORACLE_SQL,
+        "op12_prefix_trie": prefix_trie.ORACLE_SQL,
+        "op13_bitplane_clusters": bitplanes.oracle_sql(clusters=40, rounds=5, seed=2),
     }
