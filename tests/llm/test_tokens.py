@@ -16,12 +16,12 @@ ODD = [
     "", " ", "\n", "  ", " a", "a ", "a  b", "a   b c", "a \n b", "a\n\nb\n", "\n\na", "it's we'll ''s 'Tis", "x  y z  w",
     "é ́a ́", "\x1c \x1d a\x85b", "İΣ Σς ﬁ", "<|endoftext|> <|startoftext|>", "1234 5 67\t\t8 \t9",
     "tab\tand\r\nline \r\n end  x", "\U0001f600 \U0001f468‍\U0001f469 ok", "a" * 5000, "no_space" * 400 + " \n\n \n x", "### $$$ !!\n | a |",
+    "a <|endoftext|> b", "x<|ENDOFTEXT|>,", "<|startoftext|>", "null \x00 byte", "word's, 'quoted' a!! b,.c d_e. ...", "ÀÉ, ça!!! Straße. ŒUVRE, Ωmega.",
 ]
 
 
 def whole(path, text):
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     return [e.ids for e in tok.encode_batch(text, add_special_tokens=False)]
 
 

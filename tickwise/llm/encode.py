@@ -3,42 +3,48 @@
 A byte-pair tokenizer first cuts a text into pre-tokens and then merges inside
 each.  A text is therefore split at white space that is always a pre-token
 boundary, every distinct chunk is encoded once by the library, and a text's
-ids are gathered from the chunks' ids with numpy.  The result equals encoding
-the whole text (tested); invented and natural text repeat their words, so the
-library sees a small part of the input.
+ids are gathered from the chunks' ids.  The result equals a plain library call
+on the whole text (tested); texts repeat their words, so the library sees a
+small part of the input.
 
 * ``byte`` style (byte-level BPE whose pattern attaches a leading space to the
   next run): a space or newline after a non-space character starts a
   pre-token.  No pre-token before it looks further, so the cut is exact.
 * ``word`` style (white space is dropped, words end in a marker): any space or
   newline is a cut.
+
+Arrow splits a step of texts and numbers its distinct chunks, so Python touches
+distinct chunks only; numpy gathers the ids.  A chunk of letters with a run of
+punctuation behind it is two pre-tokens, and only the letters are kept.  Texts
+that hold a special token's string go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
+import string
+from collections.abc import Iterator
 
 import numpy as np
-
-#: Chunks and ids kept per worker.  When there are more, the first half stays:
-#: frequent chunks come early.
-MAX_CHUNKS, MAX_IDS = 300_000, 3_000_000
-#: Characters encoded at a time (a longer text is one such step by itself).
-STEP_CHARS = 1 << 20
-
-_TWO_SPACES = re.compile(r"\s[ \n]")
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Chunks and ids kept per worker.  When there are more, the half used in most steps stays.
+MAX_CHUNKS, MAX_IDS = 400_000, 4_000_000
+#: Bytes of text encoded at a time (a longer text is one such step by itself).
+STEP_BYTES = 1 << 22
+
+#: Before a chunk that stands for itself: the others follow a space.
+_LITERAL = "\0"
+_TAIL = string.punctuation
+_SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _BOUNDARY = re.compile(r"(?<=\S)(?=[ \n])")
 
-
 #: Letters, digits and symbols of byte-level vocabularies: printable bytes stand
 #: for themselves, the others for the code points from 256 up, in order.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _ALPHABET = {b: b for b in _PRINTABLE} | {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-#: Between words handed to the model: a space separates, and "|" (never in a word) marks the end of one.
-_END, _BREAK = "|", "\n"
-_TO_MODEL = {**_ALPHABET, ord(_BREAK): " "}
 
 
 class _Codes(dict):
@@ -54,61 +60,40 @@ class _Codes(dict):
         return n
 
 
-def _byte_chunks(text: str) -> list:
-    """Keys of a text's chunks: a string stands for itself after a space (or,
-    if it starts with a newline, for itself); a 1-tuple holds a literal chunk."""
-    if _TWO_SPACES.search(text):
-        literal = _BOUNDARY.split(text)
-        return [(literal[0],)] + [c[1:] if c[0] == " " and c[1:2] != "\n" else (c,) for c in literal[1:]]
-    lines = text.split("\n")
-    chunks: list = lines[0].split(" ")
-    chunks[0] = (chunks[0],)
-    for line in lines[1:]:
-        words = line.split(" ")
-        words[0] = "\n" + words[0]
-        chunks += words
-    return chunks
-
+def _byte_chunks(text: str) -> list[str]:
+    """Chunks of a text in which white space stands before a space or newline."""
+    cut = _BOUNDARY.split(text)
+    return [_LITERAL + cut[0]] + [c[1:] if c[0] == " " and c[1:2] != "\n" else _LITERAL + c for c in cut[1:]]
 
-def _byte_text(key) -> str:
-    return key[0] if isinstance(key, tuple) else key if key.startswith("\n") else " " + key
 
-
-def _word_chunks(text: str) -> list:
-    text = text.replace("\n", " ")
-    return (text.lower() if text.isascii() else text).split(" ")  # the vocabulary folds case
-
-
-_STYLES = {"byte": (_byte_chunks, _byte_text, " "), "word": (_word_chunks, str, "")}
+def _plain(word: str) -> bool:
+    """A word of Latin-1 letters only: one pre-token whatever stands around it."""
+    return word.isalpha() and (word.isascii() or max(word) < "Ā")
 
 
-def _plain(word) -> bool:
-    """A word of Latin-1 letters only: one pre-token whatever stands around it."""
-    if isinstance(word, tuple) or not word.isalpha():
-        return False
-    return word.isascii() or max(word) < "\u0100"
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Positions starts[i] .. starts[i] + counts[i] - 1, one run after another."""
+    after = np.cumsum(counts)
+    total = int(after[-1]) if len(after) else 0
+    return np.repeat(starts - (after - counts), counts) + np.arange(total)
 
 
 class Encoder:
     """Encodes texts to ids; keeps the ids of the chunks it has met.
 
-    Plain words are handed to the library's BPE model many at a time, in the
-    vocabulary's byte alphabet; anything else goes through the whole tokenizer,
-    a chunk at a time."""
+    Plain words are handed to the library's BPE model in the vocabulary's byte
+    alphabet; anything else goes through the whole tokenizer, a chunk at a time."""
 
     def __init__(self, path: str, style: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.words = Tokenizer(self.tokenizer.model)
-        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.model = self.tokenizer.model
+        self.size = max(self.tokenizer.get_vocab().values()) + 1
         self.style = style
-        self.chunks, self.text, self.lead = _STYLES[style]
-        self.end_id, *rest = self._ids([_END])[0]
-        assert not rest, "the mark between words must be one token"
-        self.marks = {m: np.array(self._ids([m])[0], np.uint32) for m in ",."}
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = "(?i)" + "|".join([*special, r"\x00"])
         self._begin()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -116,76 +101,123 @@ class Encoder:
 
     def _begin(self) -> None:
         self.codes = _Codes()
+        self.tails: dict[str, np.ndarray] = {"": np.zeros(0, np.uint32)}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.start, self.count = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
+        self.start, self.count, self.hits = (np.zeros(1 << 14, np.int32) for _ in range(3))
 
     def _forget(self) -> None:
-        """Keep the first half of the chunks."""
-        half = len(self.codes) // 2
-        kept = [(k, c) for k, c in self.codes.items() if c < half]
-        self.codes = _Codes()
-        self.codes.update(kept)
-        self.used = int((self.start[:half] + self.count[:half]).max(initial=0))
-
-    def _store(self, codes: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) // 2 + len(ids), np.uint32)])
-        self.flat[self.used : self.used + len(ids)] = ids
+        """Keep the half of the chunks that was met in most steps."""
+        n = len(self.codes)
+        kept = np.zeros(n, bool)
+        kept[np.argsort(self.hits[:n], kind="stable")[n - n // 2 :]] = True
+        number = np.cumsum(kept) - 1
+        codes, self.codes = self.codes, _Codes()
+        self.codes.update((k, int(number[c])) for k, c in codes.items() if kept[c])
+        start, count = self.start[:n][kept], self.count[:n][kept]
+        ids = self.flat[_spread(start, count)]
+        self.used = len(ids)
+        self.flat[: self.used] = ids
+        m = len(count)
+        self.count[:m], self.start[:m], self.hits[:m] = count, np.cumsum(count) - count, self.hits[:n][kept] // 2
+        self.hits[m:] = 0
+
+    def _store(self, codes: list[int], lists: list[list[int]]) -> None:
+        counts = np.fromiter(map(len, lists), np.int32, len(lists))
+        total = int(counts.sum())
+        if self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) // 2 + total, np.uint32)])
+        self.flat[self.used : self.used + total] = np.fromiter((i for x in lists for i in x), np.uint32, total)
         self.count[codes] = counts
         self.start[codes] = self.used + np.cumsum(counts) - counts
-        self.used += len(ids)
+        self.used += total
 
     def _learn(self) -> None:
-        plain, marked, other = [], [], []
-        for key in self.codes.new:  # grows while bodies of marked words are met for the first time
-            if _plain(key):
-                plain.append(key)
-            elif not isinstance(key, tuple) and key[-1:] in self.marks and _plain(key[:-1]):
-                marked.append(key)
-                self.codes[key[:-1]]
-            else:
-                other.append(key)
-        self.codes.new.clear()
         if len(self.codes) > len(self.start):
             more = np.zeros(len(self.codes) - len(self.start) // 2, np.int32)
-            self.start, self.count = np.concatenate([self.start, more]), np.concatenate([self.count, more])
-        number = self.codes.__getitem__
-        for at in range(0, len(plain), 1024):
-            words = plain[at : at + 1024]
-            given = words if self.style == "byte" else [w.lower() for w in words]
-            line = (_BREAK + _END + _BREAK + self.lead).join(["", *given])[len(_BREAK + _END + _BREAK) :] + _BREAK + _END
-            line = line.encode().decode("latin-1").translate(_TO_MODEL)
-            ids = np.array(self.words.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.flatnonzero(ids == self.end_id)
-            counts = np.diff(ends, prepend=-1) - 1
-            self._store(np.fromiter(map(number, words), np.int64, len(words)), counts, np.delete(ids, ends))
-        for at in range(0, len(other), 4096):
-            keys = other[at : at + 4096]
-            ids = self._ids([self.text(k) for k in keys])
-            counts = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(counts.sum()))
-            self._store(np.fromiter(map(number, keys), np.int64, len(keys)), counts, flat)
-        if marked:
-            body = np.fromiter((number(k[:-1]) for k in marked), np.int64, len(marked))
-            parts = [x for b, k in zip(body, marked) for x in (self.flat[self.start[b] : self.start[b] + self.count[b]], self.marks[k[-1]])]
-            counts = self.count[body] + np.fromiter((len(self.marks[k[-1]]) for k in marked), np.int64, len(marked))
-            self._store(np.fromiter(map(number, marked), np.int64, len(marked)), counts, np.concatenate(parts))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts one after another, offsets: len(texts) + 1)."""
-        if len(self.codes) > MAX_CHUNKS or self.used > MAX_IDS:
-            self._forget()
-        keys, ends = [], []
-        for t in texts:
-            keys += self.chunks(t)
-            ends.append(len(keys))
-        codes = np.fromiter(map(self.codes.__getitem__, keys), np.int64, len(keys))
+            self.start, self.count, self.hits = (np.concatenate([x, more]) for x in (self.start, self.count, self.hits))
+        new, self.codes.new = self.codes.new, []
+        number, tokenize = self.codes.__getitem__, self.model.tokenize
+        lead = "" if self.style == "word" else chr(_ALPHABET[32])
+        plain, lists, other = [], [], []
+        for chunk in new:
+            if not _plain(chunk):
+                other.append(chunk)
+                continue
+            word = chunk if self.style == "byte" else chunk.lower()  # that vocabulary folds case
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(_ALPHABET)
+            plain.append(number(chunk))
+            lists.append([t.id for t in tokenize(lead + word)])
+        self._store(plain, lists)
+        texts = other
+        if self.style == "byte":  # a newline needs no space before it
+            texts = [c[1:] if c[:1] == _LITERAL else c if c[:1] == "\n" else " " + c for c in other]
+        self._store([number(c) for c in other], self._ids(texts))
+
+    def _tail(self, tail: str) -> np.ndarray:
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails = {"": self.tails[""]}
+            self.tails[tail] = np.array(self._ids([tail])[0], np.uint32)
+        return self.tails[tail]
+
+    def _gather(self, chunks: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the chunks one after another, ids of each chunk)."""
+        bodies, tails, tailed = [], [], []
+        for n, chunk in enumerate(chunks.dictionary.to_pylist()):
+            body = chunk.rstrip(_TAIL)
+            if body is not chunk and _plain(body):
+                bodies.append(body)
+                tails.append(self._tail(chunk[len(body) :]))
+                tailed.append(n)
+            else:
+                bodies.append(chunk)
+        codes = np.fromiter(map(self.codes.__getitem__, bodies), np.int32, len(bodies))
         if self.codes.new:
             self._learn()
-        counts = self.count[codes].astype(np.int64)
-        after = np.concatenate(([0], np.cumsum(counts)))
-        where = np.repeat(self.start[codes] - after[:-1], counts) + np.arange(after[-1])
-        return self.flat[where], after[np.array([0, *ends])]
+        self.hits[codes] += 1
+        counts, starts, flat = self.count[codes], self.start[codes], self.flat
+        if tailed:  # the step's own table: bodies with their tails behind them
+            own = counts.copy()
+            extra = np.fromiter(map(len, tails), np.int32, len(tails))
+            counts[tailed] += extra
+            begins = np.cumsum(counts) - counts
+            flat = np.empty(int(counts.sum()), np.uint32)
+            flat[_spread(begins, own)] = self.flat[_spread(starts, own)]
+            flat[_spread(begins[tailed] + own[tailed], extra)] = np.concatenate(tails)
+            starts = begins
+        at = chunks.indices.to_numpy()
+        each = counts[at]
+        return flat[_spread(starts[at], each)], each
+
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, offsets: len(texts) + 1).  Null texts are empty."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if len(self.codes) > MAX_CHUNKS or self.used > MAX_IDS:
+            self._forget()
+        whole = pc.match_substring_regex(texts, self.whole)
+        odd = pc.match_substring_regex(texts, f"{_SPACES}[ \n]") if self.style == "byte" else None
+        apart = whole if odd is None else pc.or_(whole, odd)
+        rows = np.flatnonzero(apart.to_numpy(zero_copy_only=False))
+        even = pc.if_else(apart, "", texts) if len(rows) else texts
+        if self.style == "byte":
+            even = pc.binary_join_element_wise(_LITERAL, pc.replace_substring(even, "\n", " \n"), "")
+        else:
+            even = pc.ascii_lower(pc.replace_substring(even, "\n", " "))
+        lists = pc.split_pattern(even, " ")
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        ids, each = self._gather(lists.flatten().dictionary_encode())
+        offsets = np.concatenate(([0], np.cumsum(each, dtype=np.int64)))[ends]
+        if not len(rows):
+            return ids, offsets
+        parts = [ids[a:b] for a, b in zip(offsets, offsets[1:])]
+        for i in rows.tolist():
+            text = texts[i].as_py()
+            if whole[i].as_py():
+                parts[i] = np.array(self._ids([text])[0], np.uint32)
+            else:
+                parts[i] = self._gather(pa.array(_byte_chunks(text), pa.string()).dictionary_encode())[0]
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64)))
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -198,22 +230,16 @@ def encoder(path: str, style: str) -> Encoder:
     return _ENCODERS[path, style]
 
 
-def encoded(rows: Iterable[tuple], path: str, style: str) -> Iterator[tuple]:
-    """Turn (key, text) rows, null text: empty, into (key, ids) in the same order, a bounded step of texts at a time."""
+def encoded(column: pa.Array, path: str, style: str) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, ids) of a column of texts (null: empty), in order, a bounded step of texts at a time."""
     enc = encoder(path, style)
-    keys, texts, size = [], [], 0
-
-    def step():
-        ids, offsets = enc.encode(texts)
-        for i, key in enumerate(keys):
-            yield key, ids[offsets[i] : offsets[i + 1]]
-
-    for key, text in rows:
-        keys.append(key)
-        texts.append(text or "")
-        size += len(texts[-1])
-        if size >= STEP_CHARS or len(texts) >= 4096:
-            yield from step()
-            keys, texts, size = [], [], 0
-    if keys:
-        yield from step()
+    column = column.cast(pa.string())
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        before = int(sizes[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(sizes, before + STEP_BYTES, "right")))
+        ids, offsets = enc.encode(column.slice(at, stop - at))
+        for i in range(stop - at):
+            yield at + i, ids[offsets[i] : offsets[i + 1]]
+        at = stop

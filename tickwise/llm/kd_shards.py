@@ -86,7 +86,7 @@ def split_points(points: DataFrame, dims: Sequence[str], shards: int) -> DataFra
     """Add ``shard`` to points (digest, part, weight and the coordinates
     ``dims``): the leaves of the k-d tree from left to right."""
     dims = list(dims)
-    nodes = points.withColumn("shard", F.lit(0)).withColumn("_k", F.lit(shards))
+    nodes = materialize(points.withColumn("shard", F.lit(0)).withColumn("_k", F.lit(shards)))
     for _ in range(max(0, math.ceil(math.log2(shards)))):
         extent = [(F.max(d) - F.min(d)).alias(f"_w_{d}") for d in dims]
         wide = nodes.where("_k > 1").groupBy("shard").agg(F.sum("weight").alias("_bytes"), *extent)
@@ -164,7 +164,7 @@ def shard_documents(
     rows = rows.withColumn("part", part).withColumns({d: F.coalesce(f"g{d}", d) for d in dims}).drop("_parts", *[f"g{d}" for d in dims])
     rows = materialize(rows)
 
-    points = materialize(rows.groupBy("digest", "part").agg(F.sum("size").alias("weight"), *at))
+    points = rows.groupBy("digest", "part").agg(F.sum("size").alias("weight"), *at)
     placed = split_points(points, dims, shards).select("digest", "part", "shard")
     found = materialize(rows.select("doc_id", "size", "text_crc32", "uid", "digest", "part").join(placed, ["digest", "part"]))
     return numbered(found, "shard", "uid", "slot").select("doc_id", "size", "text_crc32", "shard", "slot")

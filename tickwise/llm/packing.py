@@ -105,14 +105,14 @@ def pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids_type = batch.schema.field(0).type
-            rows = zip(batch.column(0), (t.as_py() for t in batch.column(1)))
+            docs_ = batch.column(0).to_pylist()
             out: list[tuple] = []
             size = 0
-            for doc, ids in encoded(rows, tokenizer, style):
+            for row, ids in encoded(batch.column(1), tokenizer, style):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for n, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at : at + capacity]
-                    out.append((doc.as_py(), n, at, len(part), zlib.crc32(part.tobytes()), part))
+                    out.append((docs_[row], n, at, len(part), zlib.crc32(part.tobytes()), part))
                 size += len(ids)
                 if size >= 1 << 20:
                     yield _batch(out, ids_type, with_ids)

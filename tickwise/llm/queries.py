@@ -58,7 +58,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return token_files.write_and_read(docs, vocabulary_path("byte_bpe_50k.json"), 50257, style="byte", end_id=0)
+    return token_files.write_and_read(docs, vocabulary_path("byte_bpe_50k.json"), style="byte", end_id=0)
 
 
 def op11_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
