@@ -4,13 +4,19 @@ with one replayed file; the signals equal the batch fold."""
 
 import os
 import tempfile
+import time
 
 from pyspark.sql import functions as F
 
 from tickwise.operators.ledger import trade_ledger
 from tickwise.plans import catalog
+from tickwise.sources.bars import event_ticks, resample_bars
+from tickwise.sources.frames import collapse_updates
 from tickwise.strategies.bandtastic import Bandtastic
 from tickwise.strategies.mtf_macd import MultiTimeFrameMacd
+from tickwise.streaming import bars as sb
+from tickwise.streaming.collapse import stream_collapse
+from tickwise.streaming.replay import read_in_order, run_to_end, start, write_in_order
 from tickwise.streaming.stateful import evaluate_stream, late_of, signals_of, stream_signals, trades_of
 
 SF = "/root/testdata/sf0.001"
@@ -39,9 +45,7 @@ def test_stream_equals_batch_across_restarts(spark):
     for i, part in enumerate(parts):
         part.write.mode("overwrite").parquet(os.path.join(src, f"part{i}"))
         stream = spark.readStream.schema(bars.schema).option("recursiveFileLookup", "true").parquet(src)
-        q = (stream_signals(stream, strat).writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
-        q.awaitTermination()
+        run_to_end(stream_signals(stream, strat), out, ckpt)
     got = sorted((r.symbol, r.ts_ms, r.kind, r.reason) for r in spark.read.parquet(out).collect())
     assert got == expected
     assert len(expected) > 0
@@ -55,9 +59,7 @@ def feed(spark, strat, parts, schema, **options):
     for i, part in enumerate(parts):
         part.coalesce(1).write.parquet(os.path.join(src, f"part{i}"))
         stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(src)
-        q = (evaluate_stream(stream, strat, **options).writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
-        q.awaitTermination()
+        run_to_end(evaluate_stream(stream, strat, **options), out, ckpt)
     return spark.read.parquet(out)
 
 
@@ -90,7 +92,8 @@ def test_late_bars_are_reported(spark):
 def test_restored_position_and_ledger_on_a_stream(spark):
     bars = catalog.bars(spark, SF, 15)
     symbols = [(r.exchange, r.symbol) for r in bars.select("exchange", "symbol").distinct().collect()]
-    given = {s: (1e-3, 0) for s in symbols}  # bought at next to nothing: the first bar reaches the first ROI row
+    # Bought at next to nothing: the first bar reaches the first ROI row.
+    given = spark.createDataFrame([(*s, 1e-3, 0) for s in symbols], "exchange string, symbol string, pos_price double, pos_index bigint")
     got = feed(spark, Bandtastic(catalog.BT_ACTIVE), [bars], bars.schema, initial_state=given)
     first = {r.symbol: r for r in signals_of(got).orderBy("ts_ms").collect()[::-1]}
     assert {s for _, s in symbols} == set(first) and all(r.kind == "Exit" for r in first.values())
@@ -98,3 +101,48 @@ def test_restored_position_and_ledger_on_a_stream(spark):
     want = trade_ledger(Bandtastic(catalog.BT_ACTIVE).signals(bars))
     key = lambda df: sorted(map(str, df.select(sorted(want.columns)).collect()))
     assert key(trades_of(plain)) == key(want)
+
+
+def test_held_bars_come_out_on_a_timer(spark):
+    """The feed falls silent with bars held back: the timer evaluates them."""
+    strat = Bandtastic(catalog.BT_ACTIVE)
+    bars = catalog.bars(spark, SF, 15).filter("symbol = 'CLICK'")
+    want = sorted((r.symbol, r.ts_ms, r.kind, r.reason) for r in strat.signals(bars, chunk_rows=64).collect())
+    root = tempfile.mkdtemp(prefix="tw-stream-test-")
+    src, out, ckpt = (os.path.join(root, d) for d in ("src", "out", "ckpt"))
+    write_in_order(bars, ["close_time_ms"], src, files=2)
+    stream = read_in_order(spark, src, bars.schema)
+    held = 10**12  # more than the whole feed: without the timer nothing would ever be evaluated
+    q = start(stream_signals(stream, strat, hold_ms=held, release_ms=2000), out, ckpt, processingTime="500 milliseconds")
+    try:
+        for _ in range(120):
+            time.sleep(1)
+            if os.path.isdir(out) and spark.read.schema("kind string").parquet(out).count() >= len(want):
+                break
+    finally:
+        q.stop()
+    assert sorted((r.symbol, r.ts_ms, r.kind, r.reason) for r in spark.read.parquet(out).collect()) == want and want
+
+
+def test_collapse_across_restarts(spark):
+    frames = catalog.good_frames(spark, SF)
+    key = lambda df: sorted((r.symbol, r.interval, r.recv_ms, r.frame_no, r.start_ms) for r in df.collect())
+    want = key(collapse_updates(frames))
+    middle = frames.select(F.percentile_approx("recv_ms", [0.3, 0.6])).first()[0]
+    parts = [frames.filter(c) for c in (F.col("recv_ms") <= middle[0], (F.col("recv_ms") > middle[0]) & (F.col("recv_ms") <= middle[1]), F.col("recv_ms") > middle[1])]
+    root = tempfile.mkdtemp(prefix="tw-stream-test-")
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.parquet(os.path.join(root, "src", f"part{i}"))
+        stream = spark.readStream.schema(frames.schema).option("recursiveFileLookup", "true").parquet(os.path.join(root, "src"))
+        run_to_end(stream_collapse(stream), os.path.join(root, "out"), os.path.join(root, "ckpt"))
+    assert key(spark.read.parquet(os.path.join(root, "out"))) == want and want
+
+
+def test_ticks_behind_the_watermark_are_counted_and_repaired(spark):
+    ticks = catalog.events(spark, SF)
+    got = run_to_end(sb.stream_bars(catalog.tick_stream(spark, SF), 15, "1 second"))
+    late = sb.late_ticks(ticks, got, 15)
+    counted, held = late.agg(F.sum("late")).first()[0], got.agg(F.sum("trades_count")).first()[0]
+    assert counted > 0 and counted + held == event_ticks(ticks).count()
+    key = lambda df: sorted((r.symbol, r.open_time_ms, r.open, r.close, r.trades_count, round(r.volume, 6)) for r in df.collect())
+    assert key(sb.corrected_bars(ticks, got, 15, late)) == key(resample_bars(ticks, 15))

@@ -64,13 +64,29 @@ def bar_windows(
     seq_col: str = "seq",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
-    """W1, W2, W3 and the previous close, in one window pass over (key, chunk).
+    """W1, W2, W3 and the previous close, in one window pass over (key, chunk)."""
+    out = bar_windows_of(bars, keys, {"bb": bb_n}, {"mfi": mfi_n}, {"high100": high_n}, seq_col, chunk_rows)
+    return bollinger_bands(out)
+
+
+def bar_windows_of(
+    bars: DataFrame,
+    keys: Sequence[str],
+    bb: dict[str, int],
+    mfi: dict[str, int],
+    high: dict[str, int],
+    seq_col: str = "seq",
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+) -> DataFrame:
+    """Windows of any number of periods in one pass: ``<name>_mid`` and
+    ``<name>_sd`` for each (name, period) in ``bb``, a column for each in
+    ``mfi`` and ``high``, and ``prev_close``.
 
     Stage 1: previous close and typical price, and the maximum over blocks of
     ``b`` rows; stage 2: band mean/deviation, money-flow sums, and the rolling
-    high as the maximum of ``high_n / b`` lagged block maxima (about
-    2*sqrt(n) work per row instead of n)."""
-    b = _block(high_n)
+    high as the maximum of ``n / b`` lagged block maxima (about 2*sqrt(n) work
+    per row instead of n)."""
+    blocks = {name: _block(n) for name, n in high.items()}
     tp = hlc3()
 
     def build(w: WindowSpec) -> list[dict[str, Column]]:
@@ -78,35 +94,35 @@ def bar_windows(
             "_tp": tp,
             "prev_close": F.lag("close", 1).over(w),
             "_prev_tp": F.lag(tp, 1).over(w),
-            "_blockmax": F.max("close").over(frame(w, b)),
+            **{f"_max{b}": F.max("close").over(frame(w, b)) for b in set(blocks.values())},
         }
         pos = F.when(F.col("_tp") > F.col("_prev_tp"), F.col("_tp") * F.col("volume")).otherwise(F.lit(0.0))
         neg = F.when(F.col("_tp") < F.col("_prev_tp"), F.col("_tp") * F.col("volume")).otherwise(F.lit(0.0))
-        sp = F.sum(pos).over(frame(w, mfi_n))
-        sn = F.sum(neg).over(frame(w, mfi_n))
-        lags = [F.col("_blockmax")] + [F.lag("_blockmax", k * b).over(w) for k in range(1, high_n // b)]
-        second = {
-            "bb_mid": F.avg("_tp").over(frame(w, bb_n)),
-            "bb_sd": F.stddev_pop("_tp").over(frame(w, bb_n)),
-            "mfi": F.when(sp + sn == 0, F.lit(50.0)).otherwise(F.lit(100.0) * sp / (sp + sn)),
-            "high100": F.greatest(*lags) if len(lags) > 1 else lags[0],
-        }
+        second: dict[str, Column] = {}
+        for name, n in bb.items():
+            second |= {f"{name}_mid": F.avg("_tp").over(frame(w, n)), f"{name}_sd": F.stddev_pop("_tp").over(frame(w, n))}
+        for name, n in mfi.items():
+            sp, sn = F.sum(pos).over(frame(w, n)), F.sum(neg).over(frame(w, n))
+            second[name] = F.when(sp + sn == 0, F.lit(50.0)).otherwise(F.lit(100.0) * sp / (sp + sn))
+        for name, n in high.items():
+            b = blocks[name]
+            lags = [F.col(f"_max{b}")] + [F.lag(f"_max{b}", k * b).over(w) for k in range(1, n // b)]
+            second[name] = F.greatest(*lags) if len(lags) > 1 else lags[0]
         return [first, second]
 
-    halo = max(bb_n - 1, mfi_n, high_n - 1, 1)
-    out = halo_window(bars, keys, build, halo, seq_col, chunk_rows)
-    return bollinger_bands(out.drop("_tp", "_prev_tp", "_blockmax"))
+    halo = max([1, *[n - 1 for n in bb.values()], *mfi.values(), *[n - 1 for n in high.values()]])
+    return halo_window(bars, keys, build, halo, seq_col, chunk_rows).drop("_tp", "_prev_tp", *{f"_max{b}" for b in blocks.values()})
 
 
 # ---- recurrences -----------------------------------------------------------------------
 
 def rsi_specs(n: int, smoothing: str = "wilder", close: str = "close", prev: str = "prev_close",
-              seq_col: str = "seq") -> list[Affine]:
+              seq_col: str = "seq", name: str = "_rsi") -> list[Affine]:
     alpha = 1.0 / n if smoothing == "wilder" else ema_alpha(n)
     diff = F.col(close) - F.col(prev)
     gain = F.when(F.col(prev).isNull(), F.lit(0.0)).otherwise(F.greatest(diff, F.lit(0.0)))
     loss = F.when(F.col(prev).isNull(), F.lit(0.0)).otherwise(F.greatest(-diff, F.lit(0.0)))
-    return [ema_spec("_rsi_up", gain, alpha, seq_col), ema_spec("_rsi_down", loss, alpha, seq_col)]
+    return [ema_spec(f"{name}_up", gain, alpha, seq_col), ema_spec(f"{name}_down", loss, alpha, seq_col)]
 
 
 def rsi_value(up: str = "_rsi_up", down: str = "_rsi_down") -> Column:
@@ -115,8 +131,11 @@ def rsi_value(up: str = "_rsi_up", down: str = "_rsi_down") -> Column:
 
 
 def macd(df: DataFrame, keys: Sequence[str], fast: int = 12, slow: int = 26, signal: int = 9, x: str = "close",
-         seq_col: str = "seq", chunk_rows: int = DEFAULT_CHUNK_ROWS, prefix: str = "") -> DataFrame:
-    """Macd, signal and histogram columns, all in one scan.
+         seq_col: str = "seq", chunk_rows: int = DEFAULT_CHUNK_ROWS, prefix: str = "", base_col: str | None = None,
+         initial: DataFrame | None = None) -> DataFrame:
+    """Macd, signal and histogram columns, all in one scan; ``_ema_fast``
+    and ``_ema_slow`` are the averages (with the signal line, the ends that
+    ``initial`` goes on from).
 
     The signal line averages the difference of the averages; written with
     their previous values, signal_t = a * signal_{t-1} + k * (b_fast - b_slow)
@@ -126,5 +145,5 @@ def macd(df: DataFrame, keys: Sequence[str], fast: int = 12, slow: int = 26, sig
     line = ema_spec(f"{p}signal", f.b - s.b, ema_alpha(signal), seq_col)
     k = F.when(F.col(seq_col) == 1, F.lit(1.0)).otherwise(F.lit(ema_alpha(signal)))
     line.feeds = {f.name: k * f.a, s.name: -k * s.a}
-    out = affine_scan(df, keys, [f, s, line], seq_col, chunk_rows).withColumn(f"{p}macd", F.col("_ema_fast") - F.col("_ema_slow"))
-    return out.withColumn(f"{p}hist", F.col(f"{p}macd") - F.col(f"{p}signal")).drop("_ema_fast", "_ema_slow")
+    out = affine_scan(df, keys, [f, s, line], seq_col, chunk_rows, base_col, initial).withColumn(f"{p}macd", F.col("_ema_fast") - F.col("_ema_slow"))
+    return out.withColumn(f"{p}hist", F.col(f"{p}macd") - F.col(f"{p}signal"))

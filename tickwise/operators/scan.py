@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize, ship_package
-from .series import DEFAULT_CHUNK_ROWS, chunk_expr
+from .series import DEFAULT_CHUNK_ROWS, same_keys
 
 
 @dataclass
@@ -173,18 +173,23 @@ def affine_scan(
     specs: Sequence[Affine],
     seq_col: str = "seq",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    base_col: str | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Add one column per spec holding the scanned value ``y_t``.
 
-    ``seq_col`` numbers the rows of each key 1, 2, 3, ... without gaps.  The
+    ``seq_col`` numbers the rows of each key 1, 2, 3, ... without gaps; with
+    ``base_col`` they begin after that number, and ``initial`` (keys and one
+    column per spec) has the values there, 0 for a key without a row.  The
     only thing the driver learns is the largest chunk number."""
     keys, names = list(keys), [s.name for s in specs]
     layout = _Layout(names, [(i, names.index(j)) for i, s in enumerate(specs) for j in s.feeds])
     chunk_rows = max(chunk_rows, 2)  # every level is at most half as long as the one below
     ship_package(df.sparkSession)
     coef = [s.a for s in specs] + [s.b for s in specs] + [c for s in specs for c in s.feeds.values()]
+    place = F.col(seq_col) - 1 if base_col is None else F.col(seq_col) - F.col(base_col) - 1
     t = df.select(
-        "*", chunk_expr(seq_col, chunk_rows).alias("_chunk"), ((F.col(seq_col) - 1) % F.lit(chunk_rows)).cast("bigint").alias("_pos"),
+        "*", F.floor(place / F.lit(chunk_rows)).cast("bigint").alias("_chunk"), (place % F.lit(chunk_rows)).cast("bigint").alias("_pos"),
         *[c.cast("double").alias(n) for c, n in zip(coef, layout.coefficients())],
     )
     t = materialize(t)  # read by both passes: computed once
@@ -192,7 +197,9 @@ def affine_scan(
     def clustered(rows: DataFrame) -> DataFrame:
         return rows.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", seq_col)
 
-    carries = [F.lit(0.0).alias(f"_carry_{n}") for n in names]
+    carry = None  # (keys, _chunk, value before the chunk)
+    if initial is not None:
+        carry = initial.select(*keys, F.lit(0).cast("bigint").alias("_chunk"), *[F.col(n).cast("double").alias(f"_carry_{n}") for n in names])
     if t.agg(F.max("_chunk")).first()[0]:
         keep = [*keys, "_chunk"]
         schema = T.StructType([t.schema[c] for c in keep] + [T.StructField(n, T.DoubleType()) for n in layout.maps()])
@@ -202,10 +209,14 @@ def affine_scan(
             Affine(f"_end_{s.name}", F.col(f"_pa_{s.name}"), F.col(f"_ly_{s.name}"), {f"_end_{j}": F.col(f"_pf_{s.name}_{j}") for j in s.feeds})
             for s in specs
         ]
-        ends = affine_scan(maps, keys, level, "_cseq", chunk_rows)
+        first = None if initial is None else initial.select(*keys, *[F.col(n).alias(f"_end_{n}") for n in names])
+        ends = affine_scan(maps, keys, level, "_cseq", chunk_rows, initial=first)
         # The end of a chunk is the carry into the next one.
         ends = ends.select(*keys, F.col("_cseq").alias("_chunk"), *[F.col(f"_end_{n}").alias(f"_carry_{n}") for n in names])
-        t = t.join(ends, [*keys, "_chunk"], "left")
+        carry = ends if carry is None else ends.unionByName(carry)
+    carries = [F.lit(0.0).alias(f"_carry_{n}") for n in names]
+    if carry is not None:
+        t = same_keys(t, carry, [*keys, "_chunk"], "left")
         carries = [F.coalesce(f"_carry_{n}", F.lit(0.0)).alias(f"_carry_{n}") for n in names]
     keep = df.columns
     schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])

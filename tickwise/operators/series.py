@@ -20,14 +20,19 @@ instead:
   dropped.  Exact for any frame of width <= halo + 1.
 * ``prefix_sum`` and ``forward_fill`` are running aggregates over the whole
   series: a chunk-local window plus a carry from the small per-chunk table.
+
+A null in a key is a value like any other: its rows are one series.  Series can
+go on from where an earlier table ended (``start``, ``initial``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -38,28 +43,51 @@ from ..session import materialize
 DEFAULT_CHUNK_ROWS = 1024
 
 
+#: One column for a row's keys: a struct, which is equal to another when its nulls are, too.
+_KEY = "_key"
+
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn(_KEY, F.struct(*keys))
+
+
+def same_keys(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left.join(right, on, how)`` in which nulls equal each other."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}" if c in on else c) for c in right.columns])
+    equal = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return left.join(renamed, equal, how).drop(*[f"_r_{c}" for c in on])
+
+
 def sequence(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
     bucket: Column,
     seq_col: str = "seq",
+    start: DataFrame | None = None,
+    base_col: str | None = None,
 ) -> DataFrame:
     """Add a 1-based row number per key in ``order``.
 
     ``bucket`` must be non-decreasing along ``order`` within a key (e.g. a
-    coarse time slot) and bound the rows per (key, bucket).
+    coarse slot of the first order column) and bound the rows per (key,
+    bucket).  ``start`` (keys and ``seq_col``: the last number given out by an
+    earlier table) goes on from there; ``base_col`` adds that number, or 0, to
+    the rows.
     """
-    keys = list(keys)
-    b = df.withColumn("_bkt", bucket)
-    local = b.withColumn("_loc", F.row_number().over(Window.partitionBy(*keys, "_bkt").orderBy(*order)))
-    counts = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = carried(counts, keys, "_bkt", {"_off": ("sum", "_cnt")})
-    return (
-        local.join(offsets, [*keys, "_bkt"])
-        .withColumn(seq_col, (F.col("_off") + F.col("_loc")).cast("bigint"))
-        .drop("_bkt", "_loc", "_off")
-    )
+    b = _keyed(df, keys).withColumn("_bkt", bucket)
+    local = b.withColumn("_loc", F.row_number().over(Window.partitionBy(_KEY, "_bkt").orderBy(*order)))
+    counts = b.groupBy(_KEY, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = carried(counts, [_KEY], "_bkt", {"_off": ("sum", "_cnt")})
+    if start is None:
+        offsets = offsets.withColumn("_base", F.lit(0).cast("bigint"))
+    else:
+        begun = _keyed(start, keys).select(_KEY, F.col(seq_col).alias("_base"))
+        offsets = offsets.join(begun, _KEY, "left").withColumn("_base", F.coalesce("_base", F.lit(0).cast("bigint")))
+    out = local.join(offsets, [_KEY, "_bkt"]).withColumn(seq_col, (F.col("_base") + F.col("_off") + F.col("_loc")).cast("bigint"))
+    if base_col is not None:
+        out = out.withColumn(base_col, F.col("_base"))
+    return out.drop(_KEY, "_bkt", "_loc", "_off", *(["_base"] if base_col != "_base" else []))
 
 
 #: Positions per group of the first carry level.
@@ -95,7 +123,7 @@ def carried(table: DataFrame, keys: Sequence[str], position: str, values: dict[s
         inside, outside = F.col(f"_in_{n}"), F.col(f"_out_{n}")
         return F.coalesce(inside, outside) if how == "last" else F.coalesce(inside, F.lit(0)) + F.coalesce(outside, F.lit(0))
 
-    return local.join(groups, [*keys, "_group"]).select(*keys, position, *[both(n, how).alias(n) for n, (how, _) in values.items()])
+    return same_keys(local, groups, [*keys, "_group"]).select(*keys, position, *[both(n, how).alias(n) for n, (how, _) in values.items()])
 
 
 def sequence_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], seq_col: str = "seq") -> DataFrame:
@@ -113,15 +141,17 @@ def sequence_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], seq_
         for batch in batches:
             if not batch.num_rows:
                 continue
-            place = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+            place = [batch.column(batch.schema.get_field_index(k)) for k in keys]
             change = np.zeros(batch.num_rows, bool)
             for c in place:
-                change[1:] |= c[1:] != c[:-1]
-            change[0] = held is None or held != tuple(c[0] for c in place)
+                null = c.is_null().to_numpy(zero_copy_only=False)
+                differ = pc.fill_null(pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)), False).to_numpy(zero_copy_only=False)
+                change[1:] |= np.where(null[1:] | null[:-1], null[1:] != null[:-1], differ)
+            change[0] = held is None or held != tuple(c[0].as_py() for c in place)
             at = np.arange(batch.num_rows)
             begin = np.maximum.accumulate(np.where(change, at, -1))
             local = np.where(begin < 0, at + count, at - begin) + 1
-            held, count = tuple(c[-1] for c in place), int(local[-1])
+            held, count = tuple(c[-1].as_py() for c in place), int(local[-1])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.full(batch.num_rows, part)), pa.array(local)], [*batch.schema.names, "_part", "_loc"]
             )
@@ -129,9 +159,10 @@ def sequence_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], seq_
     schema = T.StructType([*df.schema.fields, T.StructField("_part", T.LongType()), T.StructField("_loc", T.LongType())])
     dealt = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
     local = materialize(dealt.mapInArrow(number, schema))
-    counts = local.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = carried(counts, keys, "_part", {"_off": ("sum", "_cnt")})
-    return local.join(offsets, [*keys, "_part"]).withColumn(seq_col, (F.col("_off") + F.col("_loc")).cast("bigint")).drop("_part", "_loc", "_off")
+    local = _keyed(local, keys)
+    counts = local.groupBy(_KEY, "_part").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = carried(counts, [_KEY], "_part", {"_off": ("sum", "_cnt")})
+    return local.join(offsets, [_KEY, "_part"]).withColumn(seq_col, (F.col("_off") + F.col("_loc")).cast("bigint")).drop(_KEY, "_part", "_loc", "_off")
 
 
 def chunk_expr(seq_col: str, chunk_rows: int) -> Column:
@@ -183,21 +214,27 @@ def prefix_sum(
     values: dict[str, Column],
     seq_col: str = "seq",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Running (inclusive) sums of ``values`` over the whole series of each key."""
-    keys = list(keys)
+    """Running (inclusive) sums of ``values`` over the whole series of each key.
+
+    ``initial`` (keys and one column per value): sums reached by an earlier table."""
     names = list(values)
-    t = df.withColumn("_chunk", chunk_expr(seq_col, chunk_rows))
+    t = _keyed(df, keys).withColumn("_chunk", chunk_expr(seq_col, chunk_rows))
     for n, v in values.items():
         t = t.withColumn(f"_v_{n}", v)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(_KEY, "_chunk").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
     local = t.select("*", *[F.sum(f"_v_{n}").over(w).alias(f"_l_{n}") for n in names])
-    totals = t.groupBy(*keys, "_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
-    carry = carried(totals, keys, "_chunk", {f"_c_{n}": ("sum", f"_t_{n}") for n in names})
-    out = local.join(carry, [*keys, "_chunk"])
+    totals = t.groupBy(_KEY, "_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
+    carry = carried(totals, [_KEY], "_chunk", {f"_c_{n}": ("sum", f"_t_{n}") for n in names})
+    if initial is not None:
+        before = _keyed(initial, keys).select(_KEY, *[F.col(n).alias(f"_i_{n}") for n in names])
+        carry = carry.join(before, _KEY, "left").select(
+            _KEY, "_chunk", *[(F.col(f"_c_{n}") + F.coalesce(f"_i_{n}", F.lit(0))).alias(f"_c_{n}") for n in names])
+    out = local.join(carry, [_KEY, "_chunk"])
     for n in names:
         out = out.withColumn(n, F.col(f"_l_{n}") + F.col(f"_c_{n}"))
-    return out.drop("_chunk", *[f"_{p}_{n}" for p in "vlc" for n in names])
+    return out.drop(_KEY, "_chunk", *[f"_{p}_{n}" for p in "vlc" for n in names])
 
 
 def forward_fill(
@@ -208,20 +245,25 @@ def forward_fill(
     seq_col: str = "seq",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     suffix: str = "_asof",
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """For each row, the values of ``cols`` on the latest row at or before it
-    where ``present`` holds (as-of carry over the whole series)."""
-    keys = list(keys)
+    where ``present`` holds (as-of carry over the whole series).
+
+    ``initial`` (keys and ``cols``): values carried by an earlier table."""
     cols = list(cols)
-    t = df.withColumn("_chunk", chunk_expr(seq_col, chunk_rows)).withColumn("_has", present)
+    t = _keyed(df, keys).withColumn("_chunk", chunk_expr(seq_col, chunk_rows)).withColumn("_has", present)
     packed = F.when(F.col("_has"), F.struct(*[F.col(c).alias(c) for c in cols]))
     t = t.withColumn("_pk", packed)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(_KEY, "_chunk").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
     local = t.withColumn("_loc", F.last("_pk", ignorenulls=True).over(w))
     there = F.when(F.col("_has"), F.col(seq_col))
-    table = t.groupBy(*keys, "_chunk").agg(F.max_by("_pk", there).alias("_lastpk"))
-    carry = carried(table, keys, "_chunk", {"_carry": ("last", "_lastpk")})
-    out = local.join(carry, [*keys, "_chunk"]).withColumn("_val", F.coalesce("_loc", "_carry"))
+    table = t.groupBy(_KEY, "_chunk").agg(F.max_by("_pk", there).alias("_lastpk"))
+    carry = carried(table, [_KEY], "_chunk", {"_carry": ("last", "_lastpk")})
+    if initial is not None:
+        before = _keyed(initial, keys).select(_KEY, F.struct(*[F.col(c).alias(c) for c in cols]).alias("_before"))
+        carry = carry.join(before, _KEY, "left").select(_KEY, "_chunk", F.coalesce("_carry", "_before").alias("_carry"))
+    out = local.join(carry, [_KEY, "_chunk"]).withColumn("_val", F.coalesce("_loc", "_carry"))
     for c in cols:
         out = out.withColumn(c + suffix, F.col("_val")[c])
-    return out.drop("_chunk", "_has", "_pk", "_loc", "_carry", "_val")
+    return out.drop(_KEY, "_chunk", "_has", "_pk", "_loc", "_carry", "_val")

@@ -606,31 +606,115 @@ def q_strategy_plugin(spark, sf):
     return strat.signals(bars(spark, sf, 15), CHUNK).select(*SIG_COLS)
 
 
+# ---- many settings in one job (U2) -----------------------------------------------------------------
+
+from ..strategies.sweep import sweep  # noqa: E402
+
+#: Five sets of periods with ten sets of rules each.
+SWEEP_PERIODS = [
+    {}, {"buy_fast_ema_period": 12, "buy_slow_ema_period": 26}, {"bb_period": 30, "mfi_period": 10},
+    {"rsi_period": 7, "sell_fast_ema_period": 9, "sell_slow_ema_period": 8}, {"high_period": 50, "rsi_smoothing": "ema"},
+]
+SWEEP_RULES = [
+    ACTIVE_BANDTASTIC, GATED_BANDTASTIC, EXITS_BANDTASTIC, {}, {"buy_rsi_enabled": False, "buy_mfi_threshold": 70.0},
+    {"buy_rsi_threshold": 65.0, "buy_mfi_enabled": False, "buy_trigger": "bb_lower2"}, {**ACTIVE_BANDTASTIC, "trailing_stop": False},
+    {**ACTIVE_BANDTASTIC, "buy_ema_enabled": False, "stoploss": -0.1}, {**ACTIVE_BANDTASTIC, "sell_trigger": "sell-bb_upper1", "sell_rsi_enabled": True},
+    {**GATED_BANDTASTIC, "trailing_only_offset_is_reached": True, "min_roi": [[0, 1.5], [120, 0.5], [600, 0.0]]},
+]
+SWEEP = {f"s{i}{j}": {**periods, **rules} for i, periods in enumerate(SWEEP_PERIODS) for j, rules in enumerate(SWEEP_RULES)}
+
+
+def _sweep_sql() -> str:
+    # One oracle per setting, as one run per setting would give.
+    one = lambda name, s: f"SELECT '{name}' AS setting, * FROM ({with_(oq.bandtastic_signal_ctes(BandtasticParams.from_json(s)), SIG_SELECT)}) q_{name}"
+    return "\nUNION ALL ".join(one(name, s) for name, s in SWEEP.items())
+
+
+@query("strategy_sweep", _sweep_sql())
+def q_strategy_sweep(spark, sf):
+    settings = spark.createDataFrame([(n, json.dumps(s)) for n, s in SWEEP.items()], "setting string, params string")
+    return sweep(bars(spark, sf, 15), settings, CHUNK).select("setting", *SIG_COLS)
+
+
+# ---- resumed series (D4) -------------------------------------------------------------------------
+
+
+def resumed(spark, sf, strategy, widths) -> DataFrame:
+    """The signals of three runs, each of which reads its own third of the bars and the snapshot of the one before."""
+    b = bars(spark, sf, widths)
+    first, second = b.select(F.percentile_approx("close_time_ms", [0.3, 0.6])).first()[0]
+    at, out, snapshot = F.col("close_time_ms"), None, None
+    for part in (at <= first, (at > first) & (at <= second), at > second):
+        found, snapshot = strategy.resume(b.filter(part), snapshot, CHUNK)
+        out = found if out is None else out.unionByName(found)
+    return out.select(*SIG_COLS)
+
+
+@query("signals_resumed", with_(oq.bandtastic_signal_ctes(BT_GATED), SIG_SELECT))
+def q_signals_resumed(spark, sf):
+    return resumed(spark, sf, Bandtastic(BT_GATED), 15)
+
+
+@query("macd_signals_resumed", with_(oq.macd_signal_ctes(MP), SIG_SELECT))
+def q_macd_signals_resumed(spark, sf):
+    return resumed(spark, sf, MultiTimeFrameMacd(MP), [60, 240])
+
+
 # ---- streaming (T5) ------------------------------------------------------------------------------
 
+from ..session import materialize  # noqa: E402
+from ..streaming import bars as sb  # noqa: E402
+from ..streaming.collapse import stream_collapse  # noqa: E402
+from ..streaming.replay import read_in_order, run_to_end, write_in_order  # noqa: E402
 from ..streaming.stateful import evaluate_stream, signals_of, trades_of  # noqa: E402
 
-#: Bars in a time slice of the replayed stream, about; one slice is one micro-batch.
-SLICE_ROWS = 100_000
-
-
-def run_stream(spark, bars_df: DataFrame, strategy, shape) -> DataFrame:
-    """Replay bars as a file stream, one time slice per micro-batch, through the
-    keyed-state operator; ``shape`` of its rows lands in a parquet file sink
-    (shared folder) and is read back."""
-    src = ar.scratch_path(spark, "stream-src")
-    slices = max(2, -(-bars_df.count() // SLICE_ROWS))
-    edges = bars_df.select(F.percentile_approx("close_time_ms", [i / slices for i in range(1, slices)])).first()[0] or []
-    for lo, hi in zip([None, *edges], [*edges, None]):  # files in time order: the source reads the oldest first
-        part = bars_df if lo is None else bars_df.filter(F.col("close_time_ms") > lo)
-        part = part if hi is None else part.filter(F.col("close_time_ms") <= hi)
-        part.coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(bars_df.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out, ckpt = ar.scratch_path(spark, "stream-out"), ar.scratch_path(spark, "stream-ckpt")
-    rows = shape(evaluate_stream(stream, strategy))
-    q = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt).trigger(availableNow=True).start(out)
-    q.awaitTermination()
-    return spark.read.schema(rows.schema).parquet(out)
+
+def run_stream(spark, bars_df: DataFrame, strategy, shape, initial_state: DataFrame | None = None) -> DataFrame:
+    """Replay bars as a file stream, one file per micro-batch in time order,
+    through the keyed-state operator; ``shape`` of its rows lands in a parquet
+    file sink (shared folder) and is read back."""
+    src = write_in_order(materialize(bars_df), ["close_time_ms"])
+    stream = read_in_order(spark, src, bars_df.schema)
+    return run_to_end(shape(evaluate_stream(stream, strategy, initial_state=initial_state)))
+
+
+# Fixed values of the tick replay: arrival lags the event by up to LAG_MS; a
+# watermark of DELAY covers that, one of SHORT_DELAY does not.
+LAG_MS, DELAY, SHORT_DELAY = 20 * 60000, "20 minutes", "1 minute"
+
+
+def tick_stream(spark, sf) -> DataFrame:
+    """The events as a feed that is out of order, closed by a heartbeat (a row without a price) a day after the last event."""
+    lag = F.pmod(F.xxhash64("event_id"), F.lit(LAG_MS))
+    e = events(spark, sf).withColumn("_arrival", tm.epoch_ms("ts") + lag)
+    last = events(spark, sf).agg(F.max("ts").alias("last")).select((F.col("last") + F.expr("INTERVAL 1 DAY")).alias("ts"))
+    beat = last.withColumn("_arrival", tm.epoch_ms("ts"))
+    fed = e.unionByName(beat, allowMissingColumns=True)
+    return read_in_order(spark, write_in_order(materialize(fed), ["_arrival"]), fed.schema)
+
+
+_STREAM_BAR_SQL = f"SELECT exchange, symbol, open_time_ms, close_time_ms, open_time_h, interval, open, high, low, close, round(volume, {ROUND}) AS volume, trades_count FROM ({BAR_SQL15})"
+
+
+@query("stream_bars", _STREAM_BAR_SQL)
+def q_stream_bars(spark, sf):
+    """X1 on a stream: event-time windows over ticks that come out of order."""
+    return run_to_end(sb.stream_bars(tick_stream(spark, sf), 15, DELAY)).withColumn("volume", rnd("volume"))
+
+
+@query("stream_bars_late", _STREAM_BAR_SQL)
+def q_stream_bars_late(spark, sf):
+    """The same feed under a watermark too short for it: bars that miss late ticks are built again."""
+    got = run_to_end(sb.stream_bars(tick_stream(spark, sf), 15, SHORT_DELAY))
+    return sb.corrected_bars(events(spark, sf), got, 15).withColumn("volume", rnd("volume"))
+
+
+@query("stream_collapse", REGISTRY["collapse_updates"].sql)
+def q_stream_collapse(spark, sf):
+    """F5 on a stream of decoded frames."""
+    frames = materialize(good_frames(spark, sf))
+    stream = read_in_order(spark, write_in_order(frames, ["recv_ms", "frame_no"]), frames.schema)
+    return run_to_end(stream_collapse(stream)).select("recv_ms", "frame_no", "symbol", "interval", "start_ms", "closed")
 
 
 @query("stream_signals", with_(oq.bandtastic_signal_ctes(BT_ACTIVE), SIG_SELECT))

@@ -28,34 +28,39 @@ EVENTS_EXCHANGE = "synthetic"
 LINEITEM_EXCHANGE = "tpch"
 
 
-def _ohlcv(ticks: DataFrame, width_ms: int, order_cols: list[str]) -> DataFrame:
-    """ticks: (exchange, symbol, ms, price, qty, *order_cols) -> bars of ``width_ms``."""
+def slot_of(ms: str, minutes: int) -> Column:
+    """Start of the bar that a time falls in."""
+    return F.col(ms) - F.pmod(F.col(ms), F.lit(minutes * 60000))
+
+
+def bar_aggregates(order_cols: list[str]) -> list[Column]:
+    """open, high, low, close, volume and trades_count of a slot's ticks (ms, price, qty, *order_cols)."""
     order = F.struct(*[F.col(c) for c in ["ms", *order_cols]])
-    slot = F.col("ms") - F.pmod(F.col("ms"), F.lit(width_ms))
-    bars = (
-        ticks.withColumn("open_time_ms", slot)
-        .groupBy("exchange", "symbol", "open_time_ms")
-        .agg(
-            F.min_by("price", order).alias("open"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.max_by("price", order).alias("close"),
-            F.sum("qty").alias("volume"),
-            F.count(F.lit(1)).alias("trades_count"),
-        )
-    )
-    minutes = width_ms // 60000
-    return bars.select(
+    return [
+        F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
+        F.max_by("price", order).alias("close"), F.sum("qty").alias("volume"), F.count(F.lit(1)).alias("trades_count"),
+    ]
+
+
+def bars_of_slots(slots: DataFrame, minutes: int) -> DataFrame:
+    """Aggregated slots (exchange, symbol, open_time_ms, ...) as bars."""
+    return slots.select(
         "exchange",
         "symbol",
         "open_time_ms",
-        (F.col("open_time_ms") + F.lit(width_ms - 1)).alias("close_time_ms"),
+        (F.col("open_time_ms") + F.lit(minutes * 60000 - 1)).alias("close_time_ms"),
         label_utc8("open_time_ms").alias("open_time_h"),
         interval_name(F.lit(minutes)).alias("interval"),
         "open", "high", "low", "close", "volume", "trades_count",
     )
 
 
+def _ohlcv(ticks: DataFrame, minutes: int, order_cols: list[str]) -> DataFrame:
+    """ticks: (exchange, symbol, ms, price, qty, *order_cols) -> bars."""
+    slots = ticks.withColumn("open_time_ms", slot_of("ms", minutes)).groupBy("exchange", "symbol", "open_time_ms")
+    return bars_of_slots(slots.agg(*bar_aggregates(order_cols)), minutes)
+
+
 def _fault(columns: dict[str, Column]) -> Column:
     """The first reason why a row is no tick, or null."""
     out = None
@@ -80,9 +85,10 @@ def tick_rejects(rows: DataFrame, fault: Column) -> DataFrame:
     return rows.withColumn("reject_reason", fault).filter(F.col("reject_reason").isNotNull())
 
 
-def event_ticks(events: DataFrame) -> DataFrame:
+def event_ticks(events: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """events -> ticks: symbol = upper(event_type), price = value, quantity =
-    value.  Rows without a time, price or type are in ``tick_rejects``."""
+    value, and the columns in ``keep``.  Rows without a time, price or type are
+    in ``tick_rejects``."""
     return events.filter(event_fault().isNull()).select(
         F.lit(EVENTS_EXCHANGE).alias("exchange"),
         F.upper("event_type").alias("symbol"),
@@ -90,6 +96,7 @@ def event_ticks(events: DataFrame) -> DataFrame:
         F.col("value").alias("price"),
         F.col("value").alias("qty"),
         "event_id",
+        *keep,
     )
 
 
@@ -99,7 +106,7 @@ def resample_bars(events: DataFrame, minutes: int | Iterable[int]) -> DataFrame:
     ticks = event_ticks(events)
     out = None
     for m in widths:
-        b = _ohlcv(ticks, m * 60000, ["event_id"])
+        b = _ohlcv(ticks, m, ["event_id"])
         out = b if out is None else out.unionByName(b)
     return out
 
@@ -115,7 +122,7 @@ def lineitem_daily_bars(lineitem: DataFrame) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
     )
-    return _ohlcv(ticks, 1440 * 60000, ["l_orderkey", "l_linenumber"])
+    return _ohlcv(ticks, 1440, ["l_orderkey", "l_linenumber"])
 
 
 # ---- oracle SQL fragments (DuckDB) -------------------------------------------------

@@ -19,11 +19,14 @@ import json
 from typing import Any, ClassVar
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.fold import Bars, Exit, run_fold
+from ..operators import snapshot as snap
+from ..operators.fold import Bars, Exit, fold_series
 from ..operators.series import DEFAULT_CHUNK_ROWS
+from ..session import materialize
 
 KEYS = ["exchange", "symbol"]
 
@@ -70,9 +73,19 @@ class Strategy:
         self.params = params
 
     # -- Spark half ------------------------------------------------------------------
-    def features(self, bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    def features(self, bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS, snapshot: DataFrame | None = None) -> DataFrame:
+        """One row per accepted bar; ``snapshot`` (``operators.snapshot``) is
+        where the series go on from.  ``_base`` is the number of the key's
+        last row in it."""
         raise NotImplementedError
 
+    #: Name of the snapshot row that has the position.
+    main_series: ClassVar[str] = "main"
+
+    def series_ends(self, features: DataFrame, chunk_rows: int) -> DataFrame:
+        """Snapshot rows of the features' series, without the position."""
+        raise NotImplementedError(f"{self.name} can't be resumed")
+
     # -- stream half ---------------------------------------------------------------------
     def accepted(self, bars: DataFrame) -> DataFrame:
         """the bars that reach the strategy, with ``interval_c`` (canonical
@@ -80,9 +93,10 @@ class Strategy:
         raise NotImplementedError
 
     def online(self):
-        """The strategy's features one bar at a time: an object with ``new()``,
-        the JSON-able state before any bar, and ``row(state, bar)``, which
-        advances the state and returns the values of ``row_columns``."""
+        """The strategy's features one bar at a time (``streaming.online.TypedState``):
+        an object with the state's ``schema``, ``new()``, the state before any
+        bar, and ``row(state, bar)``, which advances the state and returns the
+        values of ``row_columns``."""
         raise NotImplementedError(f"{self.name} has no online features")
 
     # -- rules half (see operators.fold.FoldSpec) ---------------------------------------
@@ -104,8 +118,14 @@ class Strategy:
     def restored(self, state: tuple) -> tuple:
         return state
 
-    def bounds(self) -> dict[str, Column]:
-        return {}
+    #: Names of what ``bounds`` returns.
+    bound_names: ClassVar[list[str]] = []
+
+    def bars_of(self, rows: Bars) -> Bars:
+        return rows
+
+    def bounds(self, bars: Bars) -> list[float]:
+        return []
 
     def passes(self, state: tuple, bounds: dict[str, Any]) -> tuple | None:
         """Without bounds nothing is known of a chunk: it is always evaluated."""
@@ -114,4 +134,22 @@ class Strategy:
     # -- both ------------------------------------------------------------------------
     def signals(self, bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS, initial_state: DataFrame | None = None) -> DataFrame:
         feats = self.features(bars, chunk_rows)
-        return run_fold(feats, KEYS, self, chunk_rows=chunk_rows, initial_state=initial_state)
+        return fold_series(feats, KEYS, self, chunk_rows=chunk_rows, initial_state=initial_state)[0]
+
+    def resume(self, bars: DataFrame, snapshot: DataFrame | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
+        """(signals of ``bars``, the next snapshot), from the end of earlier bars.
+
+        Only ``bars`` are read, which must come after the snapshot's
+        (``snapshot.late_bars`` finds others).  Keys without new bars keep
+        their place; None starts from nothing."""
+        feats = materialize(self.features(bars, chunk_rows, snapshot))
+        own = snap.series_of(snapshot, self.main_series)
+        position = snap.values_of(own, KEYS, {n: t.simpleString() for n, t in self.state_fields})
+        if position is not None:
+            position = position.select(*KEYS, *[F.col(n).cast(t).alias(n) for n, t in self.state_fields])
+        signals, ends = fold_series(feats, KEYS, self, chunk_rows=chunk_rows, initial_state=position, base_col="_base")
+        after = self.series_ends(feats, chunk_rows)
+        names = [n for n, _ in self.state_fields]
+        main = F.col("series") == self.main_series
+        after = snap.with_values(after.filter(main), ends, names).unionByName(after.filter(~main))
+        return signals, materialize(snap.followed_by(snapshot, after))

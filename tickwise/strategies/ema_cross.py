@@ -15,8 +15,10 @@ from pyspark.sql import types as T
 from ..functions.intervals import canonical_interval
 from ..operators.fold import Exit
 from ..operators.indicators import ema_alpha, ema_spec
+from ..operators import snapshot as snap
 from ..operators.scan import affine_scan
 from ..operators.series import DEFAULT_CHUNK_ROWS, sequence
+from ..streaming.online import TypedState
 from .base import KEYS, LONG, STOP_PROFIT, Params, Strategy, register
 
 
@@ -42,13 +44,19 @@ class EmaCross(Strategy):
     def online(self):
         return OnlineEmaCross(self.params)
 
-    def features(self, bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    def features(self, bars: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS, snapshot: DataFrame | None = None) -> DataFrame:
         p = self.params
-        b = sequence(self.accepted(bars), KEYS, ["close_time_ms", "open_time_ms"], F.floor(F.col("open_time_ms") / F.lit(p.bar_minutes * 60000 * chunk_rows)))
-        b = affine_scan(b, KEYS, [ema_spec("fast_ema", F.col("close"), ema_alpha(p.fast)),
-                                  ema_spec("slow_ema", F.col("close"), ema_alpha(p.slow))], chunk_rows=chunk_rows)
+        own = snap.series_of(snapshot, self.main_series)
+        slot = F.floor(F.col("close_time_ms") / F.lit(p.bar_minutes * 60000 * chunk_rows))
+        b = sequence(self.accepted(bars), KEYS, ["close_time_ms", "open_time_ms"], slot, start=own, base_col="_base")
+        specs = [ema_spec("fast_ema", F.col("close"), ema_alpha(p.fast)), ema_spec("slow_ema", F.col("close"), ema_alpha(p.slow))]
+        ends = snap.values_of(own, KEYS, {"fast_ema": "double", "slow_ema": "double"})
+        b = affine_scan(b, KEYS, specs, chunk_rows=chunk_rows, base_col="_base", initial=ends)
         return b.withColumn("ts_ms", F.col("close_time_ms"))
 
+    def series_ends(self, features: DataFrame, chunk_rows: int) -> DataFrame:
+        return snap.taken(features, F.lit(self.main_series), {n: F.col(n) for n in ("fast_ema", "slow_ema")})
+
     def entries(self, bars):
         return [(LONG, bars["fast_ema"] > bars["slow_ema"])]
 
@@ -58,16 +66,20 @@ class EmaCross(Strategy):
     def exits(self, state, bars):
         return [Exit(STOP_PROFIT, bars["fast_ema"] < bars["slow_ema"])]
 
-    def bounds(self):
-        return {"crossed": F.max(F.col("fast_ema") < F.col("slow_ema"))}
+    bound_names = ["crossed"]
+
+    def bounds(self, bars):
+        return [(bars["fast_ema"] < bars["slow_ema"]).any()]
 
     def passes(self, state, bounds):
         return None if bounds["crossed"] else state
 
 
-class OnlineEmaCross:
+class OnlineEmaCross(TypedState):
     """Both averages, one bar at a time."""
 
+    schema = "ema array<double>"
+
     def __init__(self, params: EmaCrossParams):
         self.rates = (ema_alpha(params.fast), ema_alpha(params.slow))
 

@@ -1,32 +1,52 @@
 """Features one bar at a time, for the streaming evaluation (T5).
 
-Each class keeps a small JSON-able state -- running averages and the last few
-values of the windowed indicators -- and returns, per bar, the values that the
-strategy's rules read.
+Each class keeps a small state -- running averages and the last few values of
+the windowed indicators -- and returns, per bar, the values that the strategy's
+rules read.  ``schema`` is the state's type in the state store.
 """
 
 from __future__ import annotations
 
 import math
 
-from ..operators.indicators import ema_alpha
-from ..strategies.bandtastic import BUY_TRIGGERS, SELL_TRIGGERS
-from ..strategies.mtf_macd import SHORT_INTERVAL
+from ..operators.indicators import BB_MULTIPLIERS, ema_alpha
+from ..strategies.bandtastic import buy_rule, sell_rule
+from ..strategies.mtf_macd import ALIGNED, SHORT_INTERVAL, conditions
 
 
 def _ema(prev, x, alpha, first):
     return x if first else (1.0 - alpha) * prev + alpha * x
 
 
-class OnlineBandtastic:
+class TypedState:
+    """A dict of state fields as a row of ``schema``, and back."""
+
+    schema = ""
+
+    def new(self) -> dict:
+        raise NotImplementedError
+
+    def pack(self, st: dict) -> tuple:
+        return tuple(st.values())
+
+    def unpack(self, row: tuple) -> dict:
+        return dict(zip(self.new(), row))
+
+
+class OnlineBandtastic(TypedState):
     """Online features of the Bollinger-band strategy."""
 
+    schema = (
+        "n bigint, prev_close double, ema array<double>, up double, dn double, tp array<double>, "
+        "last_tp double, pos array<double>, neg array<double>, closes array<double>"
+    )
+
     def __init__(self, params):
         self.p = params
 
     def new(self) -> dict:
         return {"n": 0, "prev_close": None, "ema": [0.0, 0.0, 0.0, 0.0], "up": 0.0, "dn": 0.0,
-                "tp": [], "flow": [], "closes": []}
+                "tp": [], "last_tp": None, "pos": [], "neg": [], "closes": []}
 
     def row(self, st: dict, bar) -> tuple:
         p = self.p
@@ -35,17 +55,15 @@ class OnlineBandtastic:
         close, high, low, volume = bar.close, bar.high, bar.low, bar.volume
         tp = (high + low + close) / 3.0
         # Bollinger over the last bb_period typical prices (population deviation).
-        st["tp"] = (st["tp"] + [tp])[-p.bb_period:]
+        st["tp"] = [*st["tp"], tp][-p.bb_period:]
         mean = sum(st["tp"]) / len(st["tp"])
         sd = math.sqrt(max(sum((x - mean) ** 2 for x in st["tp"]) / len(st["tp"]), 0.0))
         # Money flow over the last mfi_period flows.
-        flow = st["flow"]
-        prev_tp = flow[-1][0] if flow else None
-        pos = tp * volume if prev_tp is not None and tp > prev_tp else 0.0
-        neg = tp * volume if prev_tp is not None and tp < prev_tp else 0.0
-        st["flow"] = (flow + [[tp, pos, neg]])[-p.mfi_period:]
-        sp = sum(f[1] for f in st["flow"])
-        sn = sum(f[2] for f in st["flow"])
+        before = st["last_tp"]
+        st["pos"] = [*st["pos"], tp * volume if before is not None and tp > before else 0.0][-p.mfi_period:]
+        st["neg"] = [*st["neg"], tp * volume if before is not None and tp < before else 0.0][-p.mfi_period:]
+        st["last_tp"] = tp
+        sp, sn = sum(st["pos"]), sum(st["neg"])
         mfi = 50.0 if sp + sn == 0 else 100.0 * sp / (sp + sn)
         # EMAs and RSI.
         periods = [p.buy_fast_ema_period, p.buy_slow_ema_period, p.sell_fast_ema_period, p.sell_slow_ema_period]
@@ -58,21 +76,18 @@ class OnlineBandtastic:
         st["dn"] = _ema(st["dn"], loss, a, first)
         rsi = 50.0 if st["up"] + st["dn"] == 0 else 100.0 * st["up"] / (st["up"] + st["dn"])
         st["prev_close"] = close
-        st["closes"] = (st["closes"] + [close])[-p.high_period:]
+        st["closes"] = [*st["closes"], close][-p.high_period:]
         high100 = max(st["closes"])
-        bfe, bse, sfe, sse = st["ema"]
-        lower = {k: mean - float(k) * sd for k in (1, 2, 3, 4)}
-        upper = {k: mean + float(k) * sd for k in (1, 2, 3, 4)}
-        bk, sk = BUY_TRIGGERS.get(p.buy_trigger), SELL_TRIGGERS.get(p.sell_trigger)
-        buy = ((not p.buy_rsi_enabled or rsi < p.buy_rsi_threshold) and (not p.buy_mfi_enabled or mfi < p.buy_mfi_threshold)
-               and (not p.buy_ema_enabled or bfe > bse) and (close < lower[bk] if bk else False) and volume > 0.0)
-        sell = ((not p.sell_rsi_enabled or rsi > p.sell_rsi_threshold) and (not p.sell_mfi_enabled or mfi > p.sell_mfi_threshold)
-                and (not p.sell_ema_enabled or sfe < sse) and (close > upper[sk] if sk else False) and volume > 0.0)
-        return (st["n"], close, high100, buy, sell)
+        names = ("buy_fast_ema", "buy_slow_ema", "sell_fast_ema", "sell_slow_ema")
+        values = {"close": close, "volume": volume, "rsi": rsi, "mfi": mfi, **dict(zip(names, st["ema"]))}
+        values |= {f"bb_lower{k}": mean - float(k) * sd for k in BB_MULTIPLIERS} | {f"bb_upper{k}": mean + float(k) * sd for k in BB_MULTIPLIERS}
+        return (st["n"], close, high100, buy_rule(p, values), sell_rule(p, values))
 
 
-class OnlineMacd:
-    """Online features of the multi-timeframe MACD strategy."""
+class OnlineMacd(TypedState):
+    """Online features of the multi-timeframe MACD strategy.  Per interval: bars, both averages, signal line."""
+
+    schema = "tf map<string, array<double>>, bar_index bigint, four array<double>"
 
     def __init__(self, params):
         self.p = params
@@ -82,14 +97,14 @@ class OnlineMacd:
 
     def row(self, st: dict, bar) -> tuple:
         p = self.p
-        tf = st["tf"].setdefault(bar.interval_c, {"n": 0, "f": 0.0, "s": 0.0, "g": 0.0})
-        tf["n"] += 1
-        first = tf["n"] == 1
-        tf["f"] = _ema(tf["f"], bar.close, ema_alpha(p.fast_length), first)
-        tf["s"] = _ema(tf["s"], bar.close, ema_alpha(p.slow_length), first)
-        m = tf["f"] - tf["s"]
-        tf["g"] = _ema(tf["g"], m, ema_alpha(p.signal_length), first)
-        vals = (m, tf["g"], m - tf["g"])
+        n, fast, slow, line = st["tf"].get(bar.interval_c, (0.0, 0.0, 0.0, 0.0))
+        first = n == 0
+        fast = _ema(fast, bar.close, ema_alpha(p.fast_length), first)
+        slow = _ema(slow, bar.close, ema_alpha(p.slow_length), first)
+        m = fast - slow
+        line = _ema(line, m, ema_alpha(p.signal_length), first)
+        st["tf"] = {**st["tf"], bar.interval_c: [n + 1.0, fast, slow, line]}
+        vals = (m, line, m - line)
         if bar.interval_c == SHORT_INTERVAL:
             st["bar_index"] += 1
             one = vals
@@ -98,15 +113,6 @@ class OnlineMacd:
             one = None
             four = vals
             st["four"] = list(vals)
-        m4, s4, h4 = four if four is not None else (None, None, None)
-        long_trend = h4 is not None and (m4 > s4 or h4 > 0)
-        short_trend = h4 is not None and (m4 < s4 or h4 < 0)
-        if one is not None:
-            m1, s1, h1 = one
-            long_entry = long_trend and m1 > s1 and h1 > 0
-            short_entry = short_trend and m1 < s1 and h1 < 0
-        else:
-            long_entry = short_entry = False
-        long_exit = h4 is not None and m4 < s4
-        short_exit = h4 is not None and m4 > s4
-        return (st["bar_index"], bar.close, long_entry, short_entry, long_exit, short_exit)
+        absent = (math.nan,) * 3
+        found = conditions(dict(zip(ALIGNED, (*(one or absent), *(four or absent)))))
+        return (st["bar_index"], bar.close, *[found[c] for c in ("long_entry", "short_entry", "long_exit", "short_exit")])
