@@ -25,6 +25,7 @@ import os
 import re
 import string
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,23 +67,22 @@ def _byte_chunks(text: str) -> list[str]:
     return [_LITERAL + cut[0]] + [c[1:] if c[0] == " " and c[1:2] != "\n" else _LITERAL + c for c in cut[1:]]
 
 
-def _plain(word: str) -> bool:
-    """A word of Latin-1 letters only: one pre-token whatever stands around it."""
-    return word.isalpha() and (word.isascii() or max(word) < "Ā")
-
-
 def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Positions starts[i] .. starts[i] + counts[i] - 1, one run after another."""
-    after = np.cumsum(counts)
+    after = np.cumsum(counts, dtype=np.int64)
     total = int(after[-1]) if len(after) else 0
-    return np.repeat(starts - (after - counts), counts) + np.arange(total)
+    kind = np.int32 if total < 1 << 31 and (not len(starts) or int(starts.max()) < 1 << 30) else np.int64
+    out = np.repeat((starts - (after - counts)).astype(kind), counts)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 class Encoder:
     """Encodes texts to ids; keeps the ids of the chunks it has met.
 
-    Plain words are handed to the library's BPE model in the vocabulary's byte
-    alphabet; anything else goes through the whole tokenizer, a chunk at a time."""
+    Words of Latin-1 letters only are one pre-token whatever stands around
+    them: they are handed to the library's BPE model in the vocabulary's byte
+    alphabet.  Anything else goes through the whole tokenizer, a chunk at a time."""
 
     def __init__(self, path: str, style: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
@@ -101,7 +101,7 @@ class Encoder:
 
     def _begin(self) -> None:
         self.codes = _Codes()
-        self.tails: dict[str, np.ndarray] = {"": np.zeros(0, np.uint32)}
+        self.tails: dict[str, np.ndarray] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.count, self.hits = (np.zeros(1 << 14, np.int32) for _ in range(3))
 
@@ -126,7 +126,7 @@ class Encoder:
         total = int(counts.sum())
         if self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) // 2 + total, np.uint32)])
-        self.flat[self.used : self.used + total] = np.fromiter((i for x in lists for i in x), np.uint32, total)
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(lists), np.uint32, total)
         self.count[codes] = counts
         self.start[codes] = self.used + np.cumsum(counts) - counts
         self.used += total
@@ -139,15 +139,19 @@ class Encoder:
         number, tokenize = self.codes.__getitem__, self.model.tokenize
         lead = "" if self.style == "word" else chr(_ALPHABET[32])
         plain, lists, other = [], [], []
+        fold = self.style == "word"  # that vocabulary folds case; ASCII letters are folded already
         for chunk in new:
-            if not _plain(chunk):
+            if not chunk.isalpha():
+                other.append(chunk)
+            elif chunk.isascii():
+                plain.append(number(chunk))
+                lists.append([t.id for t in tokenize(lead + chunk)])
+            elif max(chunk) < "Ā":
+                word = (chunk.lower() if fold else chunk).encode().decode("latin-1").translate(_ALPHABET)
+                plain.append(number(chunk))
+                lists.append([t.id for t in tokenize(lead + word)])
+            else:
                 other.append(chunk)
-                continue
-            word = chunk if self.style == "byte" else chunk.lower()  # that vocabulary folds case
-            if not word.isascii():
-                word = word.encode().decode("latin-1").translate(_ALPHABET)
-            plain.append(number(chunk))
-            lists.append([t.id for t in tokenize(lead + word)])
         self._store(plain, lists)
         texts = other
         if self.style == "byte":  # a newline needs no space before it
@@ -157,18 +161,20 @@ class Encoder:
     def _tail(self, tail: str) -> np.ndarray:
         if tail not in self.tails:
             if len(self.tails) > 10_000:
-                self.tails = {"": self.tails[""]}
+                self.tails.clear()
             self.tails[tail] = np.array(self._ids([tail])[0], np.uint32)
         return self.tails[tail]
 
     def _gather(self, chunks: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the chunks one after another, ids of each chunk)."""
         bodies, tails, tailed = [], [], []
-        for n, chunk in enumerate(chunks.dictionary.to_pylist()):
+        known = self.tails
+        for n, chunk in enumerate(chunks.dictionary.to_numpy(zero_copy_only=False).tolist()):
             body = chunk.rstrip(_TAIL)
-            if body is not chunk and _plain(body):
+            if body is not chunk and body.isalpha() and (body.isascii() or max(body) < "Ā"):
                 bodies.append(body)
-                tails.append(self._tail(chunk[len(body) :]))
+                tail = chunk[len(body) :]
+                tails.append(known[tail] if tail in known else self._tail(tail))
                 tailed.append(n)
             else:
                 bodies.append(chunk)

@@ -150,26 +150,6 @@ def vocabulary_size(tokenizer: str, style: str = "byte") -> int:
     return encoder(tokenizer, style).size
 
 
-def _encoded(docs: DataFrame, tokenizer: str, style: str, end_id: int, bits: int) -> DataFrame:
-    """(id, ids): each document's ids and the end id, in whole bytes an id (shuffled instead of the texts)."""
-    bytes_ = next(n for n in (1, 2, 4) if 8 * n >= bits)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            docs_, rows, out, size = batch.column(0), [], [], 0
-            for row, ids in encoded(batch.column(1), tokenizer, style):
-                rows.append(row)
-                out.append(pack_bits(np.append(ids, np.uint32(end_id)), 8 * bytes_))
-                size += len(out[-1])
-                if size > 1 << 22:
-                    yield pa.RecordBatch.from_arrays([docs_.take(pa.array(rows)), pa.array(out, pa.binary())], ["id", "ids"])
-                    rows, out, size = [], [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([docs_.take(pa.array(rows)), pa.array(out, pa.binary())], ["id", "ids"])
-
-    return docs.mapInArrow(run, "id bigint, ids binary")
-
-
 def write_shards(
     docs: DataFrame, tokenizer: str, vocabulary: int | None = None, style: str = "byte", end_id: int = 0,
     id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS,
@@ -178,23 +158,21 @@ def write_shards(
     manifest (one row per shard: shard, uri, docs, ids, start), written once.
 
     ``vocabulary``: one more than the largest id (None: the file's).  The
-    texts are encoded where they are; their ids are range-partitioned by (id,
-    hash of the ids) -- a repeated id can be split -- and one task writes one
-    shard.  ``start`` is the number of ids in all earlier shards, a running sum
-    over one row per shard."""
+    texts are range-partitioned by (id, hash of the text) -- a repeated id can
+    be split -- and one task encodes and writes one shard.  ``start`` is the
+    number of ids in all earlier shards, a running sum over one row per shard."""
     spark = docs.sparkSession
     ship_package(spark)
     folder, bits = new_folder(spark, "tokens"), bits_for(vocabulary or vocabulary_size(tokenizer, style))
-    staged = next(8 * n for n in (1, 2, 4) if 8 * n >= bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         writer = None
         for batch in batches:
-            for doc, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = data.as_py()
+            docs_ = batch.column(0).to_pylist()
+            for row, ids in encoded(batch.column(1), tokenizer, style):
                 writer = writer or ShardWriter(folder, f"shard-{shard:06d}.tkb", bits, block_ids)
-                writer.add(doc, unpack_bits(data, staged, len(data) * 8 // staged))
+                writer.add(docs_[row], np.append(ids, np.uint32(end_id)))
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pydict(
@@ -202,9 +180,8 @@ def write_shards(
             )
 
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    ids = materialize(_encoded(narrow, tokenizer, style, end_id, bits))
-    order = [F.col("id").asc_nulls_first(), F.xxhash64("ids")]
-    ordered = ids.repartitionByRange(*order).sortWithinPartitions(*order)
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("t")]
+    ordered = narrow.repartitionByRange(*order).sortWithinPartitions(*order)
     manifest = materialize(ordered.mapInArrow(run, "shard bigint, uri string, docs bigint, ids bigint"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(earlier), F.lit(0)))
