@@ -618,7 +618,7 @@ SWEEP_PERIODS = [
 SWEEP_RULES = [
     ACTIVE_BANDTASTIC, GATED_BANDTASTIC, EXITS_BANDTASTIC, {}, {"buy_rsi_enabled": False, "buy_mfi_threshold": 70.0},
     {"buy_rsi_threshold": 65.0, "buy_mfi_enabled": False, "buy_trigger": "bb_lower2"}, {**ACTIVE_BANDTASTIC, "trailing_stop": False},
-    {**ACTIVE_BANDTASTIC, "buy_ema_enabled": False, "stoploss": -0.1}, {**ACTIVE_BANDTASTIC, "sell_trigger": "sell-bb_upper1", "sell_rsi_enabled": True},
+    {**ACTIVE_BANDTASTIC, "buy_ema_enabled": False, "buy_trigger": "bb_lower2", "stoploss": -0.1}, {**ACTIVE_BANDTASTIC, "sell_trigger": "sell-bb_upper1", "sell_rsi_enabled": True},
     {**GATED_BANDTASTIC, "trailing_only_offset_is_reached": True, "min_roi": [[0, 1.5], [120, 0.5], [600, 0.0]]},
 ]
 SWEEP = {f"s{i}{j}": {**periods, **rules} for i, periods in enumerate(SWEEP_PERIODS) for j, rules in enumerate(SWEEP_RULES)}

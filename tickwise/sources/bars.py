@@ -33,12 +33,15 @@ def slot_of(ms: str, minutes: int) -> Column:
     return F.col(ms) - F.pmod(F.col(ms), F.lit(minutes * 60000))
 
 
-def bar_aggregates(order_cols: list[str]) -> list[Column]:
-    """open, high, low, close, volume and trades_count of a slot's ticks (ms, price, qty, *order_cols)."""
-    order = F.struct(*[F.col(c) for c in ["ms", *order_cols]])
+def bar_aggregates(order_cols: list[str], sparse: bool = False) -> list[Column]:
+    """open, high, low, close, volume and trades_count of a slot's ticks (ms,
+    price, qty, *order_cols); ``sparse``: rows without a price are no ticks."""
+    order, tick = F.struct(*[F.col(c) for c in ["ms", *order_cols]]), F.lit(1)
+    if sparse:
+        order, tick = F.when(F.col("price").isNotNull(), order), F.col("price")
     return [
         F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
-        F.max_by("price", order).alias("close"), F.sum("qty").alias("volume"), F.count(F.lit(1)).alias("trades_count"),
+        F.max_by("price", order).alias("close"), F.sum("qty").alias("volume"), F.count(tick).alias("trades_count"),
     ]
 
 
@@ -85,21 +88,22 @@ def tick_rejects(rows: DataFrame, fault: Column) -> DataFrame:
     return rows.withColumn("reject_reason", fault).filter(F.col("reject_reason").isNotNull())
 
 
-def event_ticks(events: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
-    """events -> ticks: symbol = upper(event_type), price = value, quantity =
-    value, and the columns in ``keep``.  Rows without a time, price or type are
-    in ``tick_rejects``."""
-    return events.filter(event_fault().isNull()).select(
-        F.lit(EVENTS_EXCHANGE).alias("exchange"),
-        F.upper("event_type").alias("symbol"),
-        epoch_ms("ts").alias("ms"),
-        F.col("value").alias("price"),
-        F.col("value").alias("qty"),
-        "event_id",
-        *keep,
+def event_rows(events: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """Every event as a tick's columns: symbol = upper(event_type), price =
+    value, quantity = value, and the columns in ``keep``.  Rows without a time,
+    price or type have no price."""
+    price = F.when(event_fault().isNull(), F.col("value"))
+    return events.select(
+        F.lit(EVENTS_EXCHANGE).alias("exchange"), F.upper("event_type").alias("symbol"), epoch_ms("ts").alias("ms"),
+        price.alias("price"), price.alias("qty"), "event_id", *keep,
     )
 
 
+def event_ticks(events: DataFrame) -> DataFrame:
+    """events -> ticks.  Rows without a time, price or type are in ``tick_rejects``."""
+    return event_rows(events.filter(event_fault().isNull()))
+
+
 def resample_bars(events: DataFrame, minutes: int | Iterable[int]) -> DataFrame:
     """Events -> bars of one or several widths (in minutes), unioned."""
     widths = [minutes] if isinstance(minutes, int) else list(minutes)

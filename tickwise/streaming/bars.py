@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_ms
-from ..sources.bars import bar_aggregates, bars_of_slots, event_ticks, slot_of
+from ..sources.bars import bar_aggregates, bars_of_slots, event_rows, event_ticks, slot_of
 
 _SLOT = ["exchange", "symbol", "open_time_ms"]
 
@@ -24,10 +24,12 @@ _SLOT = ["exchange", "symbol", "open_time_ms"]
 def stream_bars(events: DataFrame, minutes: int, delay: str = "10 minutes") -> DataFrame:
     """Bars of ``minutes`` from a stream of events; ticks may be ``delay`` out of order."""
     at = F.timestamp_millis(epoch_ms("ts"))
-    ticks = event_ticks(events.withColumn("_at", at).withWatermark("_at", delay), keep=["_at"])
-    slots = ticks.groupBy("exchange", "symbol", F.window("_at", f"{minutes} minutes").alias("_w"))
-    bars = slots.agg(*bar_aggregates(["event_id"])).withColumn("open_time_ms", F.unix_millis("_w.start"))
-    return bars_of_slots(bars, minutes)
+    # Rows without a price stay in until they are aggregated: a filter would be
+    # pushed below the watermark, which they are there to move.
+    rows = event_rows(events.withColumn("_at", at).withWatermark("_at", delay), keep=["_at"])
+    slots = rows.groupBy("exchange", "symbol", F.window("_at", f"{minutes} minutes").alias("_w"))
+    bars = slots.agg(*bar_aggregates(["event_id"], sparse=True)).where("trades_count > 0")
+    return bars_of_slots(bars.withColumn("open_time_ms", F.unix_millis("_w.start")), minutes)
 
 
 def late_ticks(events: DataFrame, bars: DataFrame, minutes: int) -> DataFrame:
