@@ -1,5 +1,6 @@
 """Classifiers and language ID: held-out accuracy, hashing, folds and odd rows."""
 
+import math
 import zlib
 
 import numpy as np
@@ -126,3 +127,82 @@ def test_mixture_of_two_languages():
     a, b = np.array([[1.0, 0.01]]), np.array([[0.01, 1.0]])
     share, _ = langid._shares(np.concatenate([a, b]), np.array([30.0, 10.0]), 50)
     assert share == pytest.approx([0.75, 0.25], abs=0.02)
+
+
+def slow_ftrl(examples, labels, s):
+    """Per-coordinate FTRL-proximal with plain dicts, one feature at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        lim = 0.0 if i == "bias" else s.l1
+        if abs(z.get(i, 0.0)) <= lim:
+            return 0.0
+        return -(z[i] - (lim if z[i] > 0 else -lim)) / ((s.beta + n[i] ** 0.5) / s.alpha + s.l2)
+
+    rng = np.random.default_rng(s.seed)
+    for _ in range(s.epochs):
+        for row in rng.permutation(len(examples)):
+            at = [*examples[row].tolist(), "bias"]
+            w = {i: weight(i) for i in at}
+            g = 1.0 / (1.0 + math.exp(-max(-35.0, min(35.0, sum(w.values()))))) - labels[row]
+            for i in at:
+                before = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - ((before + g * g) ** 0.5 - before**0.5) / s.alpha * w[i]
+                n[i] = before + g * g
+    return {i: weight(i) for i in z if i != "bias" and weight(i)}, weight("bias")
+
+
+@pytest.mark.parametrize("settings", [toxicity.SETTINGS, quality.SETTINGS, ftrl.Settings()])
+def test_training_against_plain_ftrl(settings):
+    rng = np.random.default_rng(3)
+    truth = rng.integers(0, 2, 150).astype(float)
+    examples = [np.unique(np.append(rng.integers(10, 400, 20), [3, 5] if y else [4])) for y in truth]
+    got, (weights, bias) = ftrl.fit_examples(examples, truth, settings), slow_ftrl(examples, truth, settings)
+    assert got.bias == pytest.approx(bias, abs=1e-9) and dict(zip(got.index.tolist(), got.weight)) == pytest.approx(weights, abs=1e-9)
+
+
+@pytest.mark.parametrize("name,label,least_one,least_zero", [("op2_toxicity", "toxic", 0.75, 0.98), ("op5_quality", "quality", 0.98, 0.9)])
+def test_held_out_recall_of_both_classes(spark, name, label, least_one, least_zero):
+    """Labels are noisy: about one toxic document in ten holds no sign of it in any word."""
+    sf = "/root/testdata/sf0.1"
+    got = queries.queries()[name](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", label), "doc_id").where("held_out")
+    rows = got.collect()
+    for value, least in ((1, least_one), (0, least_zero)):
+        mine = [r.predicted == value for r in rows if r[label] == value]
+        assert sum(mine) / len(mine) >= least
+
+
+def test_long_training_texts_are_learned_from(spark, make_docs):
+    few = ftrl.Settings(l1=0.0, example_features=50, epochs=1)
+    number, text = ftrl._some_by_text(np.arange(300), np.repeat([0, 1, 4], 100), 50)
+    assert np.bincount(text).tolist() == [50, 50, 0, 0, 50] and len(set(number.tolist())) == 150
+    docs = make_docs([(i, f"word{i % 2} " + " ".join(f"w{j}" for j in range(400))) for i in range(40)])
+    marks = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    assert len(quality.train(docs, marks, few).index) > 0
+
+
+def test_every_language_is_learned(spark, make_docs):
+    rows = [(4 * i + j, f"k{i}x k{i}y k{i}z " * 3, f"l{i:03d}", "s", 1) for i in range(260) for j in range(4)]
+    docs = make_docs(rows)
+    train = docs.select(F.col("doc_id").alias("id"), "text", "lang")
+    dense, sparse = langid.fit(train, langid.Settings(dense_languages=300)), langid.fit(train)
+    assert len(dense.names) == len(sparse.names) == 260
+    some = np.array([5, 70_000, 131_071])
+    assert (dense.likelihoods()(some) == sparse.likelihoods()(some)).all()
+    got = docs.where("doc_id % 40 = 0").select("lang", langid.predict(sparse, F.col("text")).alias("p")).collect()
+    assert all(r.lang == r.p.lang_pred for r in got) and len(got) == 26
+
+
+def test_shares_against_scalar_em():
+    rng = np.random.default_rng(2)
+    table, counts = rng.uniform(0.01, 1, (30, 4)), rng.integers(1, 6, 30).astype(float)
+    share = [0.25] * 4
+    for _ in range(7):
+        more = [0.0] * 4
+        for row, n in zip(table, counts):
+            total = sum(p * s for p, s in zip(row, share))
+            for k in range(4):
+                more[k] += n * row[k] * share[k] / total
+        share = [m / sum(counts) for m in more]
+    got, value = langid._shares(table, counts, 7)
+    assert got == pytest.approx(share) and value == pytest.approx(sum(n * math.log(sum(p * s for p, s in zip(row, share))) for row, n in zip(table, counts)))

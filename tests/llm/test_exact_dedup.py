@@ -64,3 +64,11 @@ def test_frequent_digests_are_found(spark):
     rows = spark.range(60_000).select(F.expr("cast(case when id % 3 = 0 then 'hot' else cast(id as string) end as binary)").alias("d"))
     found = [bytes(r.d) for r in heavy.frequent_digests(rows, "d").collect()]
     assert b"hot" in found and len(found) <= heavy.MAX_FREQUENT
+
+
+def test_frequent_digests_over_many_partitions(spark):
+    rows = spark.range(40_000, numPartitions=500).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).cast("binary").alias("d"))
+    found = heavy.frequent_digests(rows, "d")
+    assert b"hot" in [bytes(r.d) for r in found.collect()]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan

@@ -24,9 +24,10 @@ from . import word_hash
 class Settings:
     """Features and training of a classifier.
 
-    ``sample_rows``: labelled rows trained on, about; ``text_bytes``: no
-    limit on a text, but a row whose text is longer is left to scoring (the
-    sample's memory is at most their product)."""
+    ``sample_rows``: labelled rows trained on, about.  ``example_features``:
+    of a training text with more distinct n-grams, so many are learned from,
+    chosen by a hash over the whole text (the sample's memory is at most 4
+    bytes times the product of both).  Scoring has no such bound."""
 
     bits: int = 20
     gaps: tuple[int, ...] = (1,)
@@ -36,7 +37,7 @@ class Settings:
     l2: float = 1.0
     epochs: int = 3
     sample_rows: int = 12_000
-    text_bytes: int = 1 << 17
+    example_features: int = 1 << 14
     seed: int = 7
 
 
@@ -61,6 +62,17 @@ def _unique_by_text(number: np.ndarray, text: np.ndarray, bits: int) -> tuple[np
     return both & ((1 << bits) - 1), both >> bits
 
 
+def _some_by_text(number: np.ndarray, text: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text's features at most ``most``, those of the smallest hash."""
+    order = np.lexsort((word_hash.mix(number.astype(np.uint64)), text))
+    number, text = number[order], text[order]
+    begins = np.flatnonzero(np.diff(text, prepend=-1))
+    rank = np.arange(len(text)) - np.repeat(begins, np.diff(np.append(begins, len(text))))
+    number, text = number[rank < most], text[rank < most]
+    order = np.lexsort((number, text))
+    return number[order], text[order]
+
+
 def fit_examples(examples: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
     """Follow the regularised leader over the examples (sets of feature
     numbers), in a seeded order per epoch.  z and n are kept per coordinate:
@@ -100,6 +112,8 @@ def fit(sample: DataFrame, settings: Settings) -> Model:
         for batch in batches:
             for at, count, data, ends in word_hash.steps(batch.column(1)):
                 number, text = _unique_by_text(*features(data, ends, settings), settings.bits)
+                if len(text) and np.bincount(text).max() > settings.example_features:
+                    number, text = _some_by_text(number, text, settings.example_features)
                 cuts = np.searchsorted(text, np.arange(count + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(number.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(

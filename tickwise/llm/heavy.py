@@ -1,8 +1,9 @@
 """Frequent keys by the Misra-Gries counter summary.
 
 ``approx_top_k`` keeps a bounded table of counters per task (Misra-Gries with
-a purge of the median counter when the table is full) and merges the tables,
-so only a few counters per task are shuffled.  Whatever it returns is a
+a purge of the median counter when the table is full).  The tables are merged
+in ``SKETCHES`` groups of tasks side by side, and the groups' counts are summed
+by key, so no task ever gets the tables of all tasks.  Whatever comes out is a
 candidate list: callers verify every key exactly before they rely on it.
 """
 
@@ -17,16 +18,28 @@ from ..session import materialize
 MAX_FREQUENT = 1024
 #: Counters kept per summary.  A key held by more than about rows / 2,000 rows is always found.
 COUNTERS = 8192
+#: Groups of tasks whose summaries are merged apart.
+SKETCHES = 256
+#: A key is hot when it has more than one in this many of all rows; so many can exist at most.
+HOT_SHARE = 1024
 
 
 def frequent_digests(rows: DataFrame, digest: str) -> DataFrame:
     """At most ``MAX_FREQUENT`` binary digests that occur more than once, one
     row each (column ``digest``'s name).  Null digests are not reported; an
     empty input gives an empty table."""
-    found = rows.where(F.col(digest).isNotNull()).select(
-        F.expr(f"explode(approx_top_k(hex(`{digest}`), {MAX_FREQUENT}, {COUNTERS}))").alias("f")
-    )
-    return found.where(F.col("f.count") > 1).select(F.unhex("f.item").alias(digest))
+    some = rows.where(F.col(digest).isNotNull()).select(digest, (F.spark_partition_id() % SKETCHES).alias("_tasks"))
+    tops = some.groupBy("_tasks").agg(F.expr(f"approx_top_k(hex(`{digest}`), {MAX_FREQUENT}, {COUNTERS})").alias("top"))
+    found = tops.select(F.explode("top").alias("f")).groupBy("f.item").agg(F.sum("f.count").alias("n")).where("n > 1")
+    return found.orderBy(F.desc("n"), "item").limit(MAX_FREQUENT).select(F.unhex("item").alias(digest))
+
+
+def join_hot(rows: DataFrame, table: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+    """``rows`` joined with a table of one row per key; the keys in ``hot`` (a
+    proven few, ``HOT_SHARE``) map-side, the others by an ordinary shuffle.
+    Both tables are read twice."""
+    few = F.broadcast(table.join(F.broadcast(hot), on, "left_semi"))
+    return rows.join(few, on).unionByName(rows.join(F.broadcast(hot), on, "left_anti").join(table, on))
 
 
 def with_largest(rows: DataFrame, digest: str, by: list[str]) -> DataFrame:

@@ -20,19 +20,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, settings: Se
 
     The sample is chosen on the label table alone, by a hash of the id (reruns
     agree), so it is bounded before it meets a text and the texts are found by
-    a map-side join.  Rows with a null id, labels other than 0 and 1, null
-    texts and texts over ``settings.text_bytes`` are not trained on; repeated
-    label rows count once (the largest label), repeated documents once."""
+    a map-side join.  Rows with a null id, labels other than 0 and 1 and null
+    texts are not trained on; repeated label rows count once (the largest
+    label), repeated documents once."""
     usable = (
         labels.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col(label).isin(0, 1))
         .groupBy(F.col("doc_id").alias("_label_id")).agg(F.max(label).alias("label"))
     )
     rows = usable.count()
-    chance = F.pmod(F.xxhash64("_label_id", F.lit(settings.seed)), F.lit(1_000_000))
-    share = 1_000_000 if rows <= settings.sample_rows else int(1_000_000 * settings.sample_rows / rows)
-    chosen = usable.where(chance < share)
-    texts = docs.select(F.col("doc_id").alias("id"), "text").where(
-        F.col("text").isNotNull() & (F.octet_length("text") <= settings.text_bytes)
-    )
+    # 53 bits of the hash as a double: exact for any number of rows.
+    chance = F.pmod(F.xxhash64("_label_id", F.lit(settings.seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
+    chosen = usable if rows <= settings.sample_rows else usable.where(chance < settings.sample_rows / rows)
+    texts = docs.select(F.col("doc_id").alias("id"), "text").where(F.col("text").isNotNull())
     found = texts.join(F.broadcast(chosen), F.col("id") == F.col("_label_id"))
     return found.groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))

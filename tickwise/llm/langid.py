@@ -13,7 +13,6 @@ language; its size is a parameter.
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,14 +40,13 @@ _ASCII_LETTER[128:] = False
 @dataclass(frozen=True)
 class Settings:
     """``per_language``: labelled rows learned from per language, about;
-    ``languages``: languages learned, the most frequent ones;
-    ``text_bytes``: a longer labelled text is not learned from (never a limit
-    on prediction); ``penalty``: cost of one more language in units of the
-    logarithm of the number of n-grams."""
+    ``penalty``: cost of one more language in units of the logarithm of the
+    number of n-grams; ``dense_languages``: up to so many languages the
+    likelihoods are one dense table (512 KB a language), beyond that only the
+    n-grams met in each language are kept, with equal results."""
 
     per_language: int = 2000
-    languages: int = 256
-    text_bytes: int = 1 << 16
+    dense_languages: int = 64
     smoothing: float = 0.05
     penalty: float = 3.0
     rounds: int = 12
@@ -56,11 +54,17 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
-    """Names of the languages and, per n-gram, their likelihoods relative to the likeliest."""
+    """Names of the languages, and the n-grams met in each: those of n-gram f
+    are entries cuts[f] .. cuts[f + 1] - 1 (number of the language, count)."""
 
     settings: Settings
     names: list[str]
-    relative: np.ndarray
+    cuts: np.ndarray
+    lang: np.ndarray
+    count: np.ndarray
+
+    def likelihoods(self) -> Likelihoods:
+        return Likelihoods(self)
 
 
 def ngrams(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,39 +119,67 @@ def infer(relative: np.ndarray, counts: np.ndarray, settings: Settings) -> tuple
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     """Learn from (id, text, lang) rows.  Rows with a null id, text or language are not learned from."""
     ship_package(labelled.sparkSession)
-    usable = labelled.where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").where(
-        F.octet_length("text") <= settings.text_bytes
-    )
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(settings.languages)
-    chance = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    sample = usable.join(F.broadcast(sizes), "lang").where(chance * F.col("n") < settings.per_language)
+    usable = labelled.where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    chance = F.pmod(F.xxhash64("id"), F.lit(1 << 53)).cast("double") / float(1 << 53)
+    sample = usable.join(sizes, "lang").where(chance * F.col("n") < settings.per_language)
     # Repeated rows of an id count once, so that they can't swell the sample.
     sample = sample.groupBy("id", "lang").agg(F.min(F.col("text").cast("binary")).alias("text")).select("lang", "text")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, np.ndarray] = {}
+        held, mine = None, np.zeros(_FEATURES, np.int64)
+
+        def learned():
+            seen = np.flatnonzero(mine)
+            return pa.RecordBatch.from_pydict({"lang": [held], "feature": [seen.astype(np.int32)], "count": [mine[seen]]})
+
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for at, rows, data, ends in word_hash.steps(batch.column(1)):
                 feature, count, cuts = ngrams(data, ends)
                 for i in range(rows):
-                    mine = counts.setdefault(langs[at + i], np.zeros(_FEATURES))
+                    if langs[at + i] != held:
+                        if held is not None:
+                            yield learned()
+                        held, mine = langs[at + i], np.zeros(_FEATURES, np.int64)
                     mine[feature[cuts[i] : cuts[i + 1]]] += count[cuts[i] : cuts[i + 1]]
-        if counts:
-            names = sorted(counts)
-            table = np.stack([counts[x] for x in names], axis=1) + settings.smoothing
-            for half in (table[:_HALF], table[_HALF:]):
-                half /= half.sum(axis=0)
-            table /= table.max(axis=1, keepdims=True)
-            out = io.BytesIO()
-            np.savez_compressed(out, relative=table.astype(np.float32))
-            yield pa.RecordBatch.from_pydict({"names": [names], "table": [out.getvalue()]})
-
-    # A bounded sample: one task, order does not matter for counts.
-    found = sample.repartition(1).mapInArrow(learn, "names array<string>, table binary").collect()
-    if not found:
-        return Model(settings, [], np.zeros((_FEATURES, 0), np.float32))
-    return Model(settings, list(found[0]["names"]), np.load(io.BytesIO(found[0]["table"]))["relative"])
+        if held is not None:
+            yield learned()
+
+    # A bounded sample per language: a language in one task, order does not matter for counts.
+    dealt = sample.repartition("lang").sortWithinPartitions("lang")
+    found = dealt.mapInArrow(learn, "lang string, feature array<int>, count array<bigint>").toArrow()  # at most 2 ** 17 counts a language
+    order = np.argsort(np.array(found["lang"].to_pylist(), object)) if len(found) else []
+    names = [found["lang"][int(i)].as_py() for i in order]
+    parts = [(np.array(found["feature"][int(i)].values), np.array(found["count"][int(i)].values)) for i in order]
+    feature = np.concatenate([np.zeros(0, np.int32), *[f for f, _ in parts]])
+    lang = np.repeat(np.arange(len(parts), dtype=np.int32), [len(f) for f, _ in parts])
+    count = np.concatenate([np.zeros(0, np.int64), *[c for _, c in parts]])
+    by = np.argsort(feature, kind="stable")
+    return Model(settings, names, np.searchsorted(feature[by], np.arange(_FEATURES + 1)), lang[by], count[by])
+
+
+class Likelihoods:
+    """Likelihoods of n-grams in every language, relative to the likeliest: rows of (n-gram, language)."""
+
+    def __init__(self, model: Model):
+        self.model, size = model, len(model.names)
+        owner = np.repeat(np.arange(_FEATURES), np.diff(model.cuts)) // _HALF
+        totals = np.bincount(owner * size + model.lang, model.count, 2 * size).reshape(2, size) if size else np.zeros((2, 0))
+        self.smoothing = model.settings.smoothing
+        self.totals = totals + self.smoothing * _HALF  # of trigrams and of words
+        self.dense = self._rows(np.arange(_FEATURES)) if size <= model.settings.dense_languages else None
+
+    def _rows(self, feature: np.ndarray) -> np.ndarray:
+        begins, sizes = self.model.cuts[feature], np.diff(self.model.cuts)[feature]
+        at = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        out = np.full((len(feature), len(self.model.names)), self.smoothing)
+        out[np.repeat(np.arange(len(feature)), sizes), self.model.lang[at]] += self.model.count[at]
+        out /= self.totals[feature // _HALF]
+        return out / out.max(axis=1, keepdims=True) if out.size else out
+
+    def __call__(self, feature: np.ndarray) -> np.ndarray:
+        return self.dense[feature] if self.dense is not None else self._rows(feature)
 
 
 def _has_letter(data: np.ndarray) -> bool:
@@ -163,12 +195,12 @@ def predict(model: Model, text: Column) -> Column:
     ``und`` with score 0.  The whole text counts, whatever its length."""
     spark = SparkSession.active()
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(model.relative)
+    shared = spark.sparkContext.broadcast(model)
     names, settings = model.names, model.settings
 
     @F.arrow_udf("lang_pred string, score double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        relative = shared.value
+        likelihoods = shared.value.likelihoods()
         for column in batches:
             lang, score = [], []
             for _, rows, data, ends in word_hash.steps(column):
@@ -180,7 +212,7 @@ def predict(model: Model, text: Column) -> Column:
                         lang.append(UNDETERMINED)
                         score.append(0.0)
                     else:
-                        first, share = infer(relative[feature[mine]].astype(np.float64), count[mine].astype(np.float64), settings)
+                        first, share = infer(likelihoods(feature[mine]), count[mine].astype(np.float64), settings)
                         lang.append(names[first])
                         score.append(share)
                     begin = ends[i]
@@ -195,7 +227,12 @@ def held_out(doc_id: Column) -> Column:
 
 
 def identify(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Learn from the documents' own labels outside the held-out fold, predict all of them: doc_id, held_out, lang_pred, score."""
+    """Learn from the documents' own labels outside the held-out fold, predict
+    all of them: doc_id, held_out, lang_pred, score.
+
+    One row per input row, repeated rows too; null ids are predicted, not held
+    out and not learned from.  Null, empty and letterless texts are ``und``.  An
+    empty table gives an empty table; other columns are not read."""
     train = docs.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), "text", "lang")
     out = docs.select("doc_id", predict(fit(train, settings), F.col("text")).alias("p"))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p.lang_pred", "p.score")

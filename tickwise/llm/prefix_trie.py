@@ -35,11 +35,10 @@ from pyspark.sql import functions as F
 
 from ..operators.series import prefix_sum, sequence_rows
 from ..session import materialize, ship_package
+from .heavy import HOT_SHARE, join_hot
 
 #: Rows of a component that one task finishes.
 LOCAL_ROWS = 1 << 14
-#: A key with more than one part in this many of all rows is joined map-side; so many keys at most.
-HOT_SHARE = 1024
 #: Bytes of a chunk of member ids hashed as one piece.
 CHUNK_BYTES = 1 << 16
 
@@ -48,13 +47,6 @@ _SUMS = [f"s{i}" for i in range(_PIECES)]
 _KEY = ["depth", *_SUMS]
 
 
-def _join_hot(rows: DataFrame, table: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
-    """``rows`` joined with a table of one row per key; the keys in ``hot`` (a
-    proven few) map-side, the others by an ordinary shuffle."""
-    few = F.broadcast(table.join(F.broadcast(hot), on, "left_semi"))
-    return rows.join(few, on).unionByName(rows.join(F.broadcast(hot), on, "left_anti").join(table, on))
-
-
 def numbered_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(c, place from 1, content hash, code points): turns in order (null first; ties by role and text), null role or text empty."""
     rows = turns.where(F.col(conv).isNotNull()).select(
@@ -82,7 +74,7 @@ def rebuild(turns: DataFrame, most: int = 6, block: int = 100) -> tuple[DataFram
     # At most ``block`` conversations and ``most`` - 1 turns share a base.
     first = c.where("taken > 0").select("c", "base", "taken").join(begin, "base").where("place <= taken").select("c", "place", "content", "points")
     long = c.where(F.col("own_turns") > F.lit(turns.count() // HOT_SHARE)).select("c")
-    rest = _join_hot(turns, c.select("c", "h", "taken"), ["c"], long).where("place > h")
+    rest = join_hot(turns, c.select("c", "h", "taken"), ["c"], long).where("place > h")
     rest = rest.select("c", (F.col("place") - F.col("h") + F.col("taken")).alias("place"), "content", "points")
     ends = c.select("c", (F.col("taken") + F.greatest(F.col("own_turns") - F.col("h"), F.lit(0))).alias("turns"))
     return first.unionByName(rest), ends
@@ -271,7 +263,7 @@ def subtree_sums(nodes: DataFrame, paths: DataFrame, values: list[str], local_ro
         state = owners.join(at, ["c", "z_depth"], "left").join(after, ["c", "z_depth"], "left")
         state = materialize(state.select("c", *comp, "n", "z_depth", "z_c", F.coalesce(F.col("at_z") == F.col("z_c"), F.lit(False)).alias("under"), "next_c"))
         crowded = state.where(F.col("n") > F.lit(paths_rows // HOT_SHARE)).select("c", *comp)
-        placed = _join_hot(large.drop("total"), state.drop("n"), ["c", *comp], crowded)
+        placed = join_hot(large.drop("total"), state.drop("n"), ["c", *comp], crowded)
         placed = materialize(placed.withColumn("inside", F.col("under") & (F.col("depth") >= F.col("z_depth"))))
         sums = [F.sum(v).alias(f"z_{v}") for v in values]
         below = placed.where("inside").groupBy(*comp).agg(*sums)
@@ -299,7 +291,7 @@ def trie(rows: DataFrame, ends: DataFrame, local_rows: int = LOCAL_ROWS) -> Data
     ends = materialize(ends)
     total = ends.agg(F.sum(F.col("turns") + 1)).first()[0] or 0
     long = ends.where(F.col("turns") > F.lit(total // HOT_SHARE)).select("c")
-    every = materialize(_join_hot(_prefixes(rows, ends), ends.select("c", "turns"), ["c"], long))
+    every = materialize(join_hot(_prefixes(rows, ends), ends.select("c", "turns"), ["c"], long))
     parents = [F.first(f"p{i}").alias(f"p{i}") for i in range(_PIECES)]
     nodes = every.groupBy(*_KEY).agg(
         F.min("c").alias("c"), F.count("*").alias("weight"), F.sum(F.col("turns") - F.col("depth") + 1).alias("below"), F.first("points").alias("points"), *parents
@@ -312,7 +304,7 @@ def trie(rows: DataFrame, ends: DataFrame, local_rows: int = LOCAL_ROWS) -> Data
     names = nodes.select((F.col("depth") + 1).alias("depth"), *[F.col(s).alias(f"p{i}") for i, s in enumerate(_SUMS)], F.col("c").alias("parent_c"))
     fruitful = counts.where(F.col("n_children") > F.lit(total // HOT_SHARE))
     fruitful = fruitful.select((F.col("depth") + 1).alias("depth"), *[F.col(s).alias(f"p{i}") for i, s in enumerate(_SUMS)])
-    named = _join_hot(nodes.where("depth > 0"), names, up, fruitful).unionByName(nodes.where("depth = 0").withColumn("parent_c", F.lit(None).cast("bigint")))
+    named = join_hot(nodes.where("depth > 0"), names, up, fruitful).unionByName(nodes.where("depth = 0").withColumn("parent_c", F.lit(None).cast("bigint")))
     childless = F.when(F.col("n_children").isNull(), 1).otherwise(0).cast("bigint")
     named = materialize(
         named.join(counts, _KEY, "left").select(
@@ -322,8 +314,8 @@ def trie(rows: DataFrame, ends: DataFrame, local_rows: int = LOCAL_ROWS) -> Data
     )
     # Which conversation names the node at each depth of every conversation that names any.
     crowded = named.where(F.col("weight") > F.lit(total // HOT_SHARE)).select(*_KEY)
-    owned = _join_hot(every.select("c", *_KEY), named.select("c").distinct(), ["c"], long)
-    paths = materialize(_join_hot(owned, named.select(*_KEY, F.col("c").alias("node")), _KEY, crowded).select("c", "depth", "node"))
+    owned = join_hot(every.select("c", *_KEY), named.select("c").distinct(), ["c"], long)
+    paths = materialize(join_hot(owned, named.select(*_KEY, F.col("c").alias("node")), _KEY, crowded).select("c", "depth", "node"))
     sums = subtree_sums(named.drop(*_SUMS), paths, ["leaves", "saved"], local_rows)
     hashes = _ends_hashes(every.where("depth = turns"))
     empty = hashlib.sha256(b"").hexdigest()

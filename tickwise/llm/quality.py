@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from . import ftrl
 from .labels import held_out, training_sample
 
-SETTINGS = ftrl.Settings(gaps=(1,), alpha=0.3, l1=1.0, epochs=3, sample_rows=16_000)
+SETTINGS = ftrl.Settings(gaps=(1,), alpha=3.0, l1=8.0, l2=0.0, epochs=5, sample_rows=16_000)
 THRESHOLD = 0.3
 
 

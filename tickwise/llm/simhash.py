@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, ship_package
 from .components import components
+from .heavy import HOT_SHARE, join_hot
 
 #: Segment values with more distinct fingerprints than this are linked over cube points.
 CROWD = 1024
@@ -158,16 +159,18 @@ def links(prints: DataFrame, max_bits: int = 3, crowd: int = CROWD) -> DataFrame
 
 
 def _labels(prints: DataFrame, max_bits: int, crowd: int) -> DataFrame:
-    """(fp, component_id, keeper) per distinct fingerprint of (id, fp) rows:
-    the smallest id of its component, and the fingerprint that has it."""
-    groups = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")))
+    """(fp, n, component_id, keeper) per distinct fingerprint of (id, fp) rows,
+    written once: how many rows have it, the smallest id of its component, and
+    the fingerprint that has that id."""
+    groups = materialize(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")))
     roots = components(links(groups.select("fp"), max_bits, crowd), "a", "b")
-    joined = groups.join(roots, groups.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    joined = groups.join(roots, groups.fp == roots.node, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
     joined = materialize(joined)
     first = F.min(F.when(F.col("least").isNotNull(), F.struct("least", "fp")))
-    least = joined.groupBy("root").agg(first.alias("first"), F.min("fp").alias("any"))
-    least = least.select("root", F.col("first.least").alias("component_id"), F.coalesce("first.fp", "any").alias("keeper"))
-    return joined.join(least, "root").select("fp", "component_id", "keeper")
+    least = joined.groupBy("root").agg(first.alias("first"), F.min("fp").alias("any"), F.count("*").alias("size"))
+    least = materialize(least.select("root", "size", F.col("first.least").alias("component_id"), F.coalesce("first.fp", "any").alias("keeper")))
+    large = least.where(F.col("size") > F.lit(joined.count() // HOT_SHARE)).select("root")
+    return materialize(join_hot(joined, least, ["root"], large).select("fp", "n", "component_id", "keeper"))
 
 
 def near_duplicates(
@@ -181,7 +184,9 @@ def near_duplicates(
     in component_id (null if a component has no other).  An empty table gives
     an empty table; other columns are not read."""
     rows = materialize(with_fingerprints(docs, id_col, text_col, shingle))
-    return rows.join(_labels(rows, max_bits, crowd).drop("keeper"), "fp").select(
+    labels = _labels(rows, max_bits, crowd)
+    hot = labels.where(F.col("n") > F.lit(rows.count() // HOT_SHARE)).select("fp")
+    return join_hot(rows, labels.select("fp", "component_id"), ["fp"], hot).select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from . import ftrl
 from .labels import held_out, training_sample
 
-SETTINGS = ftrl.Settings(gaps=(1, 2), alpha=1.0, l1=4.0, l2=0.0, epochs=3, sample_rows=24_000)
+SETTINGS = ftrl.Settings(gaps=(1, 2), alpha=3.0, l1=8.0, l2=0.0, epochs=5, sample_rows=24_000)
 THRESHOLD = 0.5
 
 
