@@ -47,6 +47,8 @@ BLOCK_LINES = 1024
 LEAST_REVISIT = 1000
 #: Neighbouring ranges are read together up to this many bytes.
 READ_BYTES = 4 << 20
+#: Bytes of archives that a task reads, about.
+STRETCH_BYTES = 1 << 23
 
 
 def url_key(url: str | None) -> str:
@@ -307,8 +309,10 @@ def read_records(captures: DataFrame, with_payload: bool = False) -> DataFrame:
 
     schema = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
     # One archive file's captures are dealt in stretches, so a large file is read by several tasks.
-    stretch = F.floor(F.col("at") / F.lit(16 * READ_BYTES))
-    dealt = captures.select("page_id", "uri", "at", "size").repartition("uri", stretch).sortWithinPartitions("uri", "at")
+    # As many tasks as there are bytes for: the captures themselves are narrow.
+    stretch = F.floor(F.col("at") / F.lit(STRETCH_BYTES))
+    tasks = -(-(captures.agg(F.sum("size")).first()[0] or 1) // STRETCH_BYTES)
+    dealt = captures.select("page_id", "uri", "at", "size").repartition(tasks, "uri", stretch).sortWithinPartitions("uri", "at")
     return dealt.mapInArrow(run, schema + ", url string, payload binary" * with_payload)
 
 
