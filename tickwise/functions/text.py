@@ -77,9 +77,16 @@ def sql_trade_text() -> str:
     return " || ".join(f"'{lab}' || {p}" for lab, p in zip(TRADE_FORMAT, parts))
 
 
+def json_number(c: Column) -> Column:
+    """A double that JSON can hold: what is not finite becomes null."""
+    return F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(None)).otherwise(c)
+
+
 def encode_bars(bars: DataFrame) -> Column:
-    """One JSON object per bar, fields in declaration order."""
-    return F.to_json(F.struct(*[F.col(c) for c in BAR_FIELDS]))
+    """One JSON object per bar, every field in declaration order; absent and non-finite numbers are ``null``."""
+    kinds = dict(bars.dtypes)
+    fields = [(json_number(F.col(c)) if kinds.get(c) == "double" else F.col(c)).alias(c) for c in BAR_FIELDS]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
 def encode_trades() -> Column:
@@ -88,13 +95,13 @@ def encode_trades() -> Column:
     objects or null."""
     def position(price: str) -> Column:
         obj = F.to_json(F.struct(F.col(price).alias("price"), F.lit(0).alias("entry_bar_index"), F.lit(1.0).alias("size")))
-        return F.when(F.col(price).isNull(), F.lit("null")).otherwise(obj)
+        return F.when(json_number(F.col(price)).isNull(), F.lit("null")).otherwise(obj)
 
     reason = F.when(
         F.col("exit_reason") == "Roi",
         F.concat(F.lit('{"Roi":['), F.col("roi_minutes").cast("string"), F.lit(","), F.col("roi_pct").cast("string"), F.lit("]}")),
     ).otherwise(F.concat(F.lit('"'), F.coalesce("exit_reason", F.lit("None")), F.lit('"')))
-    head = F.to_json(F.struct("exchange", "symbol", F.coalesce("direction", F.lit("None")).alias("direction")))
+    head = F.to_json(F.struct("exchange", "symbol", F.coalesce("direction", F.lit("None")).alias("direction")), {"ignoreNullFields": "false"})
     return F.concat(
         F.regexp_replace(head, "}$", ""),
         F.lit(',"enter_position":'), position("enter_price"),
@@ -102,6 +109,6 @@ def encode_trades() -> Column:
         F.lit(',"enter_time":'), F.col("enter_time").cast("string"),
         F.lit(',"exit_time":'), F.col("exit_time").cast("string"),
         F.lit(',"exit_reason":'), reason,
-        F.lit(',"roi":'), F.coalesce(F.col("roi").cast("string"), F.lit("null")),
+        F.lit(',"roi":'), F.coalesce(json_number(F.col("roi")).cast("string"), F.lit("null")),
         F.lit(',"fee":'), F.col("fee").cast("string"), F.lit("}"),
     )

@@ -606,6 +606,73 @@ def q_strategy_plugin(spark, sf):
     return strat.signals(bars(spark, sf, 15), CHUNK).select(*SIG_COLS)
 
 
+# ---- line archive, routing, outbox, symbol dictionary (S3, S6, S4, F2) ---------------------------------
+
+from ..sinks import line_archive as la  # noqa: E402
+from ..sinks import outbox as ob  # noqa: E402
+from ..sinks import router as ro  # noqa: E402
+from ..sources.dictionary import grow_dictionary, indexed  # noqa: E402
+
+
+@query("archive_lines", f"SELECT exchange, symbol, open_time_ms, close_time_ms, open_time_h, interval, open, high, low, close, round(volume, {ROUND}) AS volume, trades_count, {tm.sql_archive_period('close_time_ms', ar.DEFAULT_ROTATION_S)} AS period FROM ({BAR_SQL15})")
+def q_archive_lines(spark, sf):
+    """Bars as zstd line files, written in two runs, read back."""
+    path = ar.scratch_path(spark, "lines")
+    b = bars(spark, sf)
+    for odd in (0, 1):
+        la.archive_lines(b.filter(F.col("trades_count") % 2 == odd), path)
+    return la.read_lines(spark, path)[0].withColumn("volume", rnd("volume"))
+
+
+def mixed_feed(spark, sf) -> DataFrame:
+    """One feed of texts and pings."""
+    frames = raw_frames(spark, sf).select(F.lit(False).alias("is_ping"), "recv_ms", F.col("frame_no").cast("bigint").alias("frame_no"), "text")
+    pings = feed_messages(spark, sf).filter("kind = 'ping'")
+    return frames.unionByName(pings.select(F.lit(True).alias("is_ping"), F.col("recv_ts_ms").alias("recv_ms")), allowMissingColumns=True)
+
+
+@query("routed_stream", _ROUTE_SQL)
+def q_routed_stream(spark, sf):
+    """Three sinks fed from one read of one stream; every batch is written twice, as after a failure."""
+    feed = materialize(mixed_feed(spark, sf))
+    stream = read_in_order(spark, write_in_order(feed, ["recv_ms"]), feed.schema)
+    path = ar.scratch_path(spark, "routes")
+
+    def twice(batch, number, to):
+        for _ in range(2):
+            ro.route_batch(batch, number, to)
+
+    ro.route_stream(ro.tagged_messages(stream), path, ar.scratch_path(spark, "routes-checkpoint"), twice).awaitTermination()
+    b, h, e = (ro.read_route(spark, path, r) for r in ("strategy", "alerts", "log"))
+    return fr.route_messages(b, h, e.withColumnRenamed("reason", "reject_reason"))
+
+
+@query("alert_outbox", f"SELECT DISTINCT url, sha256(body) AS body_sha256 FROM ({_alert_sql()}) a")
+def q_alert_outbox(spark, sf):
+    """What senders acknowledged: first one that refuses some payloads for good, then one that takes all that is left."""
+    payloads = materialize(q_alert_payloads(spark, sf))
+    outbox = ar.scratch_path(spark, "outbox")
+    ob.deliver(payloads.filter(F.crc32(F.col("body").cast("binary")) % 3 > 0), outbox, _accept)
+    ob.deliver(payloads, outbox, _accept)
+    return ob.acknowledged(spark, outbox).select("url", "body_sha256")
+
+
+def _accept(url: str, body: str) -> None:
+    """A sender that takes everything."""
+
+
+@query("symbol_dictionary", f"SELECT g.symbol, i.symbol_index, count(*) AS frames FROM ({_GOOD}) g JOIN ({REGISTRY['symbol_index'].sql}) i USING (symbol) GROUP BY ALL")
+def q_symbol_dictionary(spark, sf):
+    """Numbers given over three runs, joined back to all frames."""
+    frames = materialize(good_frames(spark, sf))
+    path = ar.scratch_path(spark, "symbols")
+    first, second = frames.select(F.percentile_approx("recv_ms", [0.001, 0.5])).first()[0]
+    at = F.col("recv_ms")
+    for part in (at <= first, (at > first) & (at <= second), at > second):
+        known = grow_dictionary(frames.filter(part), path)
+    return indexed(frames, known).groupBy("symbol", "symbol_index").agg(F.count(F.lit(1)).alias("frames"))
+
+
 # ---- many settings in one job (U2) -----------------------------------------------------------------
 
 from ..strategies.sweep import sweep  # noqa: E402

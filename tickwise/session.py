@@ -2,8 +2,8 @@
 
 Library code never builds its own session; it takes the caller's.  The only
 setting it touches is the checkpoint folder, and only when the cluster left
-it unset (local tests), because iterative operators cut lineage with
-``DataFrame.checkpoint()``.
+it unset (local tests), because iterative operators cut lineage with tables
+written there (``materialize``).
 """
 
 from __future__ import annotations
@@ -86,7 +86,7 @@ def drop_materialized(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -98,7 +98,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    ident = id(sc._jsc)
+    ident = sc.applicationId
     if ident in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))

@@ -54,9 +54,9 @@ INT32_MIN, INT32_MAX = -(2 ** 31), 2 ** 31 - 1
 FRAME_COLUMNS = ["recv_ms", "frame_no"] + [c for c, _, _ in FRAME_LEAVES]
 
 
-def decode_all(raw: DataFrame) -> DataFrame:
-    """raw (recv_ms, frame_no, text) -> every frame with its leaves and a
-    ``reject_reason`` (null for a good frame).
+def decode_all(raw: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """raw (recv_ms, frame_no, text) -> every frame with its leaves, the columns
+    in ``keep`` and a ``reject_reason`` (null for a good frame).
 
     Two projections: the JSON type of every leaf first (one variant lookup
     each), then values and the reason from those types.  Keeping them apart
@@ -65,9 +65,10 @@ def decode_all(raw: DataFrame) -> DataFrame:
     # The parsed value comes out of a generator so that later filters on the
     # decoded leaves cannot be rewritten in terms of ``parse_json(text)``
     # (which would parse the text once per leaf instead of once per frame).
-    v = raw.select("recv_ms", "frame_no", F.explode(F.array(F.try_parse_json("text"))).alias("_v"))
+    base = ["recv_ms", "frame_no", *keep]
+    v = raw.select(*base, F.explode(F.array(F.try_parse_json("text"))).alias("_v"))
     types = v.select(
-        "recv_ms", "frame_no", "_v",
+        *base, "_v",
         *[F.schema_of_variant(F.try_variant_get(F.col("_v"), path, "variant")).alias(f"_t{i}")
           for i, (_, path, _) in enumerate(FRAME_LEAVES)],
     )
@@ -82,7 +83,7 @@ def decode_all(raw: DataFrame) -> DataFrame:
             ok = ok & value.isNotNull()
         reason = reason.when(typ.isNull() | (typ == F.lit("VOID")), F.lit(f"missing:{path[2:]}")).when(~ok, F.lit(f"type:{path[2:]}"))
         cols.append(F.when(ok, value).alias(name))
-    return types.select("recv_ms", "frame_no", *cols, reason.alias("reject_reason"))
+    return types.select(*base, *cols, reason.alias("reject_reason"))
 
 
 def decode_frames(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -98,22 +99,18 @@ def closed_bars(frames: DataFrame) -> DataFrame:
     return frames.filter(F.col("closed"))
 
 
+def bar_fields(exchange: str = FRAME_EXCHANGE) -> dict[str, Column]:
+    """The fields of a bar from a decoded frame (outer symbol, text prices parsed strictly or 0.0)."""
+    prices = {n: parse_price(f"{n}_text") for n in ("open", "high", "low", "close", "volume")}
+    return {
+        "exchange": F.lit(exchange), "symbol": F.col("symbol"), "open_time_ms": F.col("start_ms"), "close_time_ms": F.col("end_ms"),
+        "open_time_h": label_utc8("start_ms"), "interval": F.col("interval"), **prices, "trades_count": F.col("trades").cast("bigint"),
+    }
+
+
 def normalize_bars(frames: DataFrame, exchange: str = FRAME_EXCHANGE) -> DataFrame:
-    """Frame -> bar (outer symbol, text prices parsed strictly or 0.0)."""
-    return frames.select(
-        F.lit(exchange).alias("exchange"),
-        F.col("symbol"),
-        F.col("start_ms").alias("open_time_ms"),
-        F.col("end_ms").alias("close_time_ms"),
-        label_utc8("start_ms").alias("open_time_h"),
-        F.col("interval"),
-        parse_price("open_text").alias("open"),
-        parse_price("high_text").alias("high"),
-        parse_price("low_text").alias("low"),
-        parse_price("close_text").alias("close"),
-        parse_price("volume_text").alias("volume"),
-        F.col("trades").cast("bigint").alias("trades_count"),
-    )
+    """Frame -> bar."""
+    return frames.select(*[c.alias(n) for n, c in bar_fields(exchange).items()])
 
 
 def symbol_index(frames: DataFrame) -> DataFrame:
