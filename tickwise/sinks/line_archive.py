@@ -45,37 +45,46 @@ class Staged(WriterCommitMessage):
 
 
 class _Lines:
-    """What the batch and the stream writer share.  Rows are (value, period, part), one (period, part) after another."""
+    """What the batch and the stream writer share.  Rows are (value, period,
+    part); in ``ordered`` input one (period, part) follows another, else a
+    task holds the compressed frames of all its periods until the end."""
+
+    ordered = True
 
     def __init__(self, path: str, flush_rows: int):
         self.path, self.flush_rows = path.rstrip("/"), flush_rows
-        self.staging = f"{self.path}/_staging-{uuid.uuid4().hex}"
+        self.staging = f"{self.path}/_staging-{self.staging_mark()}"
+
+    def staging_mark(self) -> str:
+        return uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
-        codec, done, place, frames, lines = pa.Codec("zstd", compression_level=LEVEL), [], None, [], []
+        codec, done = pa.Codec("zstd", compression_level=LEVEL), []
+        held: dict[tuple[str, int], tuple[list[str], list[bytes]]] = {}  # lines to come, frames made
 
-        def flush() -> None:
+        def flush(lines: list[str], frames: list[bytes]) -> None:
             if lines:
                 frames.append(codec.compress(("\n".join(lines) + "\n").encode(), asbytes=True))
                 lines.clear()
 
         def close() -> None:
-            flush()
-            if place is not None:
+            for (period, _), (lines, frames) in held.items():
+                flush(lines, frames)
                 name = f"{uuid.uuid4().hex}{SUFFIX}"
                 files.create(f"{self.staging}/{name}", b"".join(frames))
-                done.append((name, place[0]))
-                frames.clear()
+                done.append((name, period))
+            held.clear()
 
         for batch in iterator:
             value, period, part = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("value", "period", "part"))
             for line, here in zip(value, zip(period, part)):
-                if here != place:
-                    close()
-                    place = here
-                lines.append(line)
-                if len(lines) >= self.flush_rows:
-                    flush()
+                if here not in held:
+                    if self.ordered:
+                        close()
+                    held[here] = ([], [])
+                held[here][0].append(line)
+                if len(held[here][0]) >= self.flush_rows:
+                    flush(*held[here])
         close()
         return Staged(done)
 
@@ -103,6 +112,11 @@ class LineWriter(_Lines, DataSourceArrowWriter):
 
 
 class LineStreamWriter(_Lines, DataSourceStreamArrowWriter):
+    ordered = False  # streams can't be sorted: lines are in order of arrival
+
+    def staging_mark(self) -> str:
+        return "stream"  # tasks and commits are given writers of their own; one query writes to an archive
+
     def commit(self, messages: list, batchId: int) -> None:  # noqa: N803
         mark = f".b{batchId}"
         system, folder = files.located(self.path)
@@ -155,12 +169,12 @@ def archive_lines(bars: DataFrame, path: str, rotation_s: int = DEFAULT_ROTATION
 
 
 def archive_line_stream(bars: DataFrame, path: str, checkpoint: str, rotation_s: int = DEFAULT_ROTATION_S, **trigger) -> StreamingQuery:
-    """Append a stream of bars: every micro-batch adds a file per period."""
+    """Append a stream of bars: every micro-batch adds a file per period, with its bars in order of arrival."""
     spark = bars.sparkSession
     ship_package(spark)
     spark.dataSource.register(LineArchive)
     lines = _lines(bars, rotation_s).withColumn("part", F.lit(0).cast("bigint"))
-    dealt = lines.repartition("period").sortWithinPartitions("period", "close_time_ms", "symbol", "open_time_ms").select("value", "period", "part")
+    dealt = lines.repartition("period").select("value", "period", "part")
     writer = dealt.writeStream.format("tickwise_lines").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
