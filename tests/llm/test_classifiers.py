@@ -181,12 +181,15 @@ def test_long_training_texts_are_learned_from(spark, make_docs):
     assert len(quality.train(docs, marks, few).index) > 0
 
 
-def test_every_language_is_learned(spark, make_docs):
+def test_every_language_is_learned(spark, make_docs, monkeypatch):
     rows = [(4 * i + j, f"k{i}x k{i}y k{i}z " * 3, f"l{i:03d}", "s", 1) for i in range(260) for j in range(4)]
     docs = make_docs(rows)
     train = docs.select(F.col("doc_id").alias("id"), "text", "lang")
     dense, sparse = langid.fit(train, langid.Settings(dense_languages=300)), langid.fit(train)
     assert len(dense.names) == len(sparse.names) == 260
+    monkeypatch.setattr(langid, "BROADCAST_LANGUAGES", 10)
+    by_id = langid.fit(train)
+    assert by_id.names == sparse.names and (by_id.count == sparse.count).all() and (by_id.cuts == sparse.cuts).all()
     some = np.array([5, 70_000, 131_071])
     assert (dense.likelihoods()(some) == sparse.likelihoods()(some)).all()
     got = docs.where("doc_id % 40 = 0").select("lang", langid.predict(sparse, F.col("text")).alias("p")).collect()

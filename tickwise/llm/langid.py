@@ -21,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import materialize, ship_package
 from . import word_hash
 
 UNDETERMINED = "und"
+#: Languages up to which the table of their sizes is broadcast.
+BROADCAST_LANGUAGES = 4096
 _HALF = 1 << 16
 _FEATURES = 2 * _HALF
 
@@ -120,9 +122,14 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     """Learn from (id, text, lang) rows.  Rows with a null id, text or language are not learned from."""
     ship_package(labelled.sparkSession)
     usable = labelled.where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = materialize(usable.groupBy("lang").agg(F.count("*").alias("n")))
     chance = F.pmod(F.xxhash64("id"), F.lit(1 << 53)).cast("double") / float(1 << 53)
-    sample = usable.join(sizes, "lang").where(chance * F.col("n") < settings.per_language)
+    drawn = chance * F.col("n") < settings.per_language
+    if sizes.count() <= BROADCAST_LANGUAGES:  # texts are drawn where they are
+        sample = usable.join(F.broadcast(sizes), "lang").where(drawn)
+    else:  # ids are drawn first, and texts meet them by id
+        ids = usable.select("id", "lang").join(sizes, "lang").where(drawn).select("id", "lang").distinct()
+        sample = usable.join(ids, ["id", "lang"])
     # Repeated rows of an id count once, so that they can't swell the sample.
     sample = sample.groupBy("id", "lang").agg(F.min(F.col("text").cast("binary")).alias("text")).select("lang", "text")
 
