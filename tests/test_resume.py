@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tickwise.operators import snapshot as snap
 from tickwise.operators.scan import Affine, affine_scan
-from tickwise.operators.series import carried, forward_fill, halo_window, prefix_sum, sequence, sequence_rows
+from tickwise.operators.series import carried, forward_fill, halo_window, next_value, prefix_sum, sequence, sequence_rows
 from tickwise.plans import catalog
 from tickwise.strategies.bandtastic import Bandtastic, BandtasticParams
 from tickwise.strategies.base import REGISTRY
@@ -94,3 +94,13 @@ def test_sweep_equals_single_runs(spark):
         assert key([r for r in rows if r.setting == name]) == key(want)
     with pytest.raises(ValueError, match="twice"):
         sweep(bars, table.unionByName(table))
+
+
+def test_next_value_over_ranges(spark, null_keyed):
+    for partitions in ("1", "4", "30"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        got = next_value(null_keyed.repartition(5), KEYS, ["seq"], "seq", "n").collect()
+        last = {(None, "a"): 4, ("x", "a"): 5, ("x", None): 3}
+        assert len(got) == 12 and all(r.n == (r.seq + 1 if r.seq < last[r.exchange, r.symbol] else None) for r in got)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert next_value(null_keyed.limit(0), KEYS, ["seq"], "seq", "n").count() == 0

@@ -142,11 +142,7 @@ def sequence_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], seq_
             if not batch.num_rows:
                 continue
             place = [batch.column(batch.schema.get_field_index(k)) for k in keys]
-            change = np.zeros(batch.num_rows, bool)
-            for c in place:
-                null = c.is_null().to_numpy(zero_copy_only=False)
-                differ = pc.fill_null(pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)), False).to_numpy(zero_copy_only=False)
-                change[1:] |= np.where(null[1:] | null[:-1], null[1:] != null[:-1], differ)
+            change = np.concatenate(([False], _changes(batch, keys)))
             change[0] = held is None or held != tuple(c[0].as_py() for c in place)
             at = np.arange(batch.num_rows)
             begin = np.maximum.accumulate(np.where(change, at, -1))
@@ -165,6 +161,58 @@ def sequence_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], seq_
     return local.join(offsets, [_KEY, "_part"]).withColumn(seq_col, (F.col("_off") + F.col("_loc")).cast("bigint")).drop(_KEY, "_part", "_loc", "_off")
 
 
+def _changes(batch: pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
+    """For every row but the first: whether its keys differ from the row before."""
+    out = np.zeros(max(0, batch.num_rows - 1), bool)
+    for k in keys:
+        c = batch.column(batch.schema.get_field_index(k))
+        null = c.is_null().to_numpy(zero_copy_only=False)
+        differ = pc.fill_null(pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)), False).to_numpy(zero_copy_only=False)
+        out |= np.where(null[1:] | null[:-1], null[1:] != null[:-1], differ)
+    return out
+
+
+def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, name: str) -> DataFrame:
+    """Add ``name``: ``column`` of the key's next row in ``order``, null on its last.
+
+    One sort by range of (keys, order), whatever a key's share of the rows;
+    a range's last row looks at the first row of the next range, a table of one
+    row per range.  The rows are written once."""
+    keys = list(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, first = TaskContext.get().partitionId(), None, True
+
+        def made(rows: pa.RecordBatch, following: pa.Array, last: bool) -> pa.RecordBatch:
+            nonlocal first
+            begins, n = np.zeros(rows.num_rows, bool), rows.num_rows
+            begins[0], first = first, False
+            more = [following, pa.array(np.full(n, part)), pa.array(begins), pa.array(np.full(n, last))]
+            return pa.RecordBatch.from_arrays([*rows.columns, *more], [*rows.schema.names, name, "_part", "_first", "_last"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            n = batch.num_rows
+            if n > 1:
+                values = batch.column(batch.schema.get_field_index(column)).slice(1)
+                yield made(batch.slice(0, n - 1), pc.if_else(pa.array(_changes(batch, keys)), pa.scalar(None, values.type), values), False)
+            held = batch.slice(n - 1, 1)
+        if held is not None:
+            yield made(held, pa.nulls(1, held.column(held.schema.get_field_index(column)).type), True)
+
+    more = [T.StructField(name, df.schema[column].dataType), T.StructField("_part", T.LongType()), T.StructField("_first", T.BooleanType()), T.StructField("_last", T.BooleanType())]
+    dealt = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    rows = _keyed(materialize(dealt.mapInArrow(run, T.StructType([*df.schema.fields, *more]))), keys)
+    over = Window.orderBy("_part")  # one row per range
+    firsts = rows.where("_first").select("_part", F.struct(_KEY, F.col(column).alias("_v")).alias("_f")).select("_part", F.lead("_f").over(over).alias("_f"))
+    # Every range that has a last row has a first row: one per range each.
+    ends = rows.where("_last").drop(name).join(firsts, "_part").withColumn(name, F.when(F.col("_f._key") == F.col(_KEY), F.col("_f._v")))
+    return rows.where("NOT _last").select(*df.columns, name).unionByName(ends.select(*df.columns, name))
+
+
 def chunk_expr(seq_col: str, chunk_rows: int) -> Column:
     return F.floor((F.col(seq_col) - 1) / F.lit(chunk_rows)).cast("bigint")
 

@@ -440,7 +440,7 @@ def q_symbol_index(spark, sf):
 
 @query("collapse_updates", f"SELECT recv_ms, frame_no, symbol, interval, start_ms, closed FROM (SELECT *, lead(start_ms) OVER (PARTITION BY symbol, interval ORDER BY recv_ms, frame_no) AS next_start FROM ({_GOOD}) g) x WHERE next_start IS NOT NULL AND next_start <> start_ms")
 def q_collapse_updates(spark, sf):
-    return fr.collapse_updates(good_frames(spark, sf), chunk_rows=CHUNK).select("recv_ms", "frame_no", "symbol", "interval", "start_ms", "closed")
+    return fr.collapse_updates(good_frames(spark, sf)).select("recv_ms", "frame_no", "symbol", "interval", "start_ms", "closed")
 
 
 # The subscription list of the live program (pairs of symbol, interval).

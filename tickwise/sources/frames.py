@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import parse_price
 from ..functions.time import label_utc8
-from ..operators.series import DEFAULT_CHUNK_ROWS, halo_window, sequence_rows
+from ..operators.series import next_value
 
 # The exchange name given to decoded bars, and the heartbeat source.
 FRAME_EXCHANGE = "binance"
@@ -122,15 +122,13 @@ def symbol_index(frames: DataFrame) -> DataFrame:
     return first.select("symbol", F.row_number().over(w).cast("bigint").alias("symbol_index"))
 
 
-def collapse_updates(frames: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def collapse_updates(frames: DataFrame, chunk_rows: int | None = None) -> DataFrame:
     """of each run of updates with the same start time (per symbol and
     interval, in arrival order) keep the last one, emitted when a different
-    start time arrives -- so the last run of each series is withheld."""
-    keys = ["symbol", "interval"]
-    s = sequence_rows(frames, keys, ["recv_ms", "frame_no"], seq_col="arrival")
-    s = halo_window(s, keys, lambda w: {"_next_start": F.lead("start_ms", 1).over(w)}, 0, seq_col="arrival",
-                    chunk_rows=chunk_rows, ahead=1)
-    return s.filter(F.col("_next_start").isNotNull() & (F.col("_next_start") != F.col("start_ms"))).drop("_next_start", "arrival")
+    start time arrives -- so the last run of each series is withheld.
+    (``chunk_rows`` is accepted for older callers; nothing is chunked any more.)"""
+    s = next_value(frames, ["symbol", "interval"], ["recv_ms", "frame_no"], "start_ms", "_next_start")
+    return s.filter(F.col("_next_start").isNotNull() & (F.col("_next_start") != F.col("start_ms"))).drop("_next_start")
 
 
 def subscribed_bars(bars: DataFrame, subs: DataFrame) -> DataFrame:
