@@ -10,6 +10,7 @@ partition.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -105,12 +106,31 @@ def event_ticks(events: DataFrame) -> DataFrame:
 
 
 def resample_bars(events: DataFrame, minutes: int | Iterable[int]) -> DataFrame:
-    """Events -> bars of one or several widths (in minutes), unioned."""
+    """Events -> bars of one or several widths (in minutes), unioned.
+
+    Several widths share one aggregation of the events, into slots of their
+    greatest common divisor; Spark reuses its shuffle for every width, and the
+    wider bars are made of slots."""
     widths = [minutes] if isinstance(minutes, int) else list(minutes)
     ticks = event_ticks(events)
+    if len(widths) == 1:
+        return _ohlcv(ticks, widths[0], ["event_id"])
+    base = math.gcd(*widths)
+    tick = F.struct("ms", "event_id", "price")
+    slots = ticks.withColumn("_slot", slot_of("ms", base)).groupBy("exchange", "symbol", "_slot").agg(
+        F.min(tick).alias("_first"), F.max(tick).alias("_last"), F.max("price").alias("_high"), F.min("price").alias("_low"),
+        F.sum("qty").alias("_volume"), F.count(F.lit(1)).alias("_count"),
+    )
     out = None
     for m in widths:
-        b = _ohlcv(ticks, m, ["event_id"])
+        wider = slots.withColumn("open_time_ms", slot_of("_slot", m))
+        if m != base:
+            wider = wider.groupBy("exchange", "symbol", "open_time_ms").agg(
+                F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.max("_high").alias("_high"), F.min("_low").alias("_low"),
+                F.sum("_volume").alias("_volume"), F.sum("_count").alias("_count"),
+            )
+        wider = wider.withColumnsRenamed({"_high": "high", "_low": "low", "_volume": "volume", "_count": "trades_count"})
+        b = bars_of_slots(wider.withColumn("open", F.col("_first.price")).withColumn("close", F.col("_last.price")), m)
         out = b if out is None else out.unionByName(b)
     return out
 
