@@ -144,11 +144,12 @@ def links(prints: DataFrame, max_bits: int = 3, crowd: int = CROWD) -> DataFrame
     split = not crowded.isEmpty()
     if split:
         members = table.join(crowded, ["seg", "key"]).select("fp").union(
-            probes.join(crowded, ["seg", "key"]).select(F.col("probe").alias("fp"))
+            probes.hint("merge").join(crowded, ["seg", "key"]).select(F.col("probe").alias("fp"))
         ).distinct()
         table, probes = (x.join(crowded, ["seg", "key"], "left_anti") for x in (table, probes))
     # A pair with equal segment values meets twice (each finds the other): the smaller one reports it.
-    found = probes.join(table, ["seg", "key"]).where(
+    # Never broadcast: Spark sizes the probes by the table they are expanded from.
+    found = probes.hint("merge").join(table, ["seg", "key"]).where(
         (F.col("probe") != F.col("fp")) & (~F.col("own") | (F.col("probe") < F.col("fp")))
         & (distance(F.col("probe"), F.col("fp")) <= max_bits)
     )
