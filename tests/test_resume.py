@@ -104,3 +104,17 @@ def test_next_value_over_ranges(spark, null_keyed):
         assert len(got) == 12 and all(r.n == (r.seq + 1 if r.seq < last[r.exchange, r.symbol] else None) for r in got)
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert next_value(null_keyed.limit(0), KEYS, ["seq"], "seq", "n").count() == 0
+
+
+def test_resumed_runs_read_written_bars(spark):
+    """Each run's bars come from one written table: the events are not aggregated again for every look at them."""
+    given = []
+
+    class Looks:
+        def resume(self, bars, snapshot, chunk_rows):
+            given.append(bars)
+            return bars.select(*[F.lit(None).cast("string").alias(c) if c not in bars.columns else F.col(c) for c in catalog.SIG_COLS]), None
+
+    catalog.resumed(spark, SF, Looks(), [60, 240])
+    assert len(given) == 3 and not any("events.parquet" in f for b in given for f in b.inputFiles())
+    assert sum(b.count() for b in given) == catalog.bars(spark, SF, [60, 240]).count()

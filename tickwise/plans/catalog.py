@@ -708,7 +708,8 @@ def q_strategy_sweep(spark, sf):
 
 def resumed(spark, sf, strategy, widths) -> DataFrame:
     """The signals of three runs, each of which reads its own third of the bars and the snapshot of the one before."""
-    b = bars(spark, sf, widths)
+    # Written once: every run reads its bars several times, and they are made of all events.
+    b = materialize(bars(spark, sf, widths))
     first, second = b.select(F.percentile_approx("close_time_ms", [0.3, 0.6])).first()[0]
     at, out, snapshot = F.col("close_time_ms"), None, None
     for part in (at <= first, (at > first) & (at <= second), at > second):
