@@ -16,7 +16,7 @@ from tickwise.strategies.bandtastic import Bandtastic
 from tickwise.strategies.mtf_macd import MultiTimeFrameMacd
 from tickwise.streaming import bars as sb
 from tickwise.streaming.collapse import stream_collapse
-from tickwise.streaming.replay import read_in_order, run_to_end, start, write_in_order
+from tickwise.streaming.replay import BATCHES, read_in_order, run_to_end, start, write_in_order
 from tickwise.streaming.stateful import evaluate_stream, late_of, signals_of, stream_signals, trades_of
 
 SF = "/root/testdata/sf0.001"
@@ -139,10 +139,50 @@ def test_collapse_across_restarts(spark):
 
 
 def test_ticks_behind_the_watermark_are_counted_and_repaired(spark):
-    ticks = catalog.events(spark, SF)
-    got = run_to_end(sb.stream_bars(catalog.tick_stream(spark, SF), 15, "1 second"))
+    # Half an hour of ticks: Spark drops a row behind the watermark of two
+    # micro-batches before, so a batch must be shorter than the feed's lag.
+    sf, begin = tempfile.mkdtemp(prefix="tw-stream-test-"), 1_700_000_100_000
+    rows = [(i, begin + i * 1_800, "ab"[i % 2], float(i % 11) if i % 5 else None) for i in range(1000)]
+    made = spark.createDataFrame(rows, "event_id bigint, at bigint, event_type string, value double")
+    made.withColumn("ts", F.expr("cast(timestamp_millis(at) as timestamp_ntz)")).drop("at").write.parquet(os.path.join(sf, "events.parquet"))
+    ticks = catalog.events(spark, sf)
+    got = run_to_end(sb.stream_bars(catalog.tick_stream(spark, sf), 15, "1 second"))
     late = sb.late_ticks(ticks, got, 15)
     counted, held = late.agg(F.sum("late")).first()[0], got.agg(F.sum("trades_count")).first()[0]
     assert counted > 0 and counted + held == event_ticks(ticks).count()
     key = lambda df: sorted((r.symbol, r.open_time_ms, r.open, r.close, r.trades_count, round(r.volume, 6)) for r in df.collect())
     assert key(sb.corrected_bars(ticks, got, 15, late)) == key(resample_bars(ticks, 15))
+
+
+def batches_of(checkpoint: str) -> int:
+    return len([f for f in os.listdir(os.path.join(checkpoint, "commits")) if f.isdigit()])
+
+
+def test_replay_has_a_bounded_number_of_micro_batches(spark):
+    """Thrice as many files as a replay has micro-batches, and a few more; keyed streams take ``most`` files at a time."""
+    files = 3 * BATCHES + 4
+    rows = spark.range(10 * files).withColumnRenamed("id", "at")
+    root = tempfile.mkdtemp(prefix="tw-stream-test-")
+    src = write_in_order(rows, ["at"], os.path.join(root, "src"), files=files)
+    for name, most, want in (("all", None, 10), ("keyed", 3, 14)):
+        out, ckpt = os.path.join(root, f"{name}-out"), os.path.join(root, f"{name}-ckpt")
+        got = run_to_end(read_in_order(spark, src, rows.schema, most=most), out, ckpt)
+        assert sorted(r.at for r in got.collect()) == list(range(10 * files))
+        assert batches_of(ckpt) == want
+
+
+def test_replayed_ticks_are_bars_whatever_the_batches(spark):
+    """Many files in a micro-batch: in order, and under a watermark too short for the feed, the bars are those of the batch form."""
+    begin = 1_700_000_000_000
+    ticks = [(i, begin + i * 2_000, ("a", "b", None)[i % 3] if i % 7 else "a", float(i % 11) if i % 5 else None) for i in range(2000)]
+    columns = "event_id bigint, at bigint, event_type string, value double"
+    events = spark.createDataFrame(ticks, columns).withColumn("ts", F.expr("cast(timestamp_millis(at) as timestamp_ntz)")).drop("at")
+    beat = events.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
+    fed = events.unionByName(beat, allowMissingColumns=True).withColumn("_arrival", F.unix_millis(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(catalog.LAG_MS)))
+    src = write_in_order(fed, ["_arrival"], files=2 * BATCHES + 2)
+    key = lambda df: sorted((r.symbol, r.open_time_ms, r.open, r.close, r.trades_count, round(r.volume, 6)) for r in df.collect())
+    want = key(resample_bars(events, 15))
+    assert key(run_to_end(sb.stream_bars(read_in_order(spark, src, fed.schema), 15, catalog.DELAY))) == want
+    got = run_to_end(sb.stream_bars(read_in_order(spark, src, fed.schema), 15, "1 second"))
+    assert sb.late_ticks(events, got, 15).count() > 0
+    assert key(sb.corrected_bars(events, got, 15)) == want

@@ -1,8 +1,11 @@
 """Replaying a table as a file stream, and running a stream to its end.
 
 The rows are written once, by one job, into files that follow each other in
-the given order; the file source takes them one per micro-batch.  The source
-reads the oldest file first, so the files' times are set in their order.
+the given order; the file source takes the next ones in each micro-batch.  The
+source reads the oldest file first, so the files' times are set in their order.
+
+A micro-batch costs a commit of every state partition, whatever it holds: a
+larger table is replayed in larger micro-batches, about ``BATCHES`` of them.
 """
 
 from __future__ import annotations
@@ -17,17 +20,27 @@ from ..sinks.archive import scratch_path
 
 #: Rows of a replayed file, about.
 FILE_ROWS = 100_000
+#: Micro-batches of a replay, at most, unless ``most`` files of each are fewer.
+BATCHES = 12
+#: Files of a micro-batch whose rows are sorted in memory per key, at most.
+KEYED_FILES = 10
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 # Fixed value: Spark's state store that typed state needs.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, time) of a folder's data files by name."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted((f.getPath().toString(), f.getModificationTime()) for f in found if f.getPath().getName().startswith("part-"))
+
+
 def order_files(spark: SparkSession, path: str) -> int:
     """Give a folder's data files times that follow their names; returns how many there are."""
     jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = sorted((f.getPath().toString(), f.getModificationTime()) for f in system.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    system = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files = data_files(spark, path)
     first = min([t for _, t in files], default=0)
     for n, (name, _) in enumerate(files):
         system.setTimes(jvm.org.apache.hadoop.fs.Path(name), first + n, -1)
@@ -45,7 +58,12 @@ def write_in_order(rows: DataFrame, order: list[str], path: str | None = None, f
     return path
 
 
-def read_in_order(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
+def read_in_order(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None, most: int | None = None) -> DataFrame:
+    """The files as a stream; without ``files_per_trigger`` in ``BATCHES``
+    micro-batches at most, or in more of ``most`` files each."""
+    if files_per_trigger is None:
+        files_per_trigger = max(1, -(-len(data_files(spark, path)) // BATCHES))
+        files_per_trigger = files_per_trigger if most is None else min(files_per_trigger, most)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
