@@ -16,7 +16,7 @@ from tickwise.strategies.bandtastic import Bandtastic
 from tickwise.strategies.mtf_macd import MultiTimeFrameMacd
 from tickwise.streaming import bars as sb
 from tickwise.streaming.collapse import stream_collapse
-from tickwise.streaming.replay import BATCHES, read_in_order, run_to_end, start, write_in_order
+from tickwise.streaming.replay import BATCHES, FILE_ROWS, STATE_ROWS, read_in_order, replay, run_to_end, start, state_partitions, write_in_order
 from tickwise.streaming.stateful import evaluate_stream, late_of, signals_of, stream_signals, trades_of
 
 SF = "/root/testdata/sf0.001"
@@ -186,3 +186,33 @@ def test_replayed_ticks_are_bars_whatever_the_batches(spark):
     got = run_to_end(sb.stream_bars(read_in_order(spark, src, fed.schema), 15, "1 second"))
     assert sb.late_ticks(events, got, 15).count() > 0
     assert key(sb.corrected_bars(events, got, 15)) == want
+
+
+def test_state_partitions_follow_the_rows_of_a_micro_batch(spark):
+    """A session with many shuffle partitions: a micro-batch commits no more of them than its rows need."""
+    root, own = tempfile.mkdtemp(prefix="tw-stream-test-"), spark.conf.get("spark.sql.shuffle.partitions")
+    wave, many = spark.sparkContext.defaultParallelism, 500
+    begin = 1_700_000_000_000
+    ticks = [(i, begin + i * 20_000, "abc"[i % 3], float(i % 11)) for i in range(2000)]
+    events = spark.createDataFrame(ticks, "event_id bigint, at bigint, event_type string, value double")
+    events = events.withColumn("ts", F.expr("cast(timestamp_millis(at) as timestamp_ntz)")).drop("at").coalesce(1)
+    key = lambda df: sorted((r.symbol, r.open_time_ms, r.open, r.close, r.trades_count, round(r.volume, 6)) for r in df.collect())
+    want = key(resample_bars(events, 15))
+    sf, ckpt = os.path.join(root, "sf"), os.path.join(root, "ckpt")
+    events.write.parquet(os.path.join(sf, "events.parquet"))
+    spark.conf.set("spark.sql.shuffle.partitions", many)
+    try:
+        src, schema = catalog.tick_feed(spark, sf)
+        got = replay(spark, src, schema, lambda rows: sb.stream_bars(rows, 15, catalog.DELAY), checkpoint=ckpt)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(many)
+        assert key(got) == want and key(catalog.q_stream_bars_late(spark, sf)) == want
+        # More files in a micro-batch: more partitions, up to the session's.
+        big = os.path.join(root, "big")
+        spark.range(0, 3 * wave * BATCHES, 1, 3 * wave * BATCHES).write.parquet(big)
+        assert state_partitions(spark, big) == -(-3 * wave * FILE_ROWS // STATE_ROWS) > wave
+        spark.conf.set("spark.sql.shuffle.partitions", 2)
+        assert state_partitions(spark, big) == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", own)
+    kept = [d for d in os.listdir(os.path.join(ckpt, "state", "0")) if d.isdigit()]
+    assert len(kept) == wave
