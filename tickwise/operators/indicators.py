@@ -63,9 +63,11 @@ def bar_windows(
     high_n: int = 100,
     seq_col: str = "seq",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    tp: Column | None = None,
+    chunk_col: str | None = None,
 ) -> DataFrame:
     """W1, W2, W3 and the previous close, in one window pass over (key, chunk)."""
-    out = bar_windows_of(bars, keys, {"bb": bb_n}, {"mfi": mfi_n}, {"high100": high_n}, seq_col, chunk_rows)
+    out = bar_windows_of(bars, keys, {"bb": bb_n}, {"mfi": mfi_n}, {"high100": high_n}, seq_col, chunk_rows, tp, chunk_col)
     return bollinger_bands(out)
 
 
@@ -77,17 +79,20 @@ def bar_windows_of(
     high: dict[str, int],
     seq_col: str = "seq",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    tp: Column | None = None,
+    chunk_col: str | None = None,
 ) -> DataFrame:
     """Windows of any number of periods in one pass: ``<name>_mid`` and
     ``<name>_sd`` for each (name, period) in ``bb``, a column for each in
-    ``mfi`` and ``high``, and ``prev_close``.
+    ``mfi`` and ``high``, and ``prev_close``.  ``tp`` is the typical price of bars
+    that come without high and low; ``chunk_col`` as in ``halo_window``.
 
     Stage 1: previous close and typical price, and the maximum over blocks of
     ``b`` rows; stage 2: band mean/deviation, money-flow sums, and the rolling
     high as the maximum of ``n / b`` lagged block maxima (about 2*sqrt(n) work
     per row instead of n)."""
     blocks = {name: _block(n) for name, n in high.items()}
-    tp = hlc3()
+    tp = hlc3() if tp is None else tp
 
     def build(w: WindowSpec) -> list[dict[str, Column]]:
         first = {
@@ -111,7 +116,7 @@ def bar_windows_of(
         return [first, second]
 
     halo = max([1, *[n - 1 for n in bb.values()], *mfi.values(), *[n - 1 for n in high.values()]])
-    return halo_window(bars, keys, build, halo, seq_col, chunk_rows).drop("_tp", "_prev_tp", *{f"_max{b}" for b in blocks.values()})
+    return halo_window(bars, keys, build, halo, seq_col, chunk_rows, chunk_col=chunk_col).drop("_tp", "_prev_tp", *{f"_max{b}" for b in blocks.values()})
 
 
 # ---- recurrences -----------------------------------------------------------------------

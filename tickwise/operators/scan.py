@@ -16,9 +16,11 @@ so a series is cut into chunks of ``chunk_rows`` rows and scanned in two passes:
    and returns the rows with their columns.
 
 Both passes stream over rows clustered by (key, chunk) and read the input from
-one written table, so what is upstream runs once.  Within an Arrow batch the
-recurrences of all chunks advance together by numpy doubling steps; a task
-holds one batch.
+one written table, so what is upstream runs once; or they follow an operator that
+dealt the rows by (key, chunk), without a write or shuffle of their own.
+Coefficients are made from a row's columns after the shuffle.  Within an Arrow
+batch the recurrences of all chunks advance together by numpy doubling steps; a
+task holds one batch.
 """
 
 from __future__ import annotations
@@ -175,27 +177,35 @@ def affine_scan(
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     base_col: str | None = None,
     initial: DataFrame | None = None,
+    chunk_col: str | None = None,
 ) -> DataFrame:
     """Add one column per spec holding the scanned value ``y_t``.
 
     ``seq_col`` numbers the rows of each key 1, 2, 3, ... without gaps; with
     ``base_col`` they begin after that number, and ``initial`` (keys and one
     column per spec) has the values there, 0 for a key without a row.  The
-    only thing the driver learns is the largest chunk number."""
+    only thing the driver learns is the largest chunk number.
+
+    ``chunk_col`` says that ``df`` already has its rows dealt by (keys, that
+    column), the number of a chunk of ``chunk_rows`` as ``halo_window`` keeps it:
+    ``df`` is then neither written nor shuffled but computed in both passes.  Its
+    keys must not be null (a struct of what may be)."""
     keys, names = list(keys), [s.name for s in specs]
     layout = _Layout(names, [(i, names.index(j)) for i, s in enumerate(specs) for j in s.feeds])
-    chunk_rows = max(chunk_rows, 2)  # every level is at most half as long as the one below
+    if chunk_col is None:
+        chunk_rows = max(chunk_rows, 2)  # every level is at most half as long as the one below
     ship_package(df.sparkSession)
     coef = [s.a for s in specs] + [s.b for s in specs] + [c for s in specs for c in s.feeds.values()]
+    coefficients = [c.cast("double").alias(n) for c, n in zip(coef, layout.coefficients())]
     place = F.col(seq_col) - 1 if base_col is None else F.col(seq_col) - F.col(base_col) - 1
-    t = df.select(
-        "*", F.floor(place / F.lit(chunk_rows)).cast("bigint").alias("_chunk"), (place % F.lit(chunk_rows)).cast("bigint").alias("_pos"),
-        *[c.cast("double").alias(n) for c, n in zip(coef, layout.coefficients())],
-    )
-    t = materialize(t)  # read by both passes: computed once
+    chunk = F.floor(place / F.lit(chunk_rows)).cast("bigint") if chunk_col is None else F.col(chunk_col)
+    t = df.select("*", *([] if chunk_col == "_chunk" else [chunk.alias("_chunk")]), (place % F.lit(chunk_rows)).cast("bigint").alias("_pos"))
+    if chunk_col is None:
+        t = materialize(t)  # read by both passes: computed once
 
     def clustered(rows: DataFrame) -> DataFrame:
-        return rows.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", seq_col)
+        dealt = rows.repartition(*keys, "_chunk") if chunk_col is None else rows
+        return dealt.sortWithinPartitions(*keys, "_chunk", seq_col)
 
     carry = None  # (keys, _chunk, value before the chunk)
     if initial is not None:
@@ -203,7 +213,7 @@ def affine_scan(
     if t.agg(F.max("_chunk")).first()[0]:
         keep = [*keys, "_chunk"]
         schema = T.StructType([t.schema[c] for c in keep] + [T.StructField(n, T.DoubleType()) for n in layout.maps()])
-        maps = clustered(t.select(*keys, "_chunk", "_pos", seq_col, *layout.coefficients())).mapInArrow(_chunk_maps(layout, keep), schema)
+        maps = clustered(t).select(*keep, "_pos", *coefficients).mapInArrow(_chunk_maps(layout, keep), schema)
         maps = maps.withColumn("_cseq", F.col("_chunk") + 1).drop("_chunk")
         level = [
             Affine(f"_end_{s.name}", F.col(f"_pa_{s.name}"), F.col(f"_ly_{s.name}"), {f"_end_{j}": F.col(f"_pf_{s.name}_{j}") for j in s.feeds})
@@ -216,12 +226,12 @@ def affine_scan(
         carry = ends if carry is None else ends.unionByName(carry)
     carries = [F.lit(0.0).alias(f"_carry_{n}") for n in names]
     if carry is not None:
-        t = same_keys(t, carry, [*keys, "_chunk"], "left")
+        # Plain equality keeps rows where they were dealt.
+        t = same_keys(t, carry, [*keys, "_chunk"], "left") if chunk_col is None else t.join(carry, [*keys, "_chunk"], "left")
         carries = [F.coalesce(f"_carry_{n}", F.lit(0.0)).alias(f"_carry_{n}") for n in names]
     keep = df.columns
     schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
-    rows = t.select(*keep, "_chunk", "_pos", *layout.coefficients(), *carries)
-    return clustered(rows).mapInArrow(_chunk_values(layout, keep), schema)
+    return clustered(t).select(*keep, "_pos", *coefficients, *carries).mapInArrow(_chunk_values(layout, keep), schema)
 
 
 def sequential_affine(a: Sequence[float], b: Sequence[float]) -> list[float]:

@@ -75,7 +75,8 @@ def sequence(
     earlier table) goes on from there; ``base_col`` adds that number, or 0, to
     the rows.
     """
-    b = _keyed(df, keys).withColumn("_bkt", bucket)
+    # Only the struct of the keys is shuffled with the rows.
+    b = _keyed(df, keys).withColumn("_bkt", bucket).drop(*keys)
     local = b.withColumn("_loc", F.row_number().over(Window.partitionBy(_KEY, "_bkt").orderBy(*order)))
     counts = b.groupBy(_KEY, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = carried(counts, [_KEY], "_bkt", {"_off": ("sum", "_cnt")})
@@ -85,9 +86,10 @@ def sequence(
         begun = _keyed(start, keys).select(_KEY, F.col(seq_col).alias("_base"))
         offsets = offsets.join(begun, _KEY, "left").withColumn("_base", F.coalesce("_base", F.lit(0).cast("bigint")))
     out = local.join(offsets, [_KEY, "_bkt"]).withColumn(seq_col, (F.col("_base") + F.col("_off") + F.col("_loc")).cast("bigint"))
+    shown = {c: F.col(f"{_KEY}.{c}") if c in keys else F.col(c) for c in df.columns} | {seq_col: F.col(seq_col)}
     if base_col is not None:
-        out = out.withColumn(base_col, F.col("_base"))
-    return out.drop(_KEY, "_bkt", "_loc", "_off", *(["_base"] if base_col != "_base" else []))
+        shown[base_col] = F.col("_base")
+    return out.select(*[v.alias(c) for c, v in shown.items()])
 
 
 #: Positions per group of the first carry level.
@@ -225,6 +227,7 @@ def halo_window(
     seq_col: str = "seq",
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     ahead: int = 0,
+    chunk_col: str | None = None,
 ) -> DataFrame:
     """Evaluate ``build(w)`` (window expressions over ``w``) per chunk plus halo.
 
@@ -232,7 +235,8 @@ def halo_window(
     back at most ``halo`` rows (``rowsBetween(-halo, 0)``, ``lag(x, halo)``)
     and forward at most ``ahead`` rows (``lead(x, ahead)``).  ``build`` may
     return a list of dicts, evaluated in order; the look-backs of the stages
-    then add up and must stay within ``halo``.
+    then add up and must stay within ``halo``.  ``chunk_col`` keeps the chunk's
+    number, by which (and the keys) the rows returned are dealt.
     """
     keys = list(keys)
     pos = (F.col(seq_col) - 1) % F.lit(chunk_rows)
@@ -253,7 +257,8 @@ def halo_window(
     # and order, so they plan as consecutive Window operators without a new shuffle.
     for exprs in (stages if isinstance(stages, list) else [stages]):
         out = out.select("*", *[e.alias(name) for name, e in exprs.items()])
-    return out.filter(F.col("_shift") == 0).drop("_shift", "_wchunk")
+    out = out.filter(F.col("_shift") == 0).drop("_shift")
+    return out.drop("_wchunk") if chunk_col is None else out.withColumnRenamed("_wchunk", chunk_col)
 
 
 def prefix_sum(

@@ -9,9 +9,12 @@ written there (``materialize``).
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,34 +59,66 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Cut lineage: write ``df`` once as a Parquet table under the checkpoint
     folder (shared storage on a cluster) and read it back.
 
     One job, columnar, and a lost executor only re-reads files.  (A plain
     ``DataFrame.checkpoint()`` computes its input a second time to write the
-    checkpoint files unless it is also cached.)  Results may read the tables
-    as long as the session lives; ``drop_materialized``, also run when the
-    driver's Python ends, removes them."""
+    checkpoint files unless it is also cached.)  The job's shuffle files go when
+    it ends: nothing reads them again.  Results may read the tables as long as
+    the session lives, or until ``release``; ``drop_materialized``, also run when
+    the driver's Python ends, removes them.  ``compression``: a codec other than
+    the session's."""
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"tw-{uuid.uuid4().hex}")
     if not _WRITTEN:
         atexit.register(drop_materialized, spark)
     _WRITTEN.append(path)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    with _shuffles_dropped(spark):
+        df.write.mode("overwrite").parquet(path, compression=compression)
+    table = spark.read.parquet(path)
+    _PATHS[table] = path
+    return table
 
 
 _WRITTEN: list[str] = []
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+#: Spark's switch for removing a query's shuffle files as it ends, off by default: they then
+#: stay until the driver's JVM happens to collect the query.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(_SHUFFLE_CLEANUP, before)
+
+
+def release(table: DataFrame) -> None:
+    """Delete a table of ``materialize`` that nothing will read again."""
+    path = _PATHS.pop(table)
+    _WRITTEN.remove(path)
+    _delete(table.sparkSession, path)
 
 
 def drop_materialized(spark: SparkSession) -> None:
     """Delete the tables that ``materialize`` wrote; DataFrames that still read them stop working."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
     while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _WRITTEN.pop())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
 _SHIPPED: set[str] = set()
