@@ -113,3 +113,12 @@ def test_numbering_keeps_the_columns_in_place(spark):
     assert sorted(map(tuple, out.collect()), key=str) == [("a", 1, None, 1, 0), ("b", 2, "x", 1, 0), ("c", 3, "x", 2, 0)]
     again = sequence(out, ["k"], ["t"], F.floor(F.col("t") / 2))
     assert again.columns == out.columns
+
+
+def test_offsets_written_first_give_the_same_numbers(spark, daily):
+    bucket, order = F.floor(F.col("close_time_ms") / (DAY * 64)), ["close_time_ms", "interval"]
+    plain = sequence(daily, KEYS, order, bucket)
+    first = sequence(daily, KEYS, order, bucket, counted_first=True)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, first.collect()))
+    scans = first._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    assert scans == 1  # the offsets are a table: the bars are looked at once

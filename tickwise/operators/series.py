@@ -66,6 +66,7 @@ def sequence(
     seq_col: str = "seq",
     start: DataFrame | None = None,
     base_col: str | None = None,
+    counted_first: bool = False,
 ) -> DataFrame:
     """Add a 1-based row number per key in ``order``.
 
@@ -73,7 +74,9 @@ def sequence(
     coarse slot of the first order column) and bound the rows per (key,
     bucket).  ``start`` (keys and ``seq_col``: the last number given out by an
     earlier table) goes on from there; ``base_col`` adds that number, or 0, to
-    the rows.
+    the rows.  ``counted_first`` writes the offsets, one row per (key, bucket),
+    at once: rows that lie anywhere give as many counts to shuffle, and these are
+    then gone when the rows are shuffled.
     """
     # Only the struct of the keys is shuffled with the rows.
     b = _keyed(df, keys).withColumn("_bkt", bucket).drop(*keys)
@@ -85,6 +88,8 @@ def sequence(
     else:
         begun = _keyed(start, keys).select(_KEY, F.col(seq_col).alias("_base"))
         offsets = offsets.join(begun, _KEY, "left").withColumn("_base", F.coalesce("_base", F.lit(0).cast("bigint")))
+    if counted_first:
+        offsets = materialize(offsets)
     out = local.join(offsets, [_KEY, "_bkt"]).withColumn(seq_col, (F.col("_base") + F.col("_off") + F.col("_loc")).cast("bigint"))
     shown = {c: F.col(f"{_KEY}.{c}") if c in keys else F.col(c) for c in df.columns} | {seq_col: F.col(seq_col)}
     if base_col is not None:
