@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickwise import session
-from tickwise.operators import fold, scan
+from tickwise.operators import fold, scan, series
 from tickwise.operators.fold import run_fold
 from tickwise.operators.scan import Affine, affine_scan
 from tickwise.operators.series import halo_window, sequence
@@ -75,7 +75,7 @@ def test_signals_write_narrow_tables_and_drop_them(spark, daily, monkeypatch):
         tables.append((df.columns, session._WRITTEN[:]))
         return real(df, *more)
 
-    for module in (bandtastic, fold, scan):
+    for module in (bandtastic, fold, scan, series):
         monkeypatch.setattr(module, "materialize", kept)
     before = set(session._WRITTEN)
     Bandtastic(PARAMS).signals(daily, 16)
